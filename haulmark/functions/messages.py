@@ -41,6 +41,9 @@ def json_text(record: Column) -> Column:
 
 
 def point_in(text: Column) -> Column:
-    """The ``{lat, lng}`` object in a text; null when the text holds none."""
-    place = F.from_json(text, POINT)
-    return F.when(place["lat"].isNotNull() | place["lng"].isNotNull(), place)
+    """The ``{lat, lng}`` object in a text; null when the text holds none.
+
+    ``nullif`` keeps the parse to one per row; a condition on the fields would repeat it.
+    """
+    nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in POINT])
+    return F.nullif(F.from_json(text, POINT), nothing)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.functions.messages import parsed, point_in
-from haulmark.schemas import DELIVERY_MESSAGE, DRIVER_PING, TRAFFIC_UPDATE
+from haulmark.schemas import DELIVERY_MESSAGE, DELIVERY_STATE, DRIVER_PING, TRAFFIC_UPDATE
 
 
 def stamped(frame: DataFrame) -> DataFrame:
@@ -41,5 +41,13 @@ def delivery_updates(messages: DataFrame, *, corrupt: str | None = None) -> Data
     )
 
 
+def delivery_states(messages: DataFrame) -> DataFrame:
+    """The few fields the counts need; the parser skips the others."""
+    raw = parsed(messages, DELIVERY_STATE)
+    return raw.select(
+        F.coalesce("order_id", "delivery_id").alias("order_id"), "status", "timestamp", "driver_id"
+    )
+
+
 def traffic_updates(messages: DataFrame, *, corrupt: str | None = None) -> DataFrame:
     return parsed(messages, TRAFFIC_UPDATE, corrupt=corrupt)

@@ -57,13 +57,14 @@ def kpi_record(
     """Active drivers, deliveries of the day, mean delay and alerts in one row.
 
     Each table is scanned once. The two numbers on updates share a scan bounded by
-    either condition; the one-row results are stacked and folded, not joined.
+    either span of time; the one-row results are stacked and folded, not joined.
     """
-    delivered = on_day_of(updates, as_of) & (F.col("status") == "delivered")
-    late = newer_than(updates, delay_within, as_of) & (F.col("delay_minutes") > 0)
+    today, recent = on_day_of(updates, as_of), newer_than(updates, delay_within, as_of)
+    delivered = today & (F.col("status") == "delivered")
+    late = recent & (F.col("delay_minutes") > 0)
     parts = [
         active_drivers(pings, as_of, active_within),
-        updates.where(delivered | late).agg(
+        updates.where(today | recent).agg(
             F.count_if(delivered).alias("deliveries_today"),
             mean_or_zero(F.avg(F.when(late, F.col("delay_minutes")))).alias("avg_delay"),
         ),

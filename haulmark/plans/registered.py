@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +35,6 @@ from haulmark.streaming import progress, runner, sinks
 
 MIN_DELAY = 120
 
-HOUR = timedelta(hours=1)
 DAY = timedelta(hours=24)
 WEEK = timedelta(days=7)
 
@@ -55,15 +54,15 @@ def _updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return si.updates(si.events(spark, sf_dir))
 
 
-def _now(spark: SparkSession, sf_dir: str):
+def _now(events: DataFrame) -> datetime | None:
     """The moment the reports look back from: the newest event."""
-    return latest_time(si.events(spark, sf_dir), "ts")
+    return latest_time(events, "ts")
 
 
-def _alert_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _alert_records(events: DataFrame) -> DataFrame:
     """Key/value records as they lie in one store: alerts, and others beside them."""
-    alerts = al.alert_records(al.all_alerts(_updates(spark, sf_dir), MIN_DELAY))
-    drivers = _pings(spark, sf_dir).select(
+    alerts = al.alert_records(al.all_alerts(si.updates(events), MIN_DELAY))
+    drivers = si.pings(events).select(
         F.concat_ws(":", F.lit("driver"), "driver_id").alias("key"),
         json_text(F.struct("speed", "status")).alias("value"),
     )
@@ -175,7 +174,7 @@ def streams_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = encoded(si.updates(events))
     pings = ingest.dated(ingest.stamped(ingest.driver_pings(encoded(si.pings(events)))))
     updates = ingest.dated(ingest.stamped(ingest.delivery_updates(messages)))
-    counts = kpis.status_counts(ingest.delivery_updates(messages))
+    counts = kpis.status_counts(ingest.delivery_states(messages))
     runner.wait_for_all(
         runner.start_all(
             [
@@ -223,26 +222,30 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_active_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.active_drivers(_pings(spark, sf_dir), _now(spark, sf_dir), DAY)
+    events = si.events(spark, sf_dir)
+    return reports.active_drivers(si.pings(events), _now(events), DAY)
 
 
 @query
 def report_deliveries_today(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.deliveries_today(_updates(spark, sf_dir), _now(spark, sf_dir))
+    events = si.events(spark, sf_dir)
+    return reports.deliveries_today(si.updates(events), _now(events))
 
 
 @query
 def report_avg_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.avg_delay(_updates(spark, sf_dir), _now(spark, sf_dir), DAY)
+    events = si.events(spark, sf_dir)
+    return reports.avg_delay(si.updates(events), _now(events), DAY)
 
 
 @query
 def report_kpi_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = si.events(spark, sf_dir)
     return reports.kpi_record(
-        _pings(spark, sf_dir),
-        _updates(spark, sf_dir),
-        al.active_alerts(_alert_records(spark, sf_dir)),
-        _now(spark, sf_dir),
+        si.pings(events),
+        si.updates(events),
+        al.active_alerts(_alert_records(events)),
+        _now(events),
         active_within=DAY,
         delay_within=DAY,
     )
@@ -250,12 +253,14 @@ def report_kpi_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_recent_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.recent_positions(_pings(spark, sf_dir), _now(spark, sf_dir), DAY)
+    events = si.events(spark, sf_dir)
+    return reports.recent_positions(si.pings(events), _now(events), DAY)
 
 
 @query
 def report_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.hourly_trend(_updates(spark, sf_dir), _now(spark, sf_dir), WEEK)
+    events = si.events(spark, sf_dir)
+    return reports.hourly_trend(si.updates(events), _now(events), WEEK)
 
 
 @query
@@ -292,12 +297,12 @@ def alerts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts_by_key_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return si.plain_times(al.active_alerts(_alert_records(spark, sf_dir)))
+    return si.plain_times(al.active_alerts(_alert_records(si.events(spark, sf_dir))))
 
 
 @query
 def alert_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.alert_count(al.active_alerts(_alert_records(spark, sf_dir)))
+    return reports.alert_count(al.active_alerts(_alert_records(si.events(spark, sf_dir))))
 
 
 @query
@@ -312,7 +317,7 @@ def alert_type_or_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = al.active_alerts(_alert_records(spark, sf_dir))
+    alerts = al.active_alerts(_alert_records(si.events(spark, sf_dir)))
     return al.alert_messages(alerts).select("order_id", "anomaly_type", "message")
 
 
@@ -351,7 +356,7 @@ def partition_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = events.select(
         topic.alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"), "ts"
     )
-    behind = newer_than(events, DAY, _now(spark, sf_dir), "ts")
+    behind = newer_than(events, DAY, _now(events), "ts")
     read = sent.where(~behind & (F.col("topic") != "traffic_conditions"))
     by = ["topic", "partition"]
     return lag.partition_lag(

@@ -35,6 +35,17 @@ DELIVERY_MESSAGE = T.StructType(
     ]
 )
 
+# The same message as the counts read it.
+DELIVERY_STATE = T.StructType(
+    [
+        T.StructField("order_id", T.StringType()),
+        T.StructField("delivery_id", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("driver_id", T.StringType()),
+    ]
+)
+
 DELIVERY_UPDATE = T.StructType(
     [
         T.StructField("order_id", T.StringType()),

@@ -8,17 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 #: What a session for these streams and reports should be started with. Broadcast
-#: joins stay behind Spark's own size estimate (autoBroadcastJoinThreshold).
+#: joins stay behind Spark's own size estimate (autoBroadcastJoinThreshold). The
+#: state of the counts is a few rows per open minute, so the default store will do.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # State off the JVM heap; only changes are uploaded at each commit.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
