@@ -67,22 +67,26 @@ def fleet_streams(
 
 
 def console_streams(
-    topics: Mapping[str, DataFrame], checkpoints: str
+    topics: Mapping[str, DataFrame],
+    checkpoints: str,
+    *,
+    ingest_every: str | None = sinks.INGEST_EVERY,
+    kpi_every: str | None = sinks.KPI_EVERY,
 ) -> list[Callable[[], StreamingQuery]]:
     """The same rows and counts to look at, nothing stored."""
     pings = ingest.stamped(ingest.driver_pings(topics[PING_TOPIC]))
     updates = ingest.stamped(ingest.delivery_updates(topics[DELIVERY_TOPIC]))
     counts = kpis.status_counts(ingest.delivery_states(topics[DELIVERY_TOPIC]))
     return [
-        lambda: sinks.show_on_console(pings, "show_pings", checkpoints),
-        lambda: sinks.show_on_console(updates, "show_updates", checkpoints),
+        lambda: sinks.show_on_console(pings, "show_pings", checkpoints, every=ingest_every),
+        lambda: sinks.show_on_console(updates, "show_updates", checkpoints, every=ingest_every),
         lambda: sinks.show_on_console(
             counts,
             "show_counts",
             checkpoints,
             mode="update",
             rows=sinks.KPI_CONSOLE_ROWS,
-            every=sinks.KPI_EVERY,
+            every=kpi_every,
         ),
     ]
 
@@ -114,10 +118,10 @@ def main(arguments: list[str] | None = None) -> None:
         name: message_stream(spark, name, servers=chosen.servers, replay_root=chosen.replay)
         for name in TOPICS
     }
+    once = {"ingest_every": None, "kpi_every": None} if chosen.replay else {}
     if chosen.console:
-        streams = console_streams(topics, checkpoints)
+        streams = console_streams(topics, checkpoints, **once)
     else:
-        once = {"ingest_every": None, "kpi_every": None} if chosen.replay else {}
         streams = fleet_streams(topics, chosen.tables, checkpoints, chosen.min_delay, **once)
     runner.wait_for_all(runner.start_all(streams))
 

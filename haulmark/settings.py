@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -28,16 +29,19 @@ def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session may go
-    without, and then gets a temporary folder, remembered in the same setting.
+    without, and then gets one temporary folder per process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="haulmark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="haulmark-")
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
