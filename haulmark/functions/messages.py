@@ -43,7 +43,10 @@ def json_text(record: Column) -> Column:
 def point_in(text: Column) -> Column:
     """The ``{lat, lng}`` object in a text; null when the text holds none.
 
-    ``nullif`` keeps the parse to one per row; a condition on the fields would repeat it.
+    Plain place names are not parsed, since each would raise an error inside the
+    parser. ``nullif`` keeps the parse to one per row; a condition on the fields
+    would repeat it.
     """
     nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in POINT])
-    return F.nullif(F.from_json(text, POINT), nothing)
+    of_object = F.when(F.ltrim(text).startswith("{"), text)
+    return F.nullif(F.from_json(of_object, POINT), nothing)

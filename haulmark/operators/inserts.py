@@ -16,8 +16,8 @@ def absent_rows(
     """The rows of ``incoming`` to append: one per key that ``existing`` lacks.
 
     Of rows with the same key the first by ``first_by`` and then by the other
-    columns stays, so a rerun of a lost task picks the same one. As in SQL, a null
-    in the key is no conflict: such rows all stay.
+    columns stays (nulls first), so a rerun of a lost task picks the same one. As in
+    SQL, a null in the key is no conflict: such rows all stay.
 
     Only the keys of ``existing`` are read. Where Spark estimates the incoming keys
     small enough to broadcast, the semi join runs inside the scan and the table is

@@ -40,6 +40,16 @@ ALERTS = (
   FROM updates WHERE status = 'cancelled')"""
 )
 
+
+
+def to_one_decimal(number: str) -> str:
+    """Half up on the number as it is written; rounding the double itself would first
+    multiply it by ten and so lift 0.44999999999999996 to 0.5."""
+    return f"CAST(round(CAST(CAST({number} AS VARCHAR) AS DECIMAL(38, 18)), 1) AS DOUBLE)"
+
+
+MEAN_DELAY = f"coalesce({to_one_decimal('avg(delay_minutes)')}, 0.0::DOUBLE)"
+
 AS_OF = "(SELECT max(ts) FROM events)"
 
 PER_MINUTE = """SELECT time_bucket(INTERVAL '1 minute', "timestamp") AS window_start,
@@ -96,14 +106,14 @@ WHERE "timestamp" > {AS_OF} - INTERVAL '24 hours' AND status <> 'idle'""",
 SELECT count(*) AS deliveries_today FROM updates
 WHERE CAST("timestamp" AS DATE) = CAST({AS_OF} AS DATE) AND status = 'delivered'""",
     "report_avg_delay": f"""WITH {UPDATES}
-SELECT coalesce(round(avg(delay_minutes), 1), 0.0::DOUBLE) AS avg_delay FROM updates
+SELECT {MEAN_DELAY} AS avg_delay FROM updates
 WHERE "timestamp" > {AS_OF} - INTERVAL '24 hours' AND delay_minutes > 0""",
     "report_kpi_record": f"""WITH {PINGS}, {ALERTS}
 SELECT (SELECT count(DISTINCT driver_id) FROM pings
         WHERE "timestamp" > {AS_OF} - INTERVAL '24 hours' AND status <> 'idle') AS active_drivers,
        (SELECT count(*) FROM updates
         WHERE CAST("timestamp" AS DATE) = CAST({AS_OF} AS DATE) AND status = 'delivered') AS deliveries_today,
-       (SELECT coalesce(round(avg(delay_minutes), 1), 0.0::DOUBLE) FROM updates
+       (SELECT {MEAN_DELAY} FROM updates
         WHERE "timestamp" > {AS_OF} - INTERVAL '24 hours' AND delay_minutes > 0) AS avg_delay,
        (SELECT count(*) FROM alerts) AS active_alerts""",
     "report_recent_positions": f"""WITH {PINGS}
@@ -126,11 +136,12 @@ FROM alerts""",
 SELECT order_id, CASE WHEN status = 'cancelled' THEN 'cancellation'
                       WHEN delay_minutes >= 120 THEN 'high_delay' ELSE 'unknown' END AS anomaly_type
 FROM updates""",
-    "alert_messages": f"""WITH {ALERTS}
+    "alert_messages": f"""WITH {ALERTS}, lines AS (
 SELECT order_id, anomaly_type,
        CASE anomaly_type WHEN 'high_delay' THEN '🚨 High Delay: Order ' || order_id || ' - ' || delay_minutes || ' min'
                          WHEN 'cancellation' THEN '❌ Cancellation: Order ' || order_id END AS message
-FROM alerts""",
+FROM alerts)
+SELECT * FROM lines WHERE message IS NOT NULL""",
     "latest_alerts": f"""WITH {ALERTS}
 SELECT * FROM alerts ORDER BY "timestamp" DESC NULLS LAST, order_id DESC, anomaly_type DESC LIMIT 5""",
     "insert_if_absent": """
@@ -139,7 +150,9 @@ FROM lineitem
 WHERE l_orderkey IS NULL
    OR l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey IS NOT NULL)
 QUALIFY l_orderkey IS NULL
-     OR row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_suppkey) = 1""",
+     OR row_number() OVER (
+       PARTITION BY l_orderkey
+       ORDER BY l_shipdate NULLS FIRST, l_linenumber NULLS FIRST, l_suppkey NULLS FIRST) = 1""",
     "partition_lag": f"""
 WITH sent AS (
   SELECT CASE event_type WHEN 'view' THEN 'driver_locations' WHEN 'error' THEN 'traffic_conditions'
@@ -182,5 +195,5 @@ SELECT event_id,
        40.7128::DOUBLE + (value / 1000.0::DOUBLE - 0.5::DOUBLE) * 0.1::DOUBLE AS lat,
        -74.0060::DOUBLE + (value / 1000.0::DOUBLE - 0.5::DOUBLE) * 0.1::DOUBLE AS lng
 FROM events""",
-    "round_rating": "SELECT event_id, round(value, 1) AS rating FROM events",
+    "round_rating": f"SELECT event_id, {to_one_decimal('value')} AS rating FROM events",
 }

@@ -11,9 +11,9 @@ def value(spark, column):
 
 
 def test_padded_ids_pad_and_never_cut(spark):
-    frame = spark.createDataFrame([(7,), (123456,), (None,)], "n long")
+    frame = spark.createDataFrame([(7,), (0,), (9999,), (10000,), (123456,), (-5,), (None,)], "n long")
     got = [r.v for r in frame.select(c.padded_id(c.DRIVER_ID, F.col("n")).alias("v")).collect()]
-    assert got == ["DRV_0007", "DRV_123456", None]
+    assert got == ["DRV_0007", "DRV_0000", "DRV_9999", "DRV_10000", "DRV_123456", "DRV_-005", None]
 
 
 def test_prefixed_ids(spark):
