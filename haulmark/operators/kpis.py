@@ -23,8 +23,7 @@ def status_counts(
     return (
         updates.withWatermark(time, late_by)
         .groupBy(F.window(time, window), "status")
-        .count()
-        .withColumnRenamed("count", "delivery_count")
+        .agg(F.count(F.lit(1)).alias("delivery_count"))
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
