@@ -1,6 +1,6 @@
 """The fleet streams as one Spark application.
 
-    spark-submit --packages <kafka connector> -m haulmark.job \\
+    spark-submit --packages <kafka connector> --py-files haulmark.zip run_job.py \\
         --servers broker:9092 --tables /shared/fleet --min-delay 60
 
 Reads the message topics and keeps the tables of the reports up to date. With

@@ -23,6 +23,8 @@ def absent_rows(
     small enough to broadcast, the semi join runs inside the scan and the table is
     not shuffled; else its keys are made distinct before the shuffle. Duplicates
     are combined in each task first, so a hot key on either side stays cheap.
+    ``incoming`` is read three times, twice for its key columns only or for rows
+    without a key; write it to a table first where it is costly to compute.
     """
     key = list(key)
     no_key = reduce(or_, [F.col(name).isNull() for name in key])

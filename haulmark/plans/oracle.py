@@ -61,6 +61,10 @@ ALL_COUNTS = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in TABLES
 )
 
+HOURLY_TREND = f"""WITH {UPDATES}
+SELECT date_trunc('hour', "timestamp") AS hour, count(*) AS deliveries, avg(delay_minutes) AS avg_delay
+FROM updates WHERE "timestamp" > {AS_OF} - INTERVAL '7 days' GROUP BY 1 ORDER BY 1"""
+
 ORACLE = {
     "ingest_driver_pings": f"WITH {PINGS} SELECT * FROM pings",
     "ingest_delivery_updates": f"WITH {UPDATES} SELECT * FROM updates",
@@ -119,9 +123,8 @@ SELECT (SELECT count(DISTINCT driver_id) FROM pings
     "report_recent_positions": f"""WITH {PINGS}
 SELECT driver_id, latitude, longitude, speed, status FROM pings
 WHERE "timestamp" > {AS_OF} - INTERVAL '24 hours'""",
-    "report_hourly_trend": f"""WITH {UPDATES}
-SELECT date_trunc('hour', "timestamp") AS hour, count(*) AS deliveries, avg(delay_minutes) AS avg_delay
-FROM updates WHERE "timestamp" > {AS_OF} - INTERVAL '7 days' GROUP BY 1 ORDER BY 1""",
+    "report_hourly_trend": HOURLY_TREND,
+    "trend_of_stored_updates": HOURLY_TREND,
     "table_row_counts": f"{ALL_COUNTS} UNION ALL SELECT 'delivery_analytics', CAST(NULL AS BIGINT)",
     "list_tables": ALL_COUNTS,
     "alerts_high_delay": f"WITH {ALERTS} SELECT * FROM alerts WHERE anomaly_type = 'high_delay'",

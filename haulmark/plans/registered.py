@@ -263,6 +263,19 @@ def report_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.hourly_trend(si.updates(events), _now(events), WEEK)
 
 
+@query
+def trend_of_stored_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend on the table a stream has written, of which it reads the last date folders."""
+    stream = si.event_stream(spark, sf_dir)
+    rows = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(si.updates(stream)))))
+    root = fresh_folder(spark, "trend_of_stored_updates")
+    runner.wait_for_all(
+        [sinks.append_to_table(rows, f"{root}/table", "updates", f"{root}/state", every=None)]
+    )
+    stored = parquet_table(spark, f"{root}/table", with_event_date(DELIVERY_UPDATE))
+    return si.plain_times(reports.hourly_trend(stored, latest_time(stored), WEEK))
+
+
 @query
 def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: si.table(spark, sf_dir, name) for name in si.TABLES}

@@ -84,7 +84,8 @@ def current_rows(
     spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]
 ) -> DataFrame:
     """What ``append_changes`` has written, the last change of each key."""
-    changes = spark.read.schema(schema.add(BATCH, T.LongType())).parquet(path)
+    stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    changes = spark.read.schema(stored).parquet(path)
     values = [c for c in changes.columns if c not in key and c != BATCH]
     return changes.groupBy(*key).agg(*[F.max_by(c, BATCH).alias(c) for c in values])
 

@@ -11,7 +11,9 @@ from haulmark.plans import stand_ins as si
 from haulmark.plans.registered import QUERIES
 from haulmark.schemas import MESSAGE
 
-STREAMS = {n for n in QUERIES if "stream" in n} | {"replay_events", "append_pings_to_table"}
+STREAMS = {n for n in QUERIES if "stream" in n} | {
+    "replay_events", "append_pings_to_table", "trend_of_stored_updates"
+}
 
 
 def plan(frame):
@@ -60,6 +62,11 @@ def test_map_only(name, spark, sf_dir):
     assert "Exchange" not in plan(QUERIES[name](spark, sf_dir))
 
 
+def test_stored_table_is_read_by_date_folder(spark, sf_dir):
+    text = plan(QUERIES["trend_of_stored_updates"](spark, sf_dir))
+    assert re.search(r"PartitionFilters: \[isnotnull\(event_date#\d+\), \(event_date#\d+ >= ", text)
+
+
 def test_counts_are_combined_before_their_only_shuffle(spark, sf_dir):
     text = plan(QUERIES["kpi_status_per_minute"](spark, sf_dir))
     assert text.count("Exchange") == 1 and "partial_count" in text

@@ -133,6 +133,7 @@ def test_a_batch_that_runs_again_leaves_no_double(spark, tmp_path):
         frame.write.mode("overwrite").parquet(f"{tmp_path}/{sinks.BATCH}={batch}")
     got = sinks.current_rows(spark, str(tmp_path), frame.schema, ["k"])
     assert rows_of(got) == [("a", 3), ("b", 1)]
+    assert frame.columns == ["k", "n"] == frame.schema.names
 
 
 def test_console_application(spark, sf_dir, tmp_path):
