@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,11 @@ def list_tables(spark: SparkSession, schema: str | None = None) -> DataFrame:
     return spark.sql(f"SHOW TABLES{where}").select(F.col("tableName").alias("table_name"))
 
 
+def named_tables(spark: SparkSession, names: Iterable[str]) -> dict[str, DataFrame | None]:
+    """Tables and views by name, ``None`` for those there are not."""
+    return {name: spark.table(name) if spark.catalog.tableExists(name) else None for name in names}
+
+
 def row_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """Rows per table in one job; a table that is missing (``None``) has a null count.
 

@@ -278,8 +278,9 @@ def trend_of_stored_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {name: si.table(spark, sf_dir, name) for name in si.TABLES}
-    return catalog.row_counts(spark, tables | {"delivery_analytics": None})
+    """The tables by name, and one that is not there."""
+    register({name: si.table(spark, sf_dir, name) for name in si.TABLES})
+    return catalog.row_counts(spark, catalog.named_tables(spark, [*si.TABLES, "delivery_analytics"]))
 
 
 @query

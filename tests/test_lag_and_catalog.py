@@ -33,6 +33,13 @@ def test_row_counts_with_a_missing_table(spark):
     assert rows_of(counts) == [("a", 7), ("empty", 0), ("gone", None)]
 
 
+def test_named_tables(spark):
+    register({"named_c": spark.range(3)})
+    tables = catalog.named_tables(spark, ["named_c", "named_gone"])
+    assert tables["named_gone"] is None
+    assert rows_of(catalog.row_counts(spark, tables)) == [("named_c", 3), ("named_gone", None)]
+
+
 def test_list_tables(spark):
     register({"haul_a": spark.range(1), "haul_b": spark.range(1)})
     names = catalog.list_tables(spark).where(F.col("table_name").startswith("haul_"))
