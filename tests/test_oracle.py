@@ -7,8 +7,8 @@ import pytest
 import __spark_entry__ as entry_file
 from haulmark.plans.stand_ins import TABLES
 
-QUERIES = entry_file.queries()
-ORACLE = entry_file.oracle_sql()
+QUERIES = entry_file.QUERIES
+ORACLE = entry_file.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -48,5 +48,10 @@ def test_matches_sql(name, spark, duck, sf_dir):
     assert ours.equals(theirs), ours.compare(theirs).head()
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry_file.queries())
+    assert set(ORACLE) <= set(entry_file.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert entry_file.entry(spark).count() > 0
