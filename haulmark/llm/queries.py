@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import bpe, language, token_counts, toxicity
+from haulmark.llm import bpe, exact, language, lines, pii, token_counts, toxicity
 from haulmark.llm.folds import held_out
 from haulmark.llm.ship import ship
 
@@ -22,15 +22,32 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(table(spark, sf_dir, "documents"))
 
 
+def op2_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract(table(spark, sf_dir, "documents"))
+    counts = [pii.count_kind("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_corpus(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), with_text=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.remove_boilerplate(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(text, 256).alias("kept_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     field = toxicity.learn_from_folds(docs, table(spark, sf_dir, "labels"))
@@ -41,9 +58,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_exact_duplicates": op2_exact_duplicates,
     "op3_token_counts": op3_token_counts,
+    "op4_personal_data": op4_personal_data,
     "op5_bpe": op5_bpe,
+    "op6_line_dedup": op6_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_exact_duplicates": r"""
+        WITH t AS (
+            SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+            FROM documents
+        ), g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)
+    """,
+    "op6_line_dedup": f"""
+        WITH parts AS (
+            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw,
+                   unnest(range(len(string_split(text, chr(10))))) AS pos
+            FROM documents
+        ), l AS (SELECT *, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM parts),
+        known AS (
+            SELECT line, min(doc_id) AS keep_id FROM l WHERE line <> ''
+            GROUP BY line HAVING count(DISTINCT source) >= {lines.LEAST_SITES}
+        ), marked AS (
+            SELECT l.*, known.line IS NOT NULL AND l.doc_id <> keep_id AS gone FROM l LEFT JOIN known USING (line)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+               sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id
+    """,
+}
