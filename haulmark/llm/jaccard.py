@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from haulmark.llm.graph import components
 from haulmark.llm.scratch import Scratch, most_frequent
-from haulmark.llm.words import Words, mix, sequence_names, slices
+from haulmark.llm.words import LOWER, Words, mix, sequence_names, slices
 
 SHINGLE = 5
 PERCENT = 75
@@ -42,7 +42,7 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
 
     A text of fewer words has its whole sequence as the only shingle, one without words none.
     """
-    words = Words(column, lower=True)
+    words = Words(column, LOWER)
     names, at = words.windows(size)
     edge = np.searchsorted(at, words.row)
     out = []

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import bpe, exact, jaccard, language, lines, pii, substrings, token_counts, toxicity
+from haulmark.llm import bpe, decontaminate, exact, jaccard, language, lines, pii, substrings, token_counts, toxicity
 from haulmark.llm.folds import held_out
 from haulmark.llm.ship import ship
 
@@ -48,6 +48,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(text, 256).alias("kept_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op4_personal_data": op4_personal_data,
     "op5_bpe": op5_bpe,
     "op6_line_dedup": op6_line_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,

@@ -18,8 +18,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm.folds import bounded_sample, held_out
@@ -305,6 +306,18 @@ def score_toxicity(docs: DataFrame, field: Field, text: str = "text", doc_id: st
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double, spans array<string>").withColumnRenamed("id", doc_id)
 
 
+def score_column(docs: DataFrame, field: Field, text: str = "text") -> Column:
+    """The score of each row of ``docs`` as a column, to filter rows with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([shared.value.score(t)[0] for t in batch], dtype=float)
+
+    return score(F.col(text))
+
+
 def learn_from_folds(docs: DataFrame, labels: DataFrame, **settings) -> Field:
     """Learns from labels of rows that are not held out."""
     return learn_field(docs, labels.where(~held_out("doc_id")), **settings)

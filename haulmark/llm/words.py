@@ -23,6 +23,9 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BYTE[_SPACE] = 0
+#: Lower-cases and blanks all ASCII signs but letters and digits.
+PLAIN = LOWER.copy()
+PLAIN[[b for b in range(128) if not chr(b).isalnum()]] = 0x20
 _powers = np.ones(1, np.uint64)
 
 
@@ -68,23 +71,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of a text column: names, byte spans, and the first word of each row."""
+    """Words of a text column: names, byte spans, and the first word of each row.
 
-    def __init__(self, column: pa.Array, lower: bool = False):
-        n = self._cut(column, lower)
+    ``letters`` replaces bytes first, such as ``LOWER``.
+    """
+
+    def __init__(self, column: pa.Array, letters: np.ndarray | None = None):
+        n = self._cut(column, letters)
         self.name = _names(self.data, self.start, self.end, n)
 
     @classmethod
     def spans(cls, column: pa.Array) -> Words:
         """Without names."""
         found = cls.__new__(cls)
-        found._cut(column, False)
+        found._cut(column, None)
         return found
 
-    def _cut(self, column: pa.Array, lower: bool) -> int:
+    def _cut(self, column: pa.Array, letters: np.ndarray | None) -> int:
         data, rows = text_bytes(column)
-        if lower:
-            data = LOWER[data]
+        if letters is not None:
+            data = letters[data]
         self.data, n = data, len(data)
         word = ~_SPACE[data]
         first = word.copy()
