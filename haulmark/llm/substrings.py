@@ -28,7 +28,8 @@ WINDOW = 13
 ROUNDS = 1
 #: Keys a task holds before it puts equal ones together and hands them on.
 HELD = 2_000_000
-_KEYS = "key long, low long, high long, ids array<long>"
+#: ``ids`` lists the documents of a key in order if there are several, ``id`` is the first.
+_KEYS = "key long, id long, ids array<long>"
 
 
 class _Held:
@@ -58,10 +59,24 @@ class _Held:
         keys, ids = keys[new], ids[new]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         end = np.append(first[1:], len(keys))
+        # Keys of one document, the most by far, go in the order of documents: their ids then
+        # take next to no space in the shuffle.
+        one = end - first == 1
+        alone = first[one][np.argsort(ids[first[one]], kind="stable")]
+        for a in range(0, len(alone), 100_000):
+            part = alone[a : a + 100_000]
+            yield self._batch(keys[part], ids[part], pa.nulls(len(part), pa.list_(pa.int64())))
+        first, end = first[~one], end[~one]
         for a in range(0, len(first), 100_000):
             f, e = first[a : a + 100_000], end[a : a + 100_000]
-            lists = pa.ListArray.from_arrays(pa.array(np.append(f, e[-1]) - f[0], pa.int32()), pa.array(ids[f[0] : e[-1]]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[f].view(np.int64)), pa.array(ids[f]), pa.array(ids[e - 1]), lists], ["key", "low", "high", "ids"])
+            size = e - f
+            stop = np.cumsum(size)
+            at = np.arange(stop[-1]) + np.repeat(f - (stop - size), size)
+            yield self._batch(keys[f], ids[f], pa.ListArray.from_arrays(pa.array(np.append(0, stop), pa.int32()), pa.array(ids[at])))
+
+    @staticmethod
+    def _batch(keys: np.ndarray, ids: np.ndarray, lists: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids), lists], ["key", "id", "ids"])
 
 
 def _windows(batch: pa.RecordBatch, size: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
@@ -102,7 +117,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", do
 
     by_key = Window.partitionBy("key")
     shared = rows.where("id IS NOT NULL AND text IS NOT NULL").mapInArrow(emit_anchors, _KEYS)
-    shared = shared.select("key", "ids", F.min("low").over(by_key).alias("least"), F.max("high").over(by_key).alias("most")).where("least < most")
+    last, every = F.coalesce(F.element_at("ids", -1), "id"), F.coalesce("ids", F.array("id"))
+    shared = shared.select("key", every.alias("ids"), F.min("id").over(by_key).alias("least"), F.max(last).over(by_key).alias("most")).where("least < most")
     alive = shared.select("key", F.explode("ids").alias("of")).groupBy("of").agg(F.collect_list("key").alias("keys"))
 
     def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +133,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", do
         yield from held.flush()
 
     verified = rows.join(alive, rows["id"] == alive["of"], "left").select("id", "text", "keys").mapInArrow(emit_windows, _KEYS)
-    verified = verified.select("key", "ids", F.min("low").over(by_key).alias("least"), F.col("high")).where("least < high")
+    verified = verified.select("key", every.alias("ids"), last.alias("last"), F.min("id").over(by_key).alias("least")).where("least < last")
     later = verified.select("key", "least", F.explode("ids").alias("of")).where("of > least")
     gone = later.groupBy("of").agg(F.collect_list("key").alias("keys"))
 
