@@ -64,7 +64,8 @@ def remove_boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, text: st
     hits = places.join(known.select("a", "b", "keep_id"), ["a", "b"]).where(~F.col("id").eqNullSafe(F.col("keep_id")))
     hits = hits.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("hit"))
     hits = scratch.store(hits.select(F.struct("id", "hit").alias("found")), "hits")
-    joined = docs.join(hits, F.col(doc_id).eqNullSafe(F.col("found.id")), "left")
+    # Hits grow with the texts: one plan for every size, where texts are shuffled by id once.
+    joined = docs.join(hits.hint("merge"), F.col(doc_id).eqNullSafe(F.col("found.id")), "left")
     kept = F.when(F.col("found").isNull(), parts).otherwise(F.filter(parts, lambda x: ~F.array_contains(F.col("found.hit"), _key(x))))
     rest = joined.select(*[docs[c] for c in docs.columns], F.col("found"), parts.alias("_parts"), kept.alias("_kept"))
     n_lines = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size("_parts")).cast("long")
