@@ -135,11 +135,13 @@ def _sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int, p
 
 def _group_edges(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Edges between groups that may hold similar sets."""
-    at = sets.where("prefix IS NOT NULL").select(F.explode("prefix").alias("name"), "bunch", "n")
-    order = Window.partitionBy("name").orderBy("bunch")
+    # Most shingles are no one else's. To find the others, names travel with the id of a row of
+    # the group, which costs the shuffle little; groups are looked up for what is left.
+    named = sets.where("prefix IS NOT NULL AND id IS NOT NULL").select(F.explode("prefix").alias("name"), "id")
+    met = named.withColumn("rows", F.count("*").over(Window.partitionBy("name"))).where("rows > 1").select("name", "id")
+    met = scratch.store(met, "met")
+    at = met.join(sets.select("id", "bunch", "n"), "id").select("name", "bunch", "n").distinct()
     whole = Window.partitionBy("name")
-    # A group shows up once per task that met it: keep it once, then count groups.
-    at = at.withColumn("last", F.lag("bunch").over(order)).where("last IS NULL OR last <> bunch").drop("last")
     at = at.withColumn("groups", F.count("*").over(whole)).withColumn("least", F.min("bunch").over(whole)).where("groups > 1")
     at = scratch.store(at, "shared")
     few = at.where(F.col("groups") <= PAIRED)
@@ -213,26 +215,11 @@ def linking_pairs(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
 
 
 def _links(texts: DataFrame, places: DataFrame, size: int, percent: int) -> DataFrame:
-    """``u, v``: links between representatives."""
-    prints = F.struct("p0", "p1")
-    wanted = places.groupBy("rep").agg(F.collect_set(prints).alias("wanted"))
+    """``u, v``: links between representatives.
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            ids, p0, p1, sets = [], [], [], []
-            wanted = batch.column("wanted").to_pylist()
-            for k, one in enumerate(shingle_sets(batch.column("text"), size)):
-                a, b = _prints(one)
-                if {"p0": a, "p1": b} in wanted[k]:
-                    ids.append(batch.column("id")[k].as_py())
-                    p0.append(a)
-                    p1.append(b)
-                    sets.append(one.tobytes())
-            yield pa.RecordBatch.from_pydict({"rep": pa.array(ids, pa.int64()), "p0": pa.array(p0, pa.int64()), "p1": pa.array(p1, pa.int64()), "set": pa.array(sets, pa.binary())})
-
-    found = texts.join(wanted, texts["id"] == wanted["rep"]).select("id", "text", "wanted")
-    found = found.mapInArrow(build, "rep long, p0 long, p1 long, set binary")
-    rows = places.join(found, ["rep", "p0", "p1"]).select("pair", "rep", "set")
+    Texts go to the blocks, as they take less space than their sets.
+    """
+    rows = texts.join(places, texts["id"] == places["rep"]).select("pair", "rep", "p0", "p1", "text")
     rows = rows.repartition("pair").sortWithinPartitions("pair")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,13 +229,15 @@ def _links(texts: DataFrame, places: DataFrame, size: int, percent: int) -> Data
             found = linking_pairs(sets, percent) if len(sets) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in found], pa.int64()), pa.array([ids[b] for _, b in found], pa.int64())], ["u", "v"])
 
-        for batch in batches:
-            for pair, rep, one in zip(*(c.to_pylist() for c in batch.columns)):
+        for batch in slices(batches, "text"):
+            own = (batch.column(c).to_pylist() for c in ("pair", "rep", "p0", "p1"))
+            for pair, rep, p0, p1, one in zip(*own, shingle_sets(batch.column("text"), size)):
                 if pair != now:
                     yield links()
                     now, ids, sets = pair, [], []
-                ids.append(rep)
-                sets.append(np.frombuffer(one, np.uint64))
+                if _prints(one) == (p0, p1):  # another row may have the same id
+                    ids.append(rep)
+                    sets.append(one)
         yield links()
 
     return rows.mapInArrow(compare, "u long, v long").where("u <> v").distinct()
@@ -269,7 +258,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     # Of equal sets, the smallest id stands for all.
     distinct = sets.where("n > 0").groupBy("bunch", "n", "p0", "p1").agg(F.min("id").alias("rep"))
     distinct = scratch.store(distinct.where("rep IS NOT NULL"), "distinct")
-    edges = _group_edges(sets, percent, scratch)
+    edges = scratch.store(_group_edges(sets, percent, scratch), "edges")
+    # Prefixes have done their work.
+    whole = scratch.store(sets.select("id", "n", "p0", "p1"), "rows")
+    scratch.drop(sets)
     many = distinct.groupBy("bunch").agg(F.count("*").alias("sets")).where("sets > 1")
     clusters = components(edges.unionAll(many.select(F.col("bunch").alias("u"), F.col("bunch").alias("v"))), scratch)
     members = distinct.join(clusters.select(F.col("node").alias("bunch"), F.col("component").alias("cluster")), "bunch")
@@ -279,6 +271,6 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     classes = components(links, scratch)
     classed = distinct.join(classes, distinct["rep"] == classes["node"], "left")
     classed = classed.select("n", "p0", "p1", F.coalesce("component", "rep").alias("component_id"))
-    whole = sets.select("id", "n", "p0", "p1").join(classed, ["n", "p0", "p1"], "left")
+    whole = whole.join(classed, ["n", "p0", "p1"], "left")
     own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     return whole.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), own.alias("component_id"))
