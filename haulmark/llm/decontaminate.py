@@ -25,11 +25,11 @@ from haulmark.llm.words import PLAIN, Words, slices
 
 #: Words of a block; a passage is two neighbouring blocks.
 HALF = 32
-RANK = 96
+RANK = 64
 #: Terms in a larger share of passages tell nothing.
 COMMON = 0.1
 #: Least cosine of a candidate, for an item of a passage's length.
-NEAR = 0.4
+NEAR = 0.5
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
 _WORDS_AT_ONCE = 1 << 16
 
@@ -232,16 +232,32 @@ class _Search:
         # Items without enough telling terms are compared by all their terms.
         self.telling = [int((idf[t] > 0).sum()) >= 4 for t in items.terms]
         self.size = size
+        self._members: dict[int, np.ndarray] = {}
         self.terms = [t[idf[t] > 0] if k else t for t, k in zip(items.terms, self.telling)]
         self.answers = [t[idf[t] > 0] if k else t for t, k in zip(items.answers, self.telling)]
 
+    def member(self, item: int) -> np.ndarray:
+        """Which terms are the item's."""
+        known = self._members.get(item)
+        if known is None:
+            if len(self._members) >= 4096:
+                self._members.clear()
+            known = self._members[item] = np.zeros(len(self.idf), bool)
+            known[self.terms[item]] = True
+            known[self.answers[item]] = True
+        return known
+
     def find(self, column: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
         """Row, item, cosine, share of the item and of its answer in common."""
         found = _passages(column)
         if found is None:
             return
-        blocks = np.add.reduceat(self.vectors[found.terms], found.block)
-        blocks = np.concatenate([blocks, np.zeros_like(blocks[:1])])
+        keep = self.idf[found.terms] > 0
+        terms, block = found.terms[keep], found.of_word[keep]
+        blocks = np.zeros((len(found.block), self.vectors.shape[1]), np.float32)
+        if len(terms):
+            edge = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            blocks[block[edge]] = np.add.reduceat(self.vectors[terms], edge)
         spread = blocks[found.head] + np.where((found.tail > found.head)[:, None], blocks[found.tail], 0)
         spread /= np.maximum(np.linalg.norm(spread, axis=1, keepdims=True), 1e-9)
         for a in range(0, len(self.size), 4096):
@@ -251,8 +267,9 @@ class _Search:
                 begin = max(int(found.first[row]), int(found.block[found.head[p]]) - int(self.size[item]))
                 end = min(int(found.first[row + 1]), int(found.block[found.head[p]]) + 2 * HALF + int(self.size[item]))
                 words = found.terms[begin:end]
-                if self.telling[item]:
-                    words = words[self.idf[words] > 0]
+                words = words[self.member(item)[words]]
+                if len(words) < PARAPHRASE * len(self.terms[item]):
+                    continue  # no more can be in common
                 share = common_subsequence(self.terms[item], words) / len(self.terms[item])
                 if share >= PARAPHRASE:
                     wanted = self.answers[item]
