@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
+from pyspark import SparkContext, SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,12 +100,18 @@ def compile_lexicon(spark: SparkSession, frequent: DataFrame, vocabulary: str) -
     save(build([p.encode() for p in found], [piece_ids(p, known) for p in found]), path)
     with open(path, "rb") as file:
         name = f"lexicon-{hashlib.sha256(file.read()).hexdigest()[:24]}"
-    target = os.path.join(folder, name)
-    os.rename(path, target)
-    spark.sparkContext.addFile(target)
+    context = spark.sparkContext
+    if _added.get(name) is not context:  # a file of a name is added to an application once
+        target = os.path.join(folder, name)
+        os.rename(path, target)
+        context.addFile(target)
+        _added[name] = context
     return name
 
 
+_added: dict[str, SparkContext] = {}
+
+
 class Encoder:
     """Encodes slices of texts in one task."""
 
