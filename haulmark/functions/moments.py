@@ -17,7 +17,7 @@ EVENT_DATE = "event_date"
 
 # Date folders follow the writer's session zone. Two zones never differ by more
 # than 26 hours, so two days of slack make the folder bound safe for any reader.
-_DATE_SLACK = 2
+DATE_SLACK = 2
 
 
 def moment(as_of: datetime | Column | None, kind: T.DataType) -> Column:
@@ -37,7 +37,7 @@ def newer_than(
     bound = moment(as_of, frame.schema[time].dataType) - F.lit(within)
     newer = F.col(time) > bound
     if EVENT_DATE in frame.columns:
-        newer &= F.col(EVENT_DATE) >= F.date_sub(F.to_date(bound), _DATE_SLACK)
+        newer &= F.col(EVENT_DATE) >= F.date_sub(F.to_date(bound), DATE_SLACK)
     return newer
 
 
@@ -50,7 +50,7 @@ def on_day_of(
     same_day = (F.col(time) >= day.cast(kind)) & (F.col(time) < F.date_add(day, 1).cast(kind))
     if EVENT_DATE in frame.columns:
         same_day &= F.col(EVENT_DATE).between(
-            F.date_sub(day, _DATE_SLACK), F.date_add(day, _DATE_SLACK)
+            F.date_sub(day, DATE_SLACK), F.date_add(day, DATE_SLACK)
         )
     return same_day
 
@@ -59,8 +59,14 @@ def latest_time(frame: DataFrame, time: str = "timestamp") -> datetime | None:
     """The newest event time, as a literal for ``as_of``: one value, one job.
 
     As a literal it prunes row groups and date folders; a scalar subquery in the
-    same place would leave the scan whole.
+    same place would leave the scan whole. Of a table stored by date only the newest
+    folders are read (found by their names, without a column), so a row with a date
+    in the far future decides, as its time would.
     """
+    if EVENT_DATE in frame.columns:
+        day = frame.agg(F.max(EVENT_DATE)).first()[0]
+        if day is not None:
+            frame = frame.where(F.col(EVENT_DATE) >= F.lit(day - timedelta(days=DATE_SLACK)))
     newest = F.max(time)
     if isinstance(frame.schema[time].dataType, T.TimestampNTZType):
         return frame.agg(newest).first()[0]

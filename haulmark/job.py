@@ -14,12 +14,16 @@ import argparse
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from haulmark.operators import alerts, ingest, kpis
 from haulmark.settings import shared_root, with_settings
+from haulmark.schemas import ALERT_RECORD, DELIVERY_UPDATE, DRIVER_PING, STATUS_COUNT, TRAFFIC_UPDATE, with_event_date
 from haulmark.sources.messages import message_stream
 from haulmark.streaming import runner, sinks
+from haulmark.streaming.progress import ProgressLog, topic_lag
+from haulmark.streaming.stored import KEEP, REFUSE, REPLACE, current_rows, stored_table
 
 # The topics of the three message kinds.
 PING_TOPIC = "driver_locations"
@@ -33,6 +37,10 @@ UPDATES = "delivery_analytics"
 TRAFFIC = "traffic_conditions"
 COUNTS = "delivery_status_counts"
 ALERTS = "alerts"
+LAG = "lag"
+
+# Fixed value: how often the lag is written.
+LAG_SECONDS = 60
 
 
 def fleet_streams(
@@ -43,29 +51,47 @@ def fleet_streams(
     *,
     ingest_every: str | None = sinks.INGEST_EVERY,
     kpi_every: str | None = sinks.KPI_EVERY,
+    others: str = REFUSE,
 ) -> list[Callable[[], StreamingQuery]]:
     """The streams over the given topics, ready to start. Each reads its topic on its
-    own and has its own progress, so one may lag or restart without the others."""
+    own and has its own progress, so one may lag or restart without the others; the
+    deliveries are read thrice for that. ``others`` says what to do about tables that
+    streams with other checkpoint folders have written."""
 
     def stored(rows: DataFrame, name: str) -> Callable[[], StreamingQuery]:
-        rows = ingest.dated(ingest.stamped(rows))
-        return lambda: sinks.append_to_table(rows, f"{tables}/{name}", name, checkpoints, every=ingest_every)
+        path = f"{tables}/{name}"
+        return lambda: sinks.append_to_table(rows, path, name, checkpoints, every=ingest_every, others=others)
+
+    def stamped(rows: DataFrame) -> DataFrame:
+        return ingest.dated(ingest.stamped(rows))
 
     deliveries = topics[DELIVERY_TOPIC]
     counts = kpis.status_counts(ingest.delivery_states(deliveries))
     raised = alerts.all_alerts(ingest.delivery_updates(deliveries), min_delay_minutes)
-    records = alerts.alert_records(raised)
+    records = alerts.alert_records(raised, dated=True)
     return [
-        stored(ingest.driver_pings(topics[PING_TOPIC]), PINGS),
-        stored(ingest.delivery_updates(deliveries), UPDATES),
-        stored(ingest.traffic_updates(topics[TRAFFIC_TOPIC]), TRAFFIC),
-        lambda: sinks.append_changes(counts, f"{tables}/{COUNTS}", COUNTS, checkpoints, every=kpi_every),
-        lambda: sinks.append_to_table(
-            records, f"{tables}/{ALERTS}", ALERTS, checkpoints, every=ingest_every, by=()
+        stored(stamped(ingest.driver_pings(topics[PING_TOPIC])), PINGS),
+        stored(stamped(ingest.delivery_updates(deliveries)), UPDATES),
+        stored(stamped(ingest.traffic_updates(topics[TRAFFIC_TOPIC])), TRAFFIC),
+        lambda: sinks.fold_counts(
+            counts, f"{tables}/{COUNTS}", COUNTS, checkpoints, every=kpi_every, others=REFUSE if others == KEEP else others
         ),
+        stored(records, ALERTS),
     ]
 
 
+def fleet_tables(spark: SparkSession, tables: str) -> dict[str, DataFrame]:
+    """The stored tables by name, as the reports and alerts take them."""
+    schemas = {
+        PINGS: with_event_date(DRIVER_PING),
+        UPDATES: with_event_date(DELIVERY_UPDATE),
+        TRAFFIC: with_event_date(TRAFFIC_UPDATE),
+        ALERTS: ALERT_RECORD,
+    }
+    found = {name: stored_table(spark, f"{tables}/{name}", schema) for name, schema in schemas.items()}
+    return {**found, COUNTS: current_rows(spark, f"{tables}/{COUNTS}", STATUS_COUNT)}
+
+
 def console_streams(
     topics: Mapping[str, DataFrame],
     checkpoints: str,
@@ -107,6 +133,15 @@ def main(arguments: list[str] | None = None) -> None:
         default=8,
         help="partitions of the counts; fixed by the first start on a checkpoint folder",
     )
+    parser.add_argument("--max-offsets", type=int, help="most messages of a topic in one batch")
+    parser.add_argument("--min-partitions", type=int, help="least tasks that read a topic")
+    parser.add_argument("--files-per-trigger", type=int, help="most stored files of a topic in one batch")
+    parser.add_argument(
+        "--others",
+        choices=[REFUSE, KEEP, REPLACE],
+        default=REFUSE,
+        help="rows that streams with other checkpoint folders have left in the tables; counts are never kept",
+    )
     chosen = parser.parse_args(arguments)
     if chosen.tables and chosen.min_delay is None:
         parser.error("--tables needs --min-delay")
@@ -115,15 +150,37 @@ def main(arguments: list[str] | None = None) -> None:
     spark.conf.set("spark.sql.shuffle.partitions", chosen.state_partitions)
     checkpoints = chosen.checkpoints or f"{shared_root(spark)}/haulmark"
     topics = {
-        name: message_stream(spark, name, servers=chosen.servers, replay_root=chosen.replay)
+        name: message_stream(
+            spark, name, servers=chosen.servers, replay_root=chosen.replay,
+            files_per_trigger=chosen.files_per_trigger, **broker_options(chosen.max_offsets, chosen.min_partitions),
+        )
         for name in TOPICS
     }
     once = {"ingest_every": None, "kpi_every": None} if chosen.replay else {}
     if chosen.console:
-        streams = console_streams(topics, checkpoints, **once)
-    else:
-        streams = fleet_streams(topics, chosen.tables, checkpoints, chosen.min_delay, **once)
-    runner.wait_for_all(runner.start_all(streams))
+        runner.wait_for_all(runner.start_all(console_streams(topics, checkpoints, **once)))
+        return
+    log = ProgressLog(spark, f"{chosen.tables}/progress")
+    spark.streams.addListener(log)
+    try:
+        streams = fleet_streams(topics, chosen.tables, checkpoints, chosen.min_delay, others=chosen.others, **once)
+        queries = runner.start_all(streams)
+        runner.wait_for_all(queries, report=lambda: write_lag(log, f"{chosen.tables}/{LAG}"), report_every=LAG_SECONDS)
+        log.flush(queries)
+    finally:
+        spark.streams.removeListener(log)
+
+
+def broker_options(max_offsets: int | None, min_partitions: int | None) -> dict[str, str]:
+    given = {"maxOffsetsPerTrigger": max_offsets, "minPartitions": min_partitions}
+    return {name: str(value) for name, value in given.items() if value is not None}
+
+
+def write_lag(log: ProgressLog, path: str) -> None:
+    """Append how far each stream is behind in each partition, as of its last batch."""
+    offsets = log.newest_offsets()
+    lag = topic_lag(offsets.where(F.col("latest_offset").startswith("{") & ~F.col("latest_offset").contains("logOffset")))
+    lag.withColumn("measured_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
 
 
 if __name__ == "__main__":

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulmark.functions.columns import CANCELLATION, HIGH_DELAY, UNKNOWN, alert_message
 from haulmark.functions.messages import ISO_MICROS, json_text
+from haulmark.functions.moments import DATE_SLACK, EVENT_DATE, moment, newer_than
 from haulmark.schemas import ALERT
 from haulmark.sources.tables import records_with_prefix
 
 # Fixed value: the key prefix of alert records.
 KEY_PREFIX = "alert:"
 
+#: Stands for a missing part of a key.
+MISSING = "none"
+
 ALERT_COLUMNS = ("anomaly_type", "order_id", "delay_minutes", "timestamp")
 
 
@@ -50,21 +57,35 @@ def all_alerts(updates: DataFrame, min_delay_minutes: int) -> DataFrame:
     return raised.where(F.col("anomaly_type").isNotNull())
 
 
-def alert_records(alerts: DataFrame) -> DataFrame:
+def alert_records(alerts: DataFrame, *, dated: bool = False) -> DataFrame:
     """Alerts as key/value records, ``alert:<type>:<order>:<time>`` and JSON.
 
-    The time keeps repeated alerts of an order apart.
+    The time keeps repeated alerts of an order apart; what is missing reads ``none``.
+    ``dated`` adds the date of the alert, the folder column of stored records.
     """
-    own = F.concat_ws(":", "anomaly_type", "order_id", F.date_format("timestamp", ISO_MICROS))
+    parts = [F.col("anomaly_type"), F.col("order_id"), F.date_format("timestamp", ISO_MICROS)]
+    own = F.concat_ws(":", *[F.coalesce(part, F.lit(MISSING)) for part in parts])
     return alerts.select(
         F.concat(F.lit(KEY_PREFIX), own).alias("key"),
         json_text(F.struct(*ALERT_COLUMNS)).alias("value"),
+        *([F.to_date("timestamp").alias(EVENT_DATE)] if dated else []),
     )
 
 
-def active_alerts(records: DataFrame) -> DataFrame:
-    """The alerts among key/value records; a missing type reads ``unknown``."""
+def active_alerts(
+    records: DataFrame, within: timedelta | None = None, as_of: datetime | Column | None = None
+) -> DataFrame:
+    """The alerts among key/value records; a missing type reads ``unknown``.
+
+    ``within`` keeps alerts raised after ``as_of - within``; of records stored by date only
+    those folders are read.
+    """
+    if within is not None and EVENT_DATE in records.columns:
+        bound = moment(as_of, T.TimestampType()) - F.lit(within)
+        records = records.where(F.col(EVENT_DATE) >= F.date_sub(F.to_date(bound), DATE_SLACK))
     found = records_with_prefix(records, KEY_PREFIX, ALERT)
+    if within is not None:
+        found = found.where(newer_than(found, within, as_of))
     return found.withColumn("anomaly_type", F.coalesce("anomaly_type", F.lit(UNKNOWN)))
 
 

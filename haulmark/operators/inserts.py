@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from haulmark.functions.moments import EVENT_DATE
+from haulmark.streaming import stored
+
+#: Types whose minimum fits a hash aggregate.
+_FIXED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
 def absent_rows(
@@ -19,35 +27,65 @@ def absent_rows(
     columns stays (nulls first), so a rerun of a lost task picks the same one. As in
     SQL, a null in the key is no conflict: such rows all stay.
 
+    Held keys go first. If the first column of ``first_by`` has a fixed width, its least
+    value per key is found by hash in each task, and only rows that have it meet to be
+    told apart: a key with a third of all rows costs one row per task, and nothing is
+    sorted before a shuffle. Otherwise rows are compared as a whole, which sorts them.
+
     Only the keys of ``existing`` are read. Where Spark estimates the incoming keys
     small enough to broadcast, the semi join runs inside the scan and the table is
-    not shuffled; else its keys are made distinct before the shuffle. Duplicates
-    are combined in each task first, so a hot key on either side stays cheap.
-    ``incoming`` is read three times, twice for its key columns only or for rows
-    without a key; write it to a table first where it is costly to compute.
+    not shuffled; else its keys are made distinct before the shuffle.
+    ``incoming`` is read more than once, mostly for its key columns only; write it to a
+    table first where it is costly to compute.
     """
     key = list(key)
     no_key = reduce(or_, [F.col(name).isNull() for name in key])
     rest = [*first_by, *[c for c in incoming.columns if c not in key and c not in first_by]]
 
     keyed = incoming.where(~no_key)
-    if rest:
-        once = keyed.groupBy(*key).agg(F.min(F.struct(*rest)).alias("kept"))
-        once = once.select(*key, "kept.*").select(*incoming.columns)
-    else:
-        once = keyed.distinct()
-
     held = existing.select(*key).distinct()
     held = held.join(keyed.select(*key).distinct(), key, "left_semi")
-    return once.join(held, key, "left_anti").unionByName(incoming.where(no_key))
+    fresh = keyed.join(held, key, "left_anti")
+    if not rest:
+        once = fresh.distinct()
+    elif isinstance(incoming.schema[rest[0]].dataType, _FIXED):
+        once = _first_rows(fresh, key, rest)
+    else:
+        once = fresh.groupBy(*key).agg(F.min(F.struct(*rest)).alias("kept"))
+        once = once.select(*key, "kept.*")
+    return once.select(*incoming.columns).unionByName(incoming.where(no_key))
+
+
+def _first_rows(rows: DataFrame, key: list[str], rest: list[str]) -> DataFrame:
+    """Per key the least row by ``rest``, nulls first."""
+    lead = rest[0]
+    # A null is least, and counts as one; min() itself would pass it over.
+    least = rows.groupBy(*key).agg(
+        F.min(lead).alias("_least"), F.max(F.col(lead).isNull()).alias("_null")
+    )
+    least = least.select(*[F.col(k).alias(f"_{k}") for k in key], F.when(~F.col("_null"), F.col("_least")).alias("_least"))
+    same = [F.col(f"_{k}") == F.col(k) for k in key]
+    tied = rows.join(least, reduce(and_, [*same, F.col("_least").eqNullSafe(F.col(lead))]))
+    order = Window.partitionBy(*key).orderBy(*[F.asc_nulls_first(c) for c in rest])
+    # The first row of a key has none before it. (A rank would be cut by a sort ahead of the shuffle.)
+    tied = tied.select(*rows.columns, F.lag(F.lit(1)).over(order).alias("_before"))
+    return tied.where("_before IS NULL").drop("_before")
 
 
 def insert_if_absent(
     incoming: DataFrame, path: str, key: Sequence[str], first_by: Sequence[str] = ()
 ) -> None:
-    """Append the absent rows to the parquet table at ``path``.
+    """Append the absent rows to the table at ``path``, made where there is none.
 
-    Parquet has no transactions: this is safe for one writer at a time.
+    Rows with an ``event_date`` go below their date folder, beside those that streams write,
+    and are read with ``stored_table``. A plain parquet table stays one. There are no
+    transactions: this is safe for one writer at a time.
     """
-    existing = incoming.sparkSession.read.schema(incoming.schema).parquet(path)
-    absent_rows(incoming, existing, key, first_by).write.mode("append").parquet(path)
+    spark = incoming.sparkSession
+    existing = stored.stored_table(spark, path, incoming.schema)
+    rows = absent_rows(incoming, existing, key, first_by)
+    if stored.is_plain(spark, path):
+        rows.write.mode("append").parquet(path)
+        return
+    by = (EVENT_DATE,) if EVENT_DATE in incoming.columns else ()
+    stored.write_batch(rows, path, f"insert-{uuid.uuid4().hex}", 0, by, new=True)

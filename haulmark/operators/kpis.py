@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 WINDOW = "1 minute"
 LATE_BY = "2 minutes"
 
+COUNT_KEY = ("window_start", "window_end", "status")
+
 
 def status_counts(
     updates: DataFrame, *, time: str = "timestamp", window: str = WINDOW, late_by: str = LATE_BY

@@ -67,7 +67,7 @@ FROM updates WHERE "timestamp" > {AS_OF} - INTERVAL '7 days' GROUP BY 1 ORDER BY
 
 ORACLE = {
     "ingest_driver_pings": f"WITH {PINGS} SELECT * FROM pings",
-    "ingest_delivery_updates": f"WITH {UPDATES} SELECT * FROM updates",
+    "ingest_delivery_updates": f"WITH {UPDATES} SELECT *, lat AS text_lat, lng AS text_lng FROM updates",
     "ingest_traffic_updates": """
 SELECT printf('AREA_%03d', user_id % 50 + 1) AS area_id,
        ts AS "timestamp",
@@ -82,10 +82,12 @@ FROM events""",
 SELECT '{{' || concat_ws(',',
          '"order_id":"' || order_id || '"',
          '"driver_id":"' || driver_id || '"',
+         '"customer_id":"' || customer_id || '"',
          '"status":"' || status || '"',
          '"timestamp":"' || strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') || '"',
+         '"estimated_arrival":"' || strftime(estimated_arrival, '%Y-%m-%dT%H:%M:%S.%f') || '"',
          '"delay_reason":"' || delay_reason || '"',
-         '"delay_minutes":' || delay_minutes) || '}}' AS message
+         '"delay_minutes":' || delay_minutes) || '}}' AS message, lat, lng
 FROM updates""",
     "replay_events": "SELECT * FROM events",
     "append_pings_to_table": f"""WITH {PINGS}
@@ -102,7 +104,11 @@ UNION ALL SELECT 'delivery_analytics', count(*) FROM updates
 UNION ALL SELECT 'status_counts', count(*) FROM counts""",
     "stream_progress": """
 SELECT 'counts' AS query_name, count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows_dropped FROM events
-UNION ALL SELECT 'alerts', count(*), CAST(0 AS BIGINT) FROM events""",
+UNION ALL SELECT 'slices', count(*), CAST(0 AS BIGINT) FROM events""",
+    "insert_into_stored_updates": f"""WITH {UPDATES}
+SELECT order_id, status, "timestamp", delay_minutes, CAST("timestamp" AS DATE) AS event_date FROM updates""",
+    "alerts_of_stored_records": f"""WITH {ALERTS}
+SELECT * FROM alerts WHERE "timestamp" > {AS_OF} - INTERVAL '7 days'""",
     "report_active_drivers": f"""WITH {PINGS}
 SELECT count(DISTINCT driver_id) AS active_drivers FROM pings
 WHERE "timestamp" > {AS_OF} - INTERVAL '24 hours' AND status <> 'idle'""",

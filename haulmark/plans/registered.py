@@ -30,8 +30,10 @@ from haulmark.operators import catalog, ingest, inserts, kpis, lag, reports
 from haulmark.plans import stand_ins as si
 from haulmark.schemas import DELIVERY_UPDATE, DRIVER_PING, with_event_date
 from haulmark.settings import fresh_folder
-from haulmark.sources.tables import parquet_table, register
+from haulmark.sources.messages import replay
+from haulmark.sources.tables import register
 from haulmark.streaming import progress, runner, sinks
+from haulmark.streaming.stored import current_rows, stored_table
 
 MIN_DELAY = 120
 
@@ -81,7 +83,8 @@ def ingest_driver_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ingest_delivery_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ingest.stamped(ingest.delivery_updates(encoded(_updates(spark, sf_dir))))
-    rows = rows.select("*", "location.lat", "location.lng")
+    text = [F.get_json_object("location_text", f"$.{c}").cast("double").alias(f"text_{c}") for c in ("lat", "lng")]
+    rows = rows.select("*", "location.lat", "location.lng", *text)
     return si.plain_times(rows.drop("processed_at", "location", "location_text"))
 
 
@@ -93,9 +96,11 @@ def ingest_traffic_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def encode_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = ["order_id", "driver_id", "status", "timestamp", "delay_reason", "delay_minutes"]
-    messages = encoded(_updates(spark, sf_dir).select(*fields))
-    return messages.select(F.col("value").cast("string").alias("message"))
+    """All fields; the place as numbers, which have more than one spelling."""
+    text = F.col("value").cast("string")
+    place = [F.get_json_object(text, f"$.location.{c}").cast("double").alias(c) for c in ("lat", "lng")]
+    rest = F.regexp_replace(text, r'"location":\{[^}]*\},', "")
+    return encoded(_updates(spark, sf_dir)).select(rest.alias("message"), *place)
 
 
 # --- streams ----------------------------------------------------------------
@@ -108,7 +113,7 @@ def replay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     runner.wait_for_all(
         [sinks.append_to_table(stream, f"{root}/table", "replay", f"{root}/state", every=None, by=())]
     )
-    return parquet_table(spark, f"{root}/table", stream.schema)
+    return stored_table(spark, f"{root}/table", stream.schema)
 
 
 @query
@@ -119,7 +124,7 @@ def append_pings_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     runner.wait_for_all(
         [sinks.append_to_table(rows, f"{root}/table", "pings", f"{root}/state", every=None)]
     )
-    stored = parquet_table(spark, f"{root}/table", with_event_date(DRIVER_PING))
+    stored = stored_table(spark, f"{root}/table", with_event_date(DRIVER_PING))
     return si.plain_times(stored.drop("processed_at"))
 
 
@@ -134,16 +139,28 @@ def kpi_status_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = kpis.status_counts(_stream_updates(spark, sf_dir))
+    """Events in the order of time, in several batches; counts folded after each."""
     root = fresh_folder(spark, "kpi_stream_update")
+    events = si.with_stream_time(_event_batches(spark, sf_dir, f"{root}/events", 6))
+    counts = kpis.status_counts(si.updates(events))
     runner.wait_for_all(
-        [sinks.append_changes(counts, f"{root}/changes", "status_counts", f"{root}/state", every=None)]
+        [sinks.fold_counts(counts, f"{root}/counts", "status_counts", f"{root}/state", every=None)]
     )
-    key = ["window_start", "window_end", "status"]
-    now = sinks.current_rows(spark, f"{root}/changes", counts.schema, key)
+    now = current_rows(spark, f"{root}/counts", counts.schema)
     return si.plain_times(now.drop("kpi_calculated_at"))
 
 
+def _event_batches(spark: SparkSession, sf_dir: str, path: str, batches: int) -> DataFrame:
+    """All events as a stream of about so many batches, each of a stretch of time."""
+    events = si.events(spark, sf_dir)
+    events.repartitionByRange(batches, "ts").sortWithinPartitions("ts").write.parquet(path)
+    files = [row["f"] for row in spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.min("ts").alias("t")).orderBy("t").collect()]
+    # A file source goes by the time a file was written: one after the other.
+    for number, file in enumerate(files):
+        spark.read.parquet(file).coalesce(1).write.parquet(f"{path}-in-order/part={number}")
+    return replay(spark, f"{path}-in-order/*", events.schema, files_per_trigger=1)
+
+
 @query
 def kpi_stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = kpis.status_counts(_stream_updates(spark, sf_dir))
@@ -151,7 +168,7 @@ def kpi_stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     runner.wait_for_all(
         [sinks.append_to_table(counts, f"{root}/table", "closed", f"{root}/state", every=None, by=())]
     )
-    closed = parquet_table(spark, f"{root}/table", counts.schema)
+    closed = stored_table(spark, f"{root}/table", counts.schema)
     return si.plain_times(closed.drop("kpi_calculated_at"))
 
 
@@ -162,7 +179,7 @@ def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     runner.wait_for_all(
         [sinks.append_to_table(alerts, f"{root}/table", "alerts", f"{root}/state", every=None, by=())]
     )
-    return si.plain_times(parquet_table(spark, f"{root}/table", alerts.schema))
+    return si.plain_times(stored_table(spark, f"{root}/table", alerts.schema))
 
 
 @query
@@ -180,35 +197,45 @@ def streams_together(spark: SparkSession, sf_dir: str) -> DataFrame:
             [
                 lambda: sinks.append_to_table(pings, f"{root}/pings", "pings", state, every=None),
                 lambda: sinks.append_to_table(updates, f"{root}/updates", "updates", state, every=None),
-                lambda: sinks.append_changes(counts, f"{root}/counts", "counts", state, every=None),
+                lambda: sinks.fold_counts(counts, f"{root}/counts", "counts", state, every=None),
             ]
         )
     )
-    key = ["window_start", "window_end", "status"]
     return catalog.row_counts(
         spark,
         {
-            "driver_locations": parquet_table(spark, f"{root}/pings", with_event_date(DRIVER_PING)),
-            "delivery_analytics": parquet_table(spark, f"{root}/updates", with_event_date(DELIVERY_UPDATE)),
-            "status_counts": sinks.current_rows(spark, f"{root}/counts", counts.schema, key),
+            "driver_locations": stored_table(spark, f"{root}/pings", with_event_date(DRIVER_PING)),
+            "delivery_analytics": stored_table(spark, f"{root}/updates", with_event_date(DELIVERY_UPDATE)),
+            "status_counts": current_rows(spark, f"{root}/counts", counts.schema),
         },
     )
 
 
 @query
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input and late rows of two streams, one over more than a hundred batches."""
     root = fresh_folder(spark, "stream_progress")
+    log = progress.ProgressLog(spark, f"{root}/log")
     updates = _stream_updates(spark, sf_dir)
-    counts, alerts = kpis.status_counts(updates), al.all_alerts(updates, MIN_DELAY)
-    queries = runner.start_all(
-        [
-            lambda: sinks.append_to_table(counts, f"{root}/counts", "counts", f"{root}/state", every=None, by=()),
-            lambda: sinks.append_to_table(alerts, f"{root}/alerts", "alerts", f"{root}/state", every=None, by=()),
-        ]
-    )
-    runner.wait_for_all(queries)
+    counts = kpis.status_counts(updates)
+    events = si.events(spark, sf_dir)
+    parts = events.select("event_id", "event_type", (F.col("event_id") % 120).alias("part"))
+    parts.repartition(8, "part").write.partitionBy("part").parquet(f"{root}/parts")
+    slices = replay(spark, f"{root}/parts/*", parts.drop("part").schema, files_per_trigger=1)
+    spark.streams.addListener(log)
+    try:
+        queries = runner.start_all(
+            [
+                lambda: sinks.append_to_table(counts, f"{root}/counts", "counts", f"{root}/state", every=None, by=()),
+                lambda: sinks.append_to_table(slices, f"{root}/slices", "slices", f"{root}/state", every=None, by=()),
+            ]
+        )
+        runner.wait_for_all(queries)
+        log.flush(queries)
+    finally:
+        spark.streams.removeListener(log)
     return (
-        progress.progress_rows(spark, queries)
+        log.rows()
         .groupBy("query_name")
         .agg(
             F.sum("input_rows").alias("input_rows"),
@@ -272,7 +299,7 @@ def trend_of_stored_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     runner.wait_for_all(
         [sinks.append_to_table(rows, f"{root}/table", "updates", f"{root}/state", every=None)]
     )
-    stored = parquet_table(spark, f"{root}/table", with_event_date(DELIVERY_UPDATE))
+    stored = stored_table(spark, f"{root}/table", with_event_date(DELIVERY_UPDATE))
     return si.plain_times(reports.hourly_trend(stored, latest_time(stored), WEEK))
 
 
@@ -357,6 +384,32 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inserts.absent_rows(incoming, held, ["order_key"], ["shipped"])
 
 
+@query
+def insert_into_stored_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases stored by a stream, then all updates inserted by order, twice."""
+    stream = si.event_stream(spark, sf_dir).where("event_type = 'purchase'")
+    rows = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(si.updates(stream)))))
+    root = fresh_folder(spark, "insert_into_stored_updates")
+    runner.wait_for_all([sinks.append_to_table(rows, f"{root}/table", "updates", f"{root}/state", every=None)])
+    new = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(_updates(spark, sf_dir)))))
+    for _ in range(2):
+        inserts.insert_if_absent(new, f"{root}/table", ["order_id"], ["timestamp"])
+    held = stored_table(spark, f"{root}/table", new.schema)
+    return si.plain_times(held.select("order_id", "status", "timestamp", "delay_minutes", "event_date"))
+
+
+@query
+def alerts_of_stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of the last week in a table that a stream has stored by date."""
+    stream = _stream_updates(spark, sf_dir)
+    records = al.alert_records(al.all_alerts(stream, MIN_DELAY), dated=True)
+    root = fresh_folder(spark, "alerts_of_stored_records")
+    runner.wait_for_all([sinks.append_to_table(records, f"{root}/table", "alerts", f"{root}/state", every=None)])
+    held = stored_table(spark, f"{root}/table", records.schema)
+    found = al.active_alerts(held, WEEK, _now(si.events(spark, sf_dir)))
+    return si.plain_times(found.drop("key"))
+
+
 @query
 def partition_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as messages of three topics with three partitions; consumers of two

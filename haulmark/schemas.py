@@ -86,6 +86,19 @@ KEY_VALUE = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]
 )
 
+# A stored alert record lies below its date.
+ALERT_RECORD = T.StructType([*KEY_VALUE.fields, T.StructField("event_date", T.DateType())])
+
+STATUS_COUNT = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("delivery_count", T.LongType()),
+        T.StructField("kpi_calculated_at", T.TimestampType()),
+    ]
+)
+
 MESSAGE = T.StructType([T.StructField("value", T.BinaryType())])
 
 PARTITION_OFFSET = T.StructType(

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,23 +23,26 @@ def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+_named: list[str] = []
+
+
+def name_folder(path: str) -> None:
+    """The folder of local sessions that set no ``spark.checkpoint.dir``."""
+    _named[:] = [path.rstrip("/")]
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session may go
-    without, and then gets one temporary folder per process.
+    A cluster names it in ``spark.checkpoint.dir``. A local session may go without if the
+    program has named a folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_root()
-
-
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="haulmark-")
+    if _named and spark.conf.get("spark.master", "").startswith("local"):
+        return _named[0]
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from haulmark.operators import lag
+from haulmark.streaming.stored import stored_table
 
 PROGRESS = T.StructType(
     [
@@ -31,14 +35,33 @@ SOURCE_OFFSETS = T.StructType(
 )
 
 
-def progress_rows(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """One row per query and remembered batch. Spark keeps the last hundred of each
-    query (``spark.sql.streaming.numRecentProgressUpdates``)."""
-    rows = []
-    for query in queries:
-        for p in query.recentProgress:
-            states = p.stateOperators
-            rows.append(
+class ProgressLog(StreamingQueryListener):
+    """Appends a record per batch to parquet tables below ``path``, for all queries of a session.
+
+    Add it to the session before the queries start. Records are held until there are
+    ``hold`` of them, a query ends or ``flush`` is called; nothing is dropped, however many
+    batches there are.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, hold: int = 100):
+        self._spark, self._path, self._hold = spark, path, hold
+        self._progress: list[tuple] = []
+        self._offsets: list[tuple] = []
+        self._newest: dict[str, list[tuple]] = {}
+        self._ended: set[str] = set()
+        self._changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        states = p.stateOperators
+        with self._changed:
+            self._progress.append(
                 (
                     p.name,
                     p.batchId,
@@ -49,18 +72,44 @@ def progress_rows(spark: SparkSession, queries: Iterable[StreamingQuery]) -> Dat
                     sum(s.numRowsDroppedByWatermark for s in states),
                 )
             )
-    return spark.createDataFrame(rows, PROGRESS)
+            self._newest[p.name] = [(p.name, p.batchId, s.endOffset, s.latestOffset) for s in p.sources]
+            self._offsets += self._newest[p.name]
+            if len(self._progress) >= self._hold:
+                self._write()
 
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._write()
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
 
-def source_offsets(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """Per query, batch and source the offsets read up to, and those there were."""
-    rows = [
-        (p.name, p.batchId, s.endOffset, s.latestOffset)
-        for query in queries
-        for p in query.recentProgress
-        for s in p.sources
-    ]
-    return spark.createDataFrame(rows, SOURCE_OFFSETS)
+    def _write(self) -> None:
+        for rows, schema, name in ((self._progress, PROGRESS, "progress"), (self._offsets, SOURCE_OFFSETS, "offsets")):
+            if rows:
+                self._spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self._path}/{name}")
+                rows.clear()
+
+    def flush(self, ended: Iterable[StreamingQuery] = (), seconds: int = 60) -> None:
+        """Write what is held, after the last records of the given queries have come."""
+        runs = {str(q.runId) for q in ended}
+        with self._changed:
+            if not self._changed.wait_for(lambda: runs <= self._ended, seconds):
+                raise TimeoutError("the last progress of a query has not come")
+            self._write()
+
+    def rows(self) -> DataFrame:
+        """One row per query and batch."""
+        return stored_table(self._spark, f"{self._path}/progress", PROGRESS)
+
+    def newest_offsets(self) -> DataFrame:
+        """The offsets of the last batch of each query, without reading the table."""
+        with self._changed:
+            rows = [row for of_query in self._newest.values() for row in of_query]
+        return self._spark.createDataFrame(rows, SOURCE_OFFSETS)
+
+    def source_offsets(self) -> DataFrame:
+        """Per query, batch and source the offsets read up to, and those there were."""
+        return stored_table(self._spark, f"{self._path}/offsets", SOURCE_OFFSETS)
 
 
 def topic_offsets(offsets: DataFrame) -> DataFrame:
@@ -81,3 +130,8 @@ def topic_offsets(offsets: DataFrame) -> DataFrame:
             F.col("read")[F.col("topic")][F.col("partition")].alias("committed_offset"),
         )
     )
+
+
+def topic_lag(offsets: DataFrame) -> DataFrame:
+    """Lag per query, topic and partition from the newest offsets of each query."""
+    return lag.partition_lag(topic_offsets(offsets))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql.streaming import StreamingQuery
@@ -19,14 +20,25 @@ def start_all(starts: Iterable[Callable[[], StreamingQuery]]) -> list[StreamingQ
     return queries
 
 
-def wait_for_all(queries: Iterable[StreamingQuery], *, look_every: int = 1) -> None:
+def wait_for_all(
+    queries: Iterable[StreamingQuery],
+    *,
+    look_every: int = 1,
+    report: Callable[[], None] | None = None,
+    report_every: int = 60,
+) -> None:
     """Wait until all have ended. The first that fails raises, whichever it is, and
-    the others are stopped; an interrupt stops them too."""
+    the others are stopped; an interrupt stops them too. ``report`` is called every
+    ``report_every`` seconds meanwhile, and once at the end."""
     queries = list(queries)
     running = queries
+    due = time.monotonic() + report_every
     try:
         while running:
             running = [q for q in running if not q.awaitTermination(look_every)]
+            if report and (time.monotonic() >= due or not running):
+                due += report_every
+                report()
     finally:
         stop_all(queries)
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from haulmark.operators.kpis import COUNT_KEY, LATE_BY
+from haulmark.streaming import stored
+
 # How often the streams fire and how many rows the console shows.
 INGEST_EVERY = "10 seconds"
 KPI_EVERY = "30 seconds"
@@ -23,8 +24,6 @@ PRODUCER_OPTIONS = {
     "kafka.retry.backoff.ms": "1000",
 }
 
-BATCH = "batch_id"
-
 
 def writer(
     stream: DataFrame, name: str, checkpoints: str, *, mode: str = "append", every: str | None = INGEST_EVERY
@@ -46,11 +45,21 @@ def append_to_table(
     *,
     every: str | None = INGEST_EVERY,
     by: Sequence[str] = ("event_date",),
+    others: str = stored.REFUSE,
 ) -> StreamingQuery:
-    """Each row once, in parquet files below date folders. No shuffle: a micro-batch of
-    fresh events touches few dates."""
-    out = writer(stream, name, checkpoints, every=every).format("parquet").option("path", path)
-    return (out.partitionBy(*by) if by else out).start()
+    """Each row once, in parquet files below date folders; read it with ``stored_table``.
+
+    No shuffle: a micro-batch of fresh events touches few dates. If the table holds rows of a
+    stream with another checkpoint folder the query fails, unless ``others`` says to keep
+    them beside its own or to replace them.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        writer_id = stored.query_id(rows.sparkSession)
+        stored.claim(rows.sparkSession, path, writer_id, others)
+        stored.write_batch(rows, path, writer_id, batch, by)
+
+    return writer(stream, name, checkpoints, every=every).foreachBatch(write).start()
 
 
 def show_on_console(
@@ -66,30 +75,31 @@ def show_on_console(
     return out.option("truncate", False).option("numRows", rows).start()
 
 
-def append_changes(
-    stream: DataFrame, path: str, name: str, checkpoints: str, *, every: str | None = KPI_EVERY
+def fold_counts(
+    stream: DataFrame,
+    path: str,
+    name: str,
+    checkpoints: str,
+    *,
+    every: str | None = KPI_EVERY,
+    others: str = stored.REFUSE,
 ) -> StreamingQuery:
-    """The changed rows of each micro-batch (update mode), in a folder of its own.
+    """The counts of ``kpis.status_counts`` (update mode), one row per window and status.
 
-    A batch that is run again overwrites its folder, so failures leave no double.
+    Counts of a stream with another checkpoint folder can be refused or replaced; they
+    cannot stay, as both may have counted the same rows.
     """
+    if others == stored.KEEP:
+        raise ValueError("counts of two streams cannot stand side by side")
 
     def write(changes: DataFrame, batch: int) -> None:
-        changes.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
+        writer_id = stored.query_id(changes.sparkSession)
+        stored.claim(changes.sparkSession, path, writer_id, others)
+        stored.fold_changes(changes, path, writer_id, batch, COUNT_KEY, "window_start", "window_end", LATE_BY)
 
     return writer(stream, name, checkpoints, mode="update", every=every).foreachBatch(write).start()
 
 
-def current_rows(
-    spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]
-) -> DataFrame:
-    """What ``append_changes`` has written, the last change of each key."""
-    stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    changes = spark.read.schema(stored).parquet(path)
-    values = [c for c in changes.columns if c not in key and c != BATCH]
-    return changes.groupBy(*key).agg(*[F.max_by(c, BATCH).alias(c) for c in values])
-
-
 def topic_options(servers: str, topic: str, **more: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic, **PRODUCER_OPTIONS, **more}
 

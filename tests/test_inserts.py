@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from haulmark.operators.inserts import absent_rows, insert_if_absent
+from haulmark.streaming.stored import stored_table
 
 SCHEMA = "k string, part int, n int, text string"
 
@@ -82,3 +83,13 @@ def test_insert_twice_adds_once(spark, tmp_path):
         insert_if_absent(new, path, ["k", "part"], ["n"])
     stored = Counter(tuple(r) for r in spark.read.parquet(path).collect())
     assert stored == {("a", 1, 1, "old"): 1, ("b", 1, 1, "y"): 1}
+
+
+def test_inserts_into_an_absent_and_a_dated_table_are_visible(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    rows = frame(spark, [("a", 1, 1, "x"), ("b", 1, 2, "y")]).withColumn("event_date", F.to_date(F.lit("2024-01-02")))
+    insert_if_absent(rows.where("k = 'a'"), path, ["k"], ["n"])
+    for _ in range(2):
+        insert_if_absent(rows, path, ["k"], ["n"])
+    assert sorted(r.k for r in stored_table(spark, path, rows.schema).collect()) == ["a", "b"]
+    assert (tmp_path / "dated" / "event_date=2024-01-02").is_dir()

@@ -9,15 +9,14 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from haulmark.operators.kpis import status_counts
+from haulmark.operators.kpis import COUNT_KEY, status_counts
 from haulmark.plans import stand_ins as si
 from haulmark.settings import fresh_folder
 from haulmark.sources.messages import replay
-from haulmark.streaming import progress, runner, sinks
+from haulmark.streaming import progress, runner, sinks, stored
 
 START = datetime(2024, 1, 1, 10, 0, 0)
 SCHEMA = "timestamp timestamp, status string"
-KEY = ["window_start", "window_end", "status"]
 
 
 def at(seconds):
@@ -46,7 +45,7 @@ def flat(counts):
 def test_windows_are_half_open_and_null_times_leave(spark):
     rows = [(0, "a"), (59, "a"), (60, "a"), (-1, "a"), (30, None), (None, "a")]
     got = status_counts(frame(spark, rows))
-    assert got.columns == [*KEY, "delivery_count", "kpi_calculated_at"]
+    assert got.columns == [*COUNT_KEY, "delivery_count", "kpi_calculated_at"]
     assert flat(got) == brute_force(rows)
 
 
@@ -73,14 +72,14 @@ def test_hot_status_is_combined_before_the_shuffle(spark):
 
 def run(spark, folder, root, *, files_per_trigger=1, name="counts"):
     source = replay(spark, f"{folder}/*", frame(spark, []).schema, files_per_trigger=files_per_trigger)
-    query = sinks.append_changes(status_counts(source), f"{root}/changes", name, f"{root}/state", every=None)
+    query = sinks.fold_counts(status_counts(source), f"{root}/changes", name, f"{root}/state", every=None)
     runner.wait_for_all([query])
     return query
 
 
 def current(spark, root):
     schema = status_counts(frame(spark, [])).schema
-    return sinks.current_rows(spark, f"{root}/changes", schema, KEY)
+    return stored.current_rows(spark, f"{root}/changes", schema)
 
 
 def test_stream_equals_table_over_many_files(spark, tmp_path):
@@ -103,8 +102,13 @@ LATE_FILES = [
 def test_late_rows_are_dropped_by_the_watermark_of_the_batch_before(spark, tmp_path):
     write_files(spark, str(tmp_path), LATE_FILES)
     root = fresh_folder(spark, "test")
-    query = run(spark, str(tmp_path), root)
-    rows = progress.progress_rows(spark, [query]).orderBy("batch_id").collect()
+    log = progress.ProgressLog(spark, f"{root}/log")
+    spark.streams.addListener(log)
+    try:
+        log.flush([run(spark, str(tmp_path), root)])
+    finally:
+        spark.streams.removeListener(log)
+    rows = log.rows().orderBy("batch_id").collect()
     assert [r.watermark[11:19] for r in rows] == [
         "00:00:00", "09:58:30", "10:08:00", "10:08:01", "10:08:01", "10:18:00",
     ]
@@ -124,7 +128,7 @@ def test_closed_windows_only_in_append_mode(spark, tmp_path):
     runner.wait_for_all(
         [sinks.append_to_table(counts, f"{root}/t", "closed", f"{root}/state", every=None, by=())]
     )
-    closed = spark.read.schema(counts.schema).parquet(f"{root}/t")
+    closed = stored.stored_table(spark, f"{root}/t", counts.schema)
     expected = [r for r in brute_force([r for file in LATE_FILES for r in file]) if r[1] <= at(1200 - 120)]
     assert flat(closed) == expected and len(expected) == 7
 
@@ -155,4 +159,4 @@ def test_event_stream_reads_a_file_or_a_folder(spark, sf_dir, tmp_path, parts):
     root = fresh_folder(spark, "test")
     stream = si.event_stream(spark, sf_dir)
     runner.wait_for_all([sinks.append_to_table(stream, f"{root}/t", "r", f"{root}/s", every=None, by=())])
-    assert rows_of(spark.read.schema(events.schema).parquet(f"{root}/t")) == rows_of(events)
+    assert rows_of(stored.stored_table(spark, f"{root}/t", events.schema)) == rows_of(events)

@@ -16,11 +16,12 @@ from haulmark.functions.messages import encoded
 from haulmark.operators import alerts as al
 from haulmark.operators import ingest, kpis, reports
 from haulmark.plans import stand_ins as si
-from haulmark.schemas import DELIVERY_UPDATE, DRIVER_PING, KEY_VALUE, MESSAGE, with_event_date
+from haulmark.schemas import DELIVERY_UPDATE, DRIVER_PING, MESSAGE, with_event_date
+from haulmark import settings as st
 from haulmark.settings import SESSION_SETTINGS, fresh_folder, shared_root
 from haulmark.sources import messages as src
 from haulmark.sources.tables import jdbc_options
-from haulmark.streaming import progress, runner, sinks
+from haulmark.streaming import progress, runner, sinks, stored
 
 
 def test_kafka_source_options():
@@ -74,11 +75,16 @@ class Session:
         self.conf = settings
 
 
-def test_only_a_local_session_may_go_without_a_shared_folder():
+def test_only_a_local_session_may_use_the_named_folder(monkeypatch, tmp_path):
+    local, cluster = Session(**{"spark.master": "local[2]"}), Session(**{"spark.master": "yarn"})
+    monkeypatch.setattr(st, "_named", [])
+    for session in (local, cluster):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_root(session)
+    st.name_folder(f"{tmp_path}/")
+    assert shared_root(local) == str(tmp_path)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_root(Session(**{"spark.master": "yarn"}))
-    local = Session(**{"spark.master": "local[2]"})
-    assert os.path.isdir(shared_root(local)) and shared_root(local) == shared_root(local)
+        shared_root(cluster)
     assert shared_root(Session(**{"spark.checkpoint.dir": "hdfs:///c/"})) == "hdfs:///c"
 
 
@@ -97,10 +103,10 @@ def test_append_stamps_one_time_per_batch(spark, sf_dir, tmp_path):
     rows = ingest.dated(ingest.stamped(ingest.driver_pings(encoded(si.pings(events)))))
     root = fresh_folder(spark, "test")
     runner.wait_for_all([sinks.append_to_table(rows, f"{root}/t", "p", f"{root}/s", every=None)])
-    stored = spark.read.schema(with_event_date(DRIVER_PING)).parquet(f"{root}/t")
-    assert stored.count() == 15
-    assert stored.where("processed_at IS NULL").count() == 0
-    assert stored.select("processed_at").distinct().count() == 3
+    rows = stored.stored_table(spark, f"{root}/t", with_event_date(DRIVER_PING))
+    assert rows.count() == 15
+    assert rows.where("processed_at IS NULL").count() == 0
+    assert rows.select("processed_at").distinct().count() == 3
 
 
 def test_malformed_messages_are_stored_as_null_rows_and_leave_the_counts(spark, tmp_path):
@@ -114,28 +120,128 @@ def test_malformed_messages_are_stored_as_null_rows_and_leave_the_counts(spark,
         runner.start_all(
             [
                 lambda: sinks.append_to_table(rows, f"{root}/t", "rows", f"{root}/s", every=None),
-                lambda: sinks.append_changes(counts, f"{root}/c", "counts", f"{root}/s", every=None),
+                lambda: sinks.fold_counts(counts, f"{root}/c", "counts", f"{root}/s", every=None),
             ]
         )
     )
-    stored = spark.read.schema(with_event_date(DELIVERY_UPDATE)).parquet(f"{root}/t")
-    assert stored.count() == 3 and stored.where("status IS NULL").count() == 2
-    assert stored.where("event_date IS NULL").count() == 2
-    now = sinks.current_rows(spark, f"{root}/c", counts.schema, ["window_start", "window_end", "status"])
+    kept = stored.stored_table(spark, f"{root}/t", with_event_date(DELIVERY_UPDATE))
+    assert kept.count() == 3 and kept.where("status IS NULL").count() == 2
+    assert kept.where("event_date IS NULL").count() == 2
+    now = stored.current_rows(spark, f"{root}/c", counts.schema)
     assert one(now).delivery_count == 1
 
 
 def test_a_batch_that_runs_again_leaves_no_double(spark, tmp_path):
-    """The folder of a batch is overwritten; the newest batch of a key counts."""
-    schema = "k string, n long"
-    for batch, rows in [(0, [("a", 1)]), (1, [("a", 2), ("b", 1)]), (1, [("a", 3), ("b", 1)])]:
-        frame = spark.createDataFrame(rows, schema)
-        frame.write.mode("overwrite").parquet(f"{tmp_path}/{sinks.BATCH}={batch}")
-    got = sinks.current_rows(spark, str(tmp_path), frame.schema, ["k"])
-    assert rows_of(got) == [("a", 3), ("b", 1)]
+    frame = spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long")
+    for batch, rows in [(0, frame), (1, frame), (1, frame.where("k = 'a'").unionAll(frame.where("k = 'b'")))]:
+        stored.write_batch(rows, str(tmp_path), "w", batch, ["k"])
+    assert rows_of(stored.stored_table(spark, str(tmp_path), frame.schema)) == [("a", 1)] * 2 + [("b", 1)] * 2
     assert frame.columns == ["k", "n"] == frame.schema.names
 
 
+MINUTES = "window_start timestamp, window_end timestamp, status string, n long"
+
+
+def changes(spark, *rows):
+    minute = timedelta(minutes=1)
+    return spark.createDataFrame([(AS_OF + a * minute, AS_OF + (a + 1) * minute, k, n) for a, k, n in rows], MINUTES)
+
+
+def fold(frame, path, batch):
+    stored.fold_changes(frame, path, "w", batch, ["window_start", "window_end", "status"], "window_start", "window_end", "2 minutes")
+
+
+def test_folded_changes(spark, tmp_path):
+    """The last change of a key counts, a batch may run again, and the read stays small."""
+    path = str(tmp_path)
+
+    def now():
+        found = stored.current_rows(spark, path, first.schema).collect()
+        return sorted(((r.window_start.minute, r.status, r.n) for r in found), key=repr)
+
+    first = changes(spark, (0, "a", 1), (0, None, 1))
+    fold(first, path, 0)
+    for _ in range(2):
+        fold(changes(spark, (0, "a", 2), (1, "a", 1)), path, 1)
+        assert now() == [(0, "a", 2), (0, None, 1), (1, "a", 1)]
+    for batch in range(2, 12):
+        fold(changes(spark, (batch, "a", 1)), path, batch)
+    assert len(now()) == 13
+    assert len(os.listdir(f"{path}/writer=w/open")) <= 3
+    rows = stored.current_rows(spark, path, first.schema)
+    assert rows.count() == len({(r.window_start, r.status) for r in rows.collect()})
+    open_rows = spark.read.parquet(f"{path}/writer=w/open/batch_id=11").count()
+    assert open_rows <= 5
+
+
+def file_stream(spark, folder, batches):
+    for number, rows in enumerate(batches):
+        spark.createDataFrame([(r,) for r in rows], "k string").coalesce(1).write.parquet(f"{folder}/{number}")
+    schema = spark.createDataFrame([("a",)], "k string").schema
+    return src.replay(spark, f"{folder}/*", schema, files_per_trigger=1)
+
+
+def stored_keys(spark, path):
+    return sorted(r.k for r in stored.stored_table(spark, path, spark.createDataFrame([("a",)], "k string").schema).collect())
+
+
+@pytest.mark.parametrize("others, expected", [("keep", ["a", "b", "x", "y", "z"]), ("replace", ["x", "y", "z"]), ("refuse", None)])
+def test_a_new_checkpoint_hides_no_rows(spark, tmp_path, others, expected):
+    path = f"{tmp_path}/t"
+    first = file_stream(spark, f"{tmp_path}/one", [["a"], ["b"]])
+    runner.wait_for_all([sinks.append_to_table(first, path, "s", f"{tmp_path}/c1", every=None, by=())])
+    second = file_stream(spark, f"{tmp_path}/two", [["x"], ["y", "z"]])
+
+    def again():
+        query = sinks.append_to_table(second, path, "s", f"{tmp_path}/c2", every=None, by=(), others=others)
+        runner.wait_for_all([query])
+
+    if expected is None:
+        with pytest.raises(Exception, match="OtherWriter"):
+            again()
+        assert stored_keys(spark, path) == ["a", "b"]
+    else:
+        again()
+        again()  # nothing new: a restart adds nothing
+        assert stored_keys(spark, path) == expected
+
+
+def test_counts_after_a_new_checkpoint_equal_the_batch_twin(spark, sf_dir, tmp_path):
+    events = si.with_stream_time(si.events(spark, sf_dir))
+    some = events.limit(40).cache()
+    def run(rows, name, **how):
+        rows.repartitionByRange(3, "ts").write.parquet(f"{tmp_path}/{name}/in")
+        stream = src.replay(spark, f"{tmp_path}/{name}/in", rows.schema, files_per_trigger=3)
+        counts = kpis.status_counts(si.updates(stream))
+        runner.wait_for_all([sinks.fold_counts(counts, f"{tmp_path}/counts", "c", f"{tmp_path}/{name}/c", every=None, **how)])
+        return stored.current_rows(spark, f"{tmp_path}/counts", counts.schema).drop("kpi_calculated_at")
+    run(some.limit(3), "few")
+    with pytest.raises(Exception, match="OtherWriter"):
+        run(some, "more")
+    got = run(some, "again", others="replace")
+    assert rows_of(got) == rows_of(kpis.status_counts(si.updates(some)).drop("kpi_calculated_at"))
+    with pytest.raises(ValueError):
+        sinks.fold_counts(got, "p", "n", "c", others="keep")
+
+
+def test_progress_of_more_than_a_hundred_batches(spark, tmp_path):
+    spark.range(120).select(F.col("id").cast("string").alias("k"), "id").repartition(8, "id").write.partitionBy("id").parquet(f"{tmp_path}/in")
+    schema = spark.createDataFrame([("a",)], "k string").schema
+    stream = src.replay(spark, f"{tmp_path}/in/*", schema, files_per_trigger=1)
+    log = progress.ProgressLog(spark, f"{tmp_path}/log", hold=50)
+    spark.streams.addListener(log)
+    try:
+        query = sinks.append_to_table(stream, f"{tmp_path}/t", "many", f"{tmp_path}/c", every=None, by=())
+        runner.wait_for_all([query])
+        log.flush([query])
+    finally:
+        spark.streams.removeListener(log)
+    rows = log.rows().where("input_rows > 0")
+    assert rows.count() == 120 and one(rows.agg(F.sum("input_rows").alias("n"))).n == 120
+    assert log.source_offsets().count() >= 120 and log.newest_offsets().count() == 1
+    assert len(stored_keys(spark, f"{tmp_path}/t")) == 120
+
+
 def test_console_application(spark, sf_dir, tmp_path):
     """In a process of its own, whose output can be read."""
     events = si.events(spark, sf_dir)
@@ -217,14 +323,6 @@ def test_a_failed_start_stops_those_before(spark, sf_dir):
     assert "first" not in [q.name for q in spark.streams.active]
 
 
-def test_source_offsets_of_a_file_stream(spark, sf_dir):
-    root = fresh_folder(spark, "test")
-    query = sinks.append_to_table(si.event_stream(spark, sf_dir), f"{root}/t", "o", f"{root}/s", every=None, by=())
-    runner.wait_for_all([query])
-    offsets = progress.source_offsets(spark, [query])
-    assert offsets.count() >= 1 and one(offsets.limit(1)).query_name == "o"
-
-
 def test_whole_application_from_messages_to_reports(spark, sf_dir, tmp_path, monkeypatch):
     """Stored messages in, tables out; the reports on them equal those on the source rows."""
     events = si.events(spark, sf_dir)
@@ -235,29 +333,39 @@ def test_whole_application_from_messages_to_reports(spark, sf_dir, tmp_path, mon
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         job.main(["--replay", source, "--tables", tables, "--min-delay", "100", "--state-partitions", "2",
-                  "--checkpoints", f"{tmp_path}/state"])
+                  "--checkpoints", f"{tmp_path}/state", "--files-per-trigger", "1"])
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
     as_of = events.agg(F.max("ts")).first()[0]
     week = timedelta(days=7)
-    stored_pings = spark.read.schema(with_event_date(DRIVER_PING)).parquet(f"{tables}/{job.PINGS}")
-    stored = spark.read.schema(with_event_date(DELIVERY_UPDATE)).parquet(f"{tables}/{job.UPDATES}")
-    records = spark.read.schema(KEY_VALUE).parquet(f"{tables}/{job.ALERTS}")
+    found = job.fleet_tables(spark, tables)
+    stored_pings, updates_held, records = found[job.PINGS], found[job.UPDATES], found[job.ALERTS]
     assert rows_of(reports.active_drivers(stored_pings, as_of, week)) == rows_of(
         reports.active_drivers(pings, as_of, week)
     )
-    assert rows_of(si.plain_times(reports.hourly_trend(stored, as_of, week))) == rows_of(
+    assert rows_of(si.plain_times(reports.hourly_trend(updates_held, as_of, week))) == rows_of(
         reports.hourly_trend(updates, as_of, week)
     )
     alerts = al.active_alerts(records)
-    assert rows_of(reports.kpi_record(stored_pings, stored, alerts, as_of, delay_within=week)) == rows_of(
+    assert rows_of(reports.kpi_record(stored_pings, updates_held, alerts, as_of, delay_within=week)) == rows_of(
         reports.kpi_record(pings, updates, al.all_alerts(updates, 100), as_of, delay_within=week)
     )
     counts = kpis.status_counts(si.updates(si.with_stream_time(events)))
-    now = sinks.current_rows(spark, f"{tables}/{job.COUNTS}", counts.schema, ["window_start", "window_end", "status"])
-    assert rows_of(now.drop("kpi_calculated_at")) == rows_of(counts.drop("kpi_calculated_at"))
-    assert spark.read.parquet(f"{tables}/{job.TRAFFIC}").count() == events.count()
+    assert rows_of(found[job.COUNTS].drop("kpi_calculated_at")) == rows_of(counts.drop("kpi_calculated_at"))
+    assert found[job.TRAFFIC].count() == events.count()
+    assert spark.read.parquet(f"{tables}/progress/progress").count() >= 5
+    assert spark.read.parquet(f"{tables}/lag").columns[-1] == "measured_at"
+
+
+def test_batch_bounds_and_lag_of_the_job(spark):
+    assert job.broker_options(5, None) == {"maxOffsetsPerTrigger": "5"}
+    assert job.broker_options(5, 9) == {"maxOffsetsPerTrigger": "5", "minPartitions": "9"}
+    offsets = spark.createDataFrame(
+        [("q", 3, '{"t":{"0":4}}', '{"t":{"0":9,"1":2}}')], progress.SOURCE_OFFSETS
+    )
+    got = rows_of(progress.topic_lag(offsets).select("query_name", "topic", "partition", "lag"))
+    assert got == [("q", "t", 0, 5), ("q", "t", 1, 2)]
 
 
 def test_arguments():
