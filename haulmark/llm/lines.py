@@ -52,7 +52,8 @@ def boilerplate_lines(docs: DataFrame, least_sites: int = LEAST_SITES, text: str
 
 
 def remove_boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, text: str = "text", site: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """All columns of ``docs`` with the text cleaned, and ``n_lines, n_removed``.
+    """All columns of ``docs`` with the text cleaned, and ``n_lines, n_removed`` (in place of
+    such columns of ``docs``).
 
     A null text stays null with no lines; an empty one has one blank line. Rows that repeat
     an id are treated alike. Of rows without id none is a first holder unless all are.
@@ -64,11 +65,16 @@ def remove_boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, text: st
     hits = places.join(known.select("a", "b", "keep_id"), ["a", "b"]).where(~F.col("id").eqNullSafe(F.col("keep_id")))
     hits = hits.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("hit"))
     hits = scratch.store(hits.select(F.struct("id", "hit").alias("found")), "hits")
+    # All columns as one, so that none can be taken for another.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(doc_id).alias("own"), F.col(text).alias("body"))
     # Hits grow with the texts: one plan for every size, where texts are shuffled by id once.
-    joined = docs.join(hits.hint("merge"), F.col(doc_id).eqNullSafe(F.col("found.id")), "left")
+    joined = whole.join(hits.hint("merge"), F.col("own").eqNullSafe(F.col("found.id")), "left")
+    parts = F.split("body", "\n")
     kept = F.when(F.col("found").isNull(), parts).otherwise(F.filter(parts, lambda x: ~F.array_contains(F.col("found.hit"), _key(x))))
-    rest = joined.select(*[docs[c] for c in docs.columns], F.col("found"), parts.alias("_parts"), kept.alias("_kept"))
-    n_lines = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size("_parts")).cast("long")
-    n_kept = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size("_kept")).cast("long")
-    columns = [F.when(F.col("found").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n")).alias(text) if c == text else F.col(c) for c in docs.columns]
-    return rest.select(*columns, n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_removed"))
+    rest = joined.select("doc", "body", "found", parts.alias("parts"), kept.alias("kept"))
+    n_lines = F.when(F.col("body").isNull(), F.lit(0)).otherwise(F.size("parts")).cast("long")
+    n_kept = F.when(F.col("body").isNull(), F.lit(0)).otherwise(F.size("kept")).cast("long")
+    clean = F.when(F.col("found").isNull(), F.col("body")).otherwise(F.array_join("kept", "\n"))
+    counts = {"n_lines": n_lines, "n_removed": n_lines - n_kept}
+    columns = [clean.alias(c) if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns if c not in counts]
+    return rest.select(*columns, *[value.alias(name) for name, value in counts.items()])

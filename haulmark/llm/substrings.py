@@ -28,6 +28,9 @@ WINDOW = 13
 ROUNDS = 1
 #: Keys a task holds before it puts equal ones together and hands them on.
 HELD = 2_000_000
+#: Bits of an anchor beyond those that count the rows: with some hundred anchors in a text, one
+#: in some thousand has the bits of another by chance.
+ANCHOR_BITS = 20
 #: ``ids`` lists the documents of a key in order if there are several, ``id`` is the first.
 _KEYS = "key long, id long, ids array<long>"
 
@@ -102,12 +105,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", do
     # Both joins below are outer ones on the same rows, so that Spark shuffles the texts once.
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
 
+    # An anchor only has to keep most texts apart, as windows are verified by themselves: so
+    # many bits that few of them meet by chance, and no more in the shuffles.
+    few = np.uint64((1 << min(63, docs.count().bit_length() + ANCHOR_BITS)) - 1)
+
     def emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held()
         for batch in slices(batches, "text"):
             words, _, at, row = _windows(batch, window)
             if len(at):
-                found = anchors(parse(words.name, row, ROUNDS), at, window)
+                found = anchors(parse(words.name, row, ROUNDS), at, window) & few
                 ids = _ids(batch)[row[at]]
                 # Windows side by side often share their anchor.
                 new = np.ones(len(found), bool)
@@ -127,7 +134,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", do
             words, names, at, row = _windows(batch, window)
             if not len(at):
                 continue
-            found = anchors(parse(words.name, row, ROUNDS), at, window)
+            found = anchors(parse(words.name, row, ROUNDS), at, window) & few
             keep = _listed(found, row[at], batch.column("keys"))
             yield from held.add(names[keep], _ids(batch)[row[at[keep]]])
         yield from held.flush()

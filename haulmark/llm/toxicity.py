@@ -146,8 +146,8 @@ def learn_field(
     """A field from whole texts of about ``docs_per_label`` documents of each label.
 
     Rows without id, text or label are left out; of several labels of an id the largest
-    counts. Without documents of both labels the field knows no word and scores the share of
-    label 1 (0.5 without any).
+    counts. Without documents of both labels the field knows no word and scores about the
+    share of label 1 (0.25 without any document).
     """
     marked = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
     marked = marked.groupBy("id").agg(F.max("y").alias("y"))
@@ -166,7 +166,7 @@ def learn_field(
     counts = rows.mapInArrow(count, "f string, clean long, bad long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
     found = {r["f"]: (r["clean"], r["bad"]) for r in counts.where((F.col("bad") >= least) | (F.col("f") == "")).collect()}
     clean, bad = found.pop("", (0, 0))
-    plain = Field({}, -8.0, np.array([[0.0, -2.0], [0.0, 0.0]]), -2.0, (0.0, 0.0, float(np.log((bad + 0.5) / (clean + 0.5)))))
+    plain = Field({}, -8.0, np.array([[0.0, -2.0], [0.0, 0.0]]), -2.0, (0.0, 0.0, float(np.log((bad + 0.5) / (clean + 1.5)))))
     if not clean or not bad:
         return plain
     # How much more often a feature occurs in a toxic document than in a clean one.
