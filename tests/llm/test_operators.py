@@ -1,0 +1,252 @@
+"""Each operator against a plain version, a library or held-out labels."""
+
+import hashlib
+import random
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from haulmark.llm import bpe, decontaminate, exact, jaccard, language, lexicon, lines, pii, queries, recompression, substrings, toxicity
+from haulmark.llm.graph import components
+from haulmark.llm.scratch import Scratch
+from haulmark.llm.token_counts import count_tokens, token_counts
+from haulmark.llm.wordbpe import parsed, read_vocabulary
+
+VOCABULARY = public_tokenizers.path(queries.VOCABULARY)
+LIBRARY = Tokenizer.from_file(VOCABULARY)
+CONTENT = read_vocabulary(VOCABULARY)
+SCHEMA = "doc_id long, text string"
+
+
+def frame(spark, docs):
+    return spark.createDataFrame(list(docs.items()), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf_dir):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+
+
+TRICKY = [
+    "", "  ", "a<|endoftext|>b", "<|startoftext|>", " ΑΣ ΟΔΟΣ Σ", "İstanbul I'll don't 'sx 123 4\x1c5", "é ́x", "ﬁ ǅ x\xa0y　z \x85 q",
+    "a" * 4000, "'re" * 50, "😀👍🏽 日本語 한국어", "\x00\x01﻿", "a​b <|endof text|>", "٣٤ ½ Ⅷ ²", "́", "ẞß",
+]
+
+
+def test_token_counts_equal_the_library(docs):
+    for text in [*TRICKY, *docs.values()]:
+        assert count_tokens(text, CONTENT) == len(LIBRARY.encode(text, add_special_tokens=False).ids), text[:80]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=0x1C80, exclude_categories=["Cs", "Cn"]), max_size=60))
+def test_token_counts_equal_the_library_on_any_text(text):
+    assert count_tokens(text, CONTENT) == len(LIBRARY.encode(text, add_special_tokens=False).ids)
+
+
+def test_encoding_and_decoding_equal_the_library(spark, docs):
+    docs = {**docs, **{10**6 + n: t for n, t in enumerate(TRICKY)}}
+    for pieces in (50, 4096):
+        coded = bpe.encode_corpus(frame(spark, docs), VOCABULARY, pieces, with_text=True)
+        for row in coded.collect():
+            ids = np.frombuffer(row.ids, "<u4").tolist()
+            assert ids == LIBRARY.encode(docs[row.doc_id], add_special_tokens=False).ids and row.n_tokens == len(ids)
+            assert row.decoded == LIBRARY.decode(ids, skip_special_tokens=False)
+    assert bpe.decode(coded, VOCABULARY).join(coded.select("doc_id", F.col("decoded").alias("d")), "doc_id").where("decoded = d").count() == len(docs)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.sets(st.binary(min_size=1, max_size=6), max_size=40), st.lists(st.binary(min_size=1, max_size=7), max_size=20))
+def test_the_transducer_finds_its_words_and_no_others(tmp_path_factory, known, asked):
+    path = str(tmp_path_factory.mktemp("lexicon") / "file")
+    words = sorted(known)
+    lexicon.save(lexicon.build(words, [[n] for n in range(len(words))]), path)
+    asked = [*asked, *words]
+    data = np.frombuffer(b"".join(asked), np.uint8)
+    end = np.cumsum([len(a) for a in asked])
+    start = end - [len(a) for a in asked]
+    found = lexicon.Lexicon(path).find(data, start, end).tolist() if asked else []
+    assert found == [words.index(a) if a in known else -1 for a in asked]
+
+
+def test_shared_suffixes_are_one_state():
+    tables = lexicon.build([b"walking", b"talking", b"king"], [[1], [2], [3]])
+    assert len(tables["go"]) <= 10
+
+
+def test_exact_duplicates_equal_grouping(spark, docs):
+    docs = {**docs, 10**6: "a b", 10**6 + 1: "a \n\tb", 10**6 + 2: "A b"}
+    for block, bits in ((7, 64), (4096, 64), (16, 3)):  # three bits: keys collide and are drawn anew
+        some = dict(list(docs.items())[: 60 if block < 4096 else None])
+        some.update({k: docs[k] for k in docs if k >= 10**6})
+        clean = {k: __import__("re").sub("[ \t-\r]+", " ", t) for k, t in some.items()}
+        by = {}
+        for k in sorted(clean):
+            by.setdefault(clean[k], []).append(k)
+        for r in exact.exact_duplicates(frame(spark, some), block=block, key_bits=bits).collect():
+            group = by[clean[r.doc_id]]
+            assert (r.keep_id, r.group_size, r.kept) == (group[0], len(group), r.doc_id == group[0])
+            assert r.text_sha256 == hashlib.sha256(clean[r.doc_id].encode()).hexdigest()
+
+
+PERSONAL = [
+    "a@b.com_x@y.z 1.2.3.4.5.6.7.8 999.1.1.1 007.0.0.1", "call +1 (073) 555-8658 or +12", "4539578763621486 4539 5787 6362 1486-1",
+    "é 4111-1111-1111-1111 ünï a.b%c@d-e.f.g", "@x.y a@b a@.c +1 ((((( 2", "1" * 3000 + " " + "1 " * 3000, "x" * 5000 + "@" + "y" * 3000 + ".z",
+]
+
+
+def test_personal_data_equals_plain_expressions(spark, docs):
+    docs = {**docs, **{10**6 + n: t for n, t in enumerate(PERSONAL)}}
+    for row in pii.extract(frame(spark, docs)).collect():
+        expected = brute.base_spans(docs[row.doc_id])
+        assert [tuple(s) for s in row.base] == expected
+        assert set(expected) <= {tuple(s) for s in row.spans}
+
+
+def test_patterns_discover_unseen_identifiers(spark):
+    rows = {n: f"{w} my card no: {card} end" for n, (w, card) in enumerate([("a", "4539578763621486"), ("b", "4111111111111111"), ("c", "5500005555555559"), ("d", "340000000000009")])}
+    rows[9] = "my card no: 1234-99-77 end"
+    rows[10] = "item 1234-99-78 end"
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.extract(frame(spark, rows), sure=0.7).collect()}
+    assert found[9] == [(12, 2, 22)] and found[10] == []
+
+
+def test_boilerplate_leaves_all_but_the_first(spark):
+    rows = [(n, f"own line {n}\n  Menu  \nbye {n}", f"s{n % 14}") for n in range(28)] + [(90, "Menu", None), (91, "rare\nrare", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in lines.remove_boilerplate(docs, 12).collect()}
+    assert got[0] == (rows[0][1], 3, 0) and got[5] == ("own line 5\nbye 5", 3, 1) and got[90] == ("", 1, 1) and got[91] == ("rare\nrare", 2, 0)
+    few = {r.doc_id: r.n_removed for r in lines.remove_boilerplate(docs, 15).collect()}
+    assert not any(few.values())
+    near = lines.boilerplate_lines(docs, 13)
+    assert near.count() == 1 and near.first().exact
+
+
+def varied(seed=3, copies=40):
+    """Texts of which many are edits of one, some hold one passage, some are equal."""
+    r = random.Random(seed)
+    vocabulary = [f"w{n}" for n in range(300)]
+    text = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    base, passage = text(120), text(40)
+    out = [text(r.randrange(1, 150)) for _ in range(30)]
+    for _ in range(copies):
+        one = list(base)
+        for _ in range(r.randrange(0, 8)):
+            one[r.randrange(len(one))] = r.choice(vocabulary)
+        out.append(one)
+    out += [text(20) + passage + text(r.randrange(0, 30)) for _ in range(20)]
+    out += [base, base, ["x"] * 60, ["x"] * 30, ["a", "B"], ["A", "b"], [], ["a"] * 12, ["a"] * 13]
+    r.shuffle(out)
+    return {7 * n + 1: " ".join(t) for n, t in enumerate(out)}
+
+
+@pytest.mark.parametrize("bound", [None, 4])
+def test_classes_equal_all_pairs(spark, docs, monkeypatch, bound):
+    if bound:  # every way of meeting and of cutting into blocks
+        monkeypatch.setattr(jaccard, "PAIRED", 2)
+        monkeypatch.setattr(jaccard, "BLOCK_SETS", bound)
+    for some in (varied(), {k: t for k, t in docs.items() if not bound}):
+        if some:
+            got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(frame(spark, some)).collect()}
+            assert got == brute.classes(some)
+
+
+def test_components(spark):
+    edges = [(n, n + 1) for n in range(50)] + [(100, 101), (102, 101), (7, 7), (200, 200), (None, 3)]
+    found = components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "t"))
+    assert {r.node: r.component for r in found.collect()} == {**dict.fromkeys(range(51), 0), 100: 100, 101: 100, 102: 100, 200: 200}
+
+
+def test_repeats_equal_all_windows(spark, docs):
+    for some in (varied(), docs):
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(frame(spark, some)).collect()}
+        assert got == brute.without_repeats(some)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=13, max_size=13), st.lists(st.integers(0, 3), max_size=9), st.lists(st.integers(0, 3), max_size=9))
+def test_equal_windows_have_equal_anchors(window, before, after):
+    alone = np.array(window, np.uint64)
+    within = np.array([*before, *window, *after], np.uint64)
+    for rounds in (1, 3):
+        a = recompression.anchors(recompression.parse(alone, np.zeros(13, int), rounds), np.array([0]), 13)
+        levels = recompression.parse(within, np.zeros(len(within), int), rounds)
+        b = recompression.anchors(levels, np.array([len(before)]), 13)
+        assert a == b
+        assert all((np.diff(x.low) >= 0).all() for x in levels)
+
+
+def test_decontamination_finds_copies_and_paraphrases(spark, sf_dir, docs):
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    plain = lambda t: __import__("re").findall(r"[^\W_]+", t.lower())
+    r = random.Random(5)
+    changed = {}
+    for n, (k, t) in enumerate(list(items.items())[:10]):
+        w = [x if r.random() > 0.15 else "changed" for x in plain(t)]
+        changed[10**6 + n] = (k, " ".join(["some", "words", "ahead"] * 5 + w + ["and", "behind"] * 20))
+    all_docs = {**docs, **{d: t for d, (_, t) in changed.items()}}
+    found = decontaminate.contaminated(frame(spark, all_docs), spark.createDataFrame(list(items.items()), "item_id long, text string"))
+    got = {(x.doc_id, x.item_id) for x in found.collect()}
+    joined = {d: " ".join(plain(t)) for d, t in docs.items()}
+    copies = {(d, k) for k, t in items.items() for d, j in joined.items() if " ".join(plain(t)) in j}
+    assert copies <= got and len(copies) > 2
+    assert sum((d, k) in got for d, (k, _) in changed.items()) >= 9
+    assert all(d >= 10**6 or any(" ".join(plain(items[k])[n : n + 6]) in joined[d] for n in range(len(plain(items[k])))) for d, k in got)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=20), st.lists(st.integers(0, 5), max_size=20))
+def test_common_subsequence(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    assert decontaminate.common_subsequence(np.array(a, int), np.array(b, int)) == table[-1][-1]
+
+
+def test_languages_of_held_out_texts(spark, sf_dir):
+    rows = queries.op1_language(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
+    right, n = rows.where("lang = lang_pred").count(), rows.count()
+    assert n > 20 and right / n >= 0.95
+
+
+def test_more_than_64_languages():
+    names = [f"l{n:02d}" for n in range(70)]
+    rows = np.zeros((1 << 10, 2), np.uint64)
+    codes, _ = language.text_codes(["xyz"])
+    for size in language.SIZES:
+        for at in language._rows_of(language.grams(codes, size)[0], 1 << 10, 2):
+            rows[at, 1] |= np.uint64(1 << 5)
+    found, score = language.Filters(names, rows, 2, 0).predict(["xyz", "123", None, "qqq"])
+    assert found == ["l69", "und", "und", "l00"] and score[0] == 1.0
+
+
+def test_toxic_texts_of_the_held_out_fold(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    rows = queries.op10_toxicity(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").where("held_out")
+    table = {(r.predicted, r.toxic): r["count"] for r in rows.groupBy("predicted", "toxic").count().collect()}
+    assert table.get((1, 0), 0) <= 0.05 * (table[0, 0] + table.get((1, 0), 0))
+    assert table[1, 1] >= 0.5 * (table[1, 1] + table.get((0, 1), 0))
+
+
+def test_background_is_crossed_exactly():
+    """Marginals with matrix powers equal those of a plain forward-backward pass."""
+    field = toxicity.Field({"bad": 3.0, "worse": 5.0}, -2.0, np.array([[0.1, -1.5], [-0.7, 0.3]]), -1.0, (1, 0, 0))
+    tokens = "a b bad c d e worse bad f g h".split()
+    weights = np.array([field.weights.get(t, 0.0) + field.bias for t in tokens])
+    emit = np.stack([np.ones(len(tokens)), np.exp(weights)], 1)
+    moves = np.exp(field.moves)
+    forward, backward = [emit[0] * [1, np.exp(field.start)]], [np.ones(2)]
+    for e in emit[1:]:
+        forward.append(forward[-1] @ moves * e)
+    for e in emit[:0:-1]:
+        backward.append(moves @ (e * backward[-1]))
+    both = np.array(forward) * np.array(backward[::-1])
+    at, chance = field.marginals(tokens)
+    assert at.tolist() == [2, 6, 7] and np.allclose(chance, (both[:, 1] / both.sum(1))[at])
