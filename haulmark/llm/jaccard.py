@@ -32,9 +32,11 @@ HELD = 4_000_000
 #: Shingles known as frequent; 8 bytes each in every task.
 FREQUENT = 1 << 19
 #: Groups at a shingle up to which they are paired off.
-PAIRED = 32
+PAIRED = 160
+#: Bins of a set's outline: how many of its shingles fall into each, up to 255.
+BINS = 256
 #: A block of sets to compare: at most about so many sets and shingles.
-BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 19
+BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -62,6 +64,12 @@ def _prints(one: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in mix(np.array(sums) + np.uint64(len(one))).view(np.int64))
 
 
+def outline(one: np.ndarray) -> bytes | None:
+    """Counts of a set's shingles by bin; None where a bin is too full for its byte."""
+    counts = np.bincount((one & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
+    return None if counts.max() > 255 else counts.astype(np.uint8).tobytes()
+
+
 def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -99,19 +107,20 @@ def frequent_shingles(rows: DataFrame, size: int, scratch: Scratch) -> tuple[np.
 
 
 def _sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int, percent: int) -> DataFrame:
-    """``id, n, p0, p1, bunch, prefix`` of each row; ``prefix`` once per group and task, else null."""
+    """``id, n, p0, p1, bunch, bins, prefix`` of each row; ``prefix`` once per group and task, else null."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = shared.value
         met: set[int] = set()
         for batch in slices(batches, "text"):
-            n, p0, p1, bunch, prefix = [], [], [], [], []
+            n, p0, p1, bunch, bins, prefix = [], [], [], [], [], []
             for one in shingle_sets(batch.column("text"), size):
                 n.append(len(one))
                 a, b = _prints(one)
                 p0.append(a)
                 p1.append(b)
+                bins.append(outline(one))
                 if not len(one):
                     bunch.append(0)
                     prefix.append(None)
@@ -128,12 +137,42 @@ def _sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int, p
                 if len(met) > HELD:
                     met.clear()
             ints = pa.int64()
-            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": pa.array(n, ints), "p0": pa.array(p0, ints), "p1": pa.array(p1, ints), "bunch": pa.array(bunch, ints), "prefix": pa.array(prefix, pa.list_(ints))})
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": pa.array(n, ints), "p0": pa.array(p0, ints), "p1": pa.array(p1, ints), "bunch": pa.array(bunch, ints), "bins": pa.array(bins, pa.binary()), "prefix": pa.array(prefix, pa.list_(ints))})
 
-    return rows.mapInArrow(run, "id long, n long, p0 long, p1 long, bunch long, prefix array<long>")
+    return rows.mapInArrow(run, "id long, n long, p0 long, p1 long, bunch long, bins binary, prefix array<long>")
 
 
-def _group_edges(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _possible(pairs: DataFrame, distinct: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs of groups that their sets' outlines don't rule out.
+
+    No more shingles can be in common than the smaller count of each bin, so nothing similar
+    is lost. Groups with several sets, or a set without an outline, always pass.
+    """
+    alone = distinct.groupBy("bunch").agg(F.count("*").alias("sets"), F.min("rep").alias("id")).where("sets = 1")
+    drawn = sets.where("bins IS NOT NULL AND id IS NOT NULL").select("id", "bunch", "n", "bins").join(alone.select("id", "bunch"), ["id", "bunch"])
+    drawn = scratch.store(drawn.groupBy("bunch").agg(F.max(F.struct("n", "bins")).alias("drawn")), "outlines")
+    pairs = pairs.join(drawn.select(F.col("bunch").alias("u"), F.col("drawn").alias("x")), "u", "left")
+    pairs = pairs.join(drawn.select(F.col("bunch").alias("v"), F.col("drawn").alias("y")), "v", "left")
+
+    def rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = np.asarray(batch.column("known"))
+            keep = ~known
+            at = np.flatnonzero(known)
+            for a in range(0, len(at), 10_000):
+                part = at[a : a + 10_000]
+                x, y = (np.frombuffer(b"".join(batch.column(c).take(pa.array(part)).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("x", "y"))
+                most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                total = np.asarray(batch.column("n"))[part]
+                keep[part] = 100 * most >= percent * (total - most)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("u", "v")], ["u", "v"])
+
+    known = (F.col("x").isNotNull() & F.col("y").isNotNull()).alias("known")
+    total = F.coalesce(F.col("x.n") + F.col("y.n"), F.lit(0)).alias("n")
+    return pairs.select("u", "v", known, total, F.col("x.bins").alias("x"), F.col("y.bins").alias("y")).mapInArrow(rule_out, "u long, v long")
+
+
+def _group_edges(sets: DataFrame, distinct: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Edges between groups that may hold similar sets."""
     # Most shingles are no one else's. To find the others, names travel with the id of a row of
     # the group, which costs the shuffle little; groups are looked up for what is left.
@@ -149,7 +188,7 @@ def _group_edges(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     near = (F.col("n") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n") * percent)
     pairs = few.join(other, "name").where((F.col("bunch") < F.col("bunch2")) & near).select(F.col("bunch").alias("u"), F.col("bunch2").alias("v"))
     ties = at.where(F.col("groups") > PAIRED).select(F.col("bunch").alias("u"), F.col("least").alias("v")).where("u <> v")
-    return pairs.unionAll(ties).distinct()
+    return _possible(pairs.distinct(), distinct, sets, percent, scratch).unionAll(ties.distinct())
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -258,7 +297,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     # Of equal sets, the smallest id stands for all.
     distinct = sets.where("n > 0").groupBy("bunch", "n", "p0", "p1").agg(F.min("id").alias("rep"))
     distinct = scratch.store(distinct.where("rep IS NOT NULL"), "distinct")
-    edges = scratch.store(_group_edges(sets, percent, scratch), "edges")
+    edges = scratch.store(_group_edges(sets, distinct, percent, scratch), "edges")
     # Prefixes have done their work.
     whole = scratch.store(sets.select("id", "n", "p0", "p1"), "rows")
     scratch.drop(sets)
