@@ -34,6 +34,8 @@ NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 CANDIDATE = r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+@-]*[0-9][A-Za-z0-9]*"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 LEFT = 48
+#: Lengths that are summed up one by one.
+SUMMED = 128
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -58,21 +60,41 @@ def _matches(text: Column, expression: str, needed: str | None) -> tuple[Column,
     return found, F.when(there, F.split(text, expression, -1))
 
 
-def _spans(found: Column, gaps: Column, number: int) -> Column:
-    """``start, kind, end, value, pattern`` of each match; places follow from the lengths."""
-    kind = "array<struct<start:bigint,kind:int,end:bigint,value:string,pattern:string>>"
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(kind).alias("spans"))
-    both = F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"))
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("bigint"), lambda total, x: total + x)
+
 
-    def step(state: Column, one: Column) -> Column:
-        match, gap = one["m"], one["g"]
-        start = state["at"] + F.length(gap)
-        end = start + F.length(match)
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), match.alias("value"), pattern_before(gap).alias("pattern"))
-        return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
+def _with_spans(rows: DataFrame, name: str, number: int) -> DataFrame:
+    """Adds ``start, kind, end, value, pattern`` of each match of a kind; places follow from the lengths.
 
-    empty = F.array().cast(kind)
-    return F.when(F.size(found) > 0, F.aggregate(both, begin, step, lambda s: s["spans"])).otherwise(empty)
+    Lengths are summed by blocks first, so a text with very many matches costs little more
+    than their number. Each step is a projection of its own, so that none is computed again
+    for every match.
+    """
+    found, gaps = F.col(f"{name}_m"), F.col(f"{name}_g")
+    both = F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"))
+    rows = rows.withColumn(f"{name}_z", F.when(F.size(found) > 0, both))
+    rows = rows.withColumn(f"{name}_l", F.transform(f"{name}_z", lambda x: (F.length(x["g"]) + F.length(x["m"])).cast("bigint")))
+    lengths = F.col(f"{name}_l")
+    blocks = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / SUMMED).cast("int"))
+    rows = rows.withColumn(f"{name}_s", F.when(lengths.isNotNull(), F.transform(blocks, lambda b: _sum(F.slice(lengths, b * SUMMED + 1, F.lit(SUMMED))))))
+    sums = F.col(f"{name}_s")
+    rows = rows.withColumn(f"{name}_p", F.transform(sums, lambda _, b: _sum(F.slice(sums, F.lit(1), b))))
+
+    def span(x: Column, at: Column) -> Column:
+        block = F.floor(at / SUMMED).cast("int")
+        before = F.get(f"{name}_p", block) + _sum(F.slice(lengths, block * SUMMED + 1, at - block * SUMMED))
+        start = before + F.length(x["g"])
+        return F.struct(
+            start.alias("start"),
+            F.lit(number).alias("kind"),
+            (start + F.length(x["m"])).alias("end"),
+            x["m"].alias("value"),
+            pattern_before(x["g"]).alias("pattern"),
+        )
+
+    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,value:string,pattern:string>>")
+    return rows.withColumn(name, F.coalesce(F.transform(f"{name}_z", span), empty))
 
 
 def pattern_before(gap: Column) -> Column:
@@ -90,9 +112,10 @@ def find_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
         found, gaps = _matches(F.col("t"), EXPRESSIONS.get(kind, CANDIDATE), NEEDED.get(kind))
         columns += [found.alias(f"{kind}_m"), gaps.alias(f"{kind}_g")]
     rows = rows.select("id", *columns)
-    spans = {kind: _spans(F.col(f"{kind}_m"), F.col(f"{kind}_g"), n) for n, kind in enumerate((*KINDS, "rest"))}
-    base = [F.filter(spans[kind], partial(_valid_span, kind)) for kind in KINDS]
-    rest = F.filter(spans["rest"], lambda s: F.length(F.regexp_replace(s["value"], "[^0-9]", "")) >= 4)
+    for number, kind in enumerate((*KINDS, "rest")):
+        rows = _with_spans(rows, kind, number)
+    base = [F.filter(kind, partial(_valid_span, kind)) for kind in KINDS]
+    rest = F.filter("rest", lambda s: F.length(F.regexp_replace(s["value"], "[^0-9]", "")) >= 4)
     rows = rows.select("id", F.array_sort(F.concat(*base)).alias("base"), rest.alias("rest"))
     free = F.filter("rest", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     return rows.select(F.monotonically_increasing_id().alias("row"), "id", "base", free.alias("rest"))
