@@ -6,6 +6,9 @@ decomposition, whose sketch ``(A'A + w E'E) R`` sums over all passages A of the
 benchmark items E in Spark. Passages and items are compared by cosine there; what comes close
 is verified on the words themselves: the longest common subsequence of the telling terms
 must hold most of an item, or, for a paraphrase, a good part of it and its answer.
+
+Items with too few telling terms have no place in that space. All words are searched for
+them, without a cosine: the same shares must be found within a short stretch.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ COMMON = 0.1
 #: Least cosine of a candidate, for an item of a passage's length.
 NEAR = 0.5
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
+#: Items with fewer telling words are also searched for by all their words.
+TELLING = 4
 _WORDS_AT_ONCE = 1 << 16
 
 
@@ -230,7 +235,9 @@ class _Search:
         size = np.array([len(t) for t in items.terms])
         self.near = (NEAR * np.sqrt(np.minimum(1, size / (2 * HALF)))).astype(np.float32)
         # Items without enough telling terms are compared by all their terms.
-        self.telling = [int((idf[t] > 0).sum()) >= 4 for t in items.terms]
+        self.telling = [int((idf[t] > 0).sum()) >= TELLING for t in items.terms]
+        # Those with common words are hidden from the latent space, wholly or in part.
+        self.hidden = [k for k, t in enumerate(items.terms) if not self.telling[k] and (idf[t] == 0).any()]
         self.size = size
         self._members: dict[int, np.ndarray] = {}
         self.terms = [t[idf[t] > 0] if k else t for t, k in zip(items.terms, self.telling)]
@@ -268,21 +275,64 @@ class _Search:
                 end = min(int(found.first[row + 1]), int(found.block[found.head[p]]) + 2 * HALF + int(self.size[item]))
                 words = found.terms[begin:end]
                 words = words[self.member(item)[words]]
-                if len(words) < PARAPHRASE * len(self.terms[item]):
-                    continue  # no more can be in common
-                share = common_subsequence(self.terms[item], words) / len(self.terms[item])
-                if share >= PARAPHRASE:
-                    wanted = self.answers[item]
-                    answer = common_subsequence(wanted, words) / len(wanted) if len(wanted) else 1.0
-                    if share >= COPY or answer >= ANSWER:
-                        yield row, item, float(cosine[p, k]), share, answer
+                values = self._verified(item, words, words)
+                if values is not None:
+                    yield row, item, float(cosine[p, k]), *values
+        yield from self._exact(found, spread)
+
+    def _verified(self, item: int, words: np.ndarray, around: np.ndarray) -> tuple[float, float] | None:
+        """Share of the item in ``words`` and of its answer in ``around``, if they make a finding."""
+        own, wanted = self.terms[item], self.answers[item]
+        if len(words) < PARAPHRASE * len(own):
+            return None  # no more can be in common
+        share = common_subsequence(own, words) / len(own)
+        if share < PARAPHRASE:
+            return None
+        answer = common_subsequence(wanted, around) / len(wanted) if len(wanted) else 1.0
+        return (share, answer) if share >= COPY or answer >= ANSWER else None
+
+    def _exact(self, found: _Passages, spread: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
+        """Findings of the hidden items: in every row, the best stretch of at most ``size / PARAPHRASE`` words."""
+        if not self.hidden:
+            return
+        row_of = np.repeat(np.arange(len(found.first) - 1), np.diff(found.first))
+        stop, place = found.first[row_of + 1], np.arange(len(found.terms))
+        for item in self.hidden:
+            size = int(self.size[item])
+            member = self.member(item)[found.terms]
+            held = np.concatenate([[0], np.cumsum(member)])
+            end = np.minimum(stop, place + int(np.ceil(size / PARAPHRASE)))
+            most = held[end] - held[:-1]
+            starts = np.flatnonzero(member & (most >= PARAPHRASE * size))
+            # Of each row, stretches that can hold most first: the rest is left when no more can be gained.
+            starts = starts[np.lexsort((-most[starts], row_of[starts]))]
+            done, best = -1, None
+            for at in starts.tolist():
+                row = int(row_of[at])
+                if row != done:
+                    if best is not None:
+                        yield done, item, self._cosine(found, spread, done, item), *best
+                    done, best = row, None
+                if best is not None and min(1.0, int(most[at]) / size) <= best[0]:
+                    continue
+                begin, last = max(int(found.first[row]), at - size), min(int(stop[at]), int(end[at]) + size)
+                words, around = found.terms[at : end[at]][member[at : end[at]]], found.terms[begin:last][member[begin:last]]
+                values = self._verified(item, words, around)
+                if values is not None and (best is None or values > best):
+                    best = values
+            if best is not None:
+                yield done, item, self._cosine(found, spread, done, item), *best
+
+    def _cosine(self, found: _Passages, spread: np.ndarray, row: int, item: int) -> float:
+        """The largest cosine of a row's passages with an item, or 0."""
+        return max(0.0, float((spread[found.row == row] @ self.items[:, item]).max()))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", answer: str | None = None) -> DataFrame:
     """``doc_id, item_id, cosine, lcs, answer`` for each document and item it contains.
 
     ``lcs`` is the share of the item's telling terms found in order, ``answer`` that of its
-    answer. Whole texts of all rows are searched; null and empty texts contain nothing, items
+    answer; of an item with too few telling terms, that of all its words, and ``cosine`` may be 0. Whole texts of all rows are searched; null and empty texts contain nothing, items
     without words are contained nowhere. Repeated rows give repeated findings, a null id stays
     null. Without items the result is empty. Further columns are ignored.
     """

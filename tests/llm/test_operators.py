@@ -200,6 +200,22 @@ def test_decontamination_finds_copies_and_paraphrases(spark, sf_dir, docs):
     assert all(d >= 10**6 or any(" ".join(plain(items[k])[n : n + 6]) in joined[d] for n in range(len(plain(items[k])))) for d, k in got)
 
 
+@pytest.mark.parametrize("alone", [True, False])
+def test_decontamination_finds_hot_copies_of_an_item(spark, alone):
+    """A third of the rows hold an item, so all its words are common; other items stay telling."""
+    r = random.Random(11)
+    names = [f"n{n}" for n in range(4000)]
+    item = " ".join(names[:36])
+    items = [(1, item + ".")] if alone else [(1, item), (2, " ".join(names[100:130]))]
+    rows = {n: " ".join(r.choices(names[36:], k=40)) for n in range(400)}
+    hot = {1000 + n: f"{' '.join(r.choices(names[36:], k=n % 50))} {item} {' '.join(r.choices(names[36:], k=n % 7))}" for n in range(200)}
+    spread = {2000: " so so so ".join(names[:36]), 2001: " ".join(sorted(names[:36], reverse=True))}
+    found = decontaminate.contaminated(frame(spark, {**rows, **hot, **spread, 3000: items[-1][1]}), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {x.doc_id for x in found if x.item_id == 1} - {3000} == set(hot)
+    assert all(x.lcs == 1.0 for x in found if x.item_id == 1) and len(found) == len({(x.doc_id, x.item_id) for x in found})
+    assert {x.doc_id for x in found if x.item_id == 2} == (set() if alone else {3000})
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=20), st.lists(st.integers(0, 5), max_size=20))
 def test_common_subsequence(a, b):
