@@ -34,6 +34,10 @@ COMMON = 0.1
 #: Least cosine of a candidate, for an item of a passage's length.
 NEAR = 0.5
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
+#: Items of one search, and about the bytes of their texts: what the driver and a broadcast hold.
+ITEMS, ITEM_BYTES = 8192, 2 << 20
+#: What a task holds of items' terms, a byte per term.
+MEMBER_BYTES = 16 << 20
 #: Items with fewer telling words are also searched for by all their words.
 TELLING = 4
 _WORDS_AT_ONCE = 1 << 16
@@ -50,7 +54,7 @@ class Items:
 
 
 def read_items(benchmark: DataFrame, text: str = "text", item_id: str = "item_id", answer: str | None = None) -> Items:
-    """The items, a stated query set, on the driver; those without words are left out.
+    """The items of one search on the driver; those without words are left out.
 
     Without an answer column an item's last sentence counts as its answer.
     """
@@ -162,11 +166,23 @@ def _weights(coded: DataFrame, size: int) -> np.ndarray:
     return idf
 
 
-def _item_rows(items: Items, idf: np.ndarray) -> np.ndarray:
-    rows = np.zeros((len(items.terms), len(idf)), np.float32)
-    for k, terms in enumerate(items.terms):
-        np.add.at(rows[k], terms, idf[terms])
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+def _project(items: Items, idf: np.ndarray, onto: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``E onto`` for the items' unit rows E, and E's entries: item, term, value."""
+    rank = onto.shape[1]
+    out = np.zeros((len(items.terms), rank), np.float32)
+    entries = []
+    for a in range(0, len(items.terms), 256):
+        part = items.terms[a : a + 256]
+        owner = np.repeat(np.arange(len(part)), [len(t) for t in part])
+        pairs, count = np.unique(owner * len(idf) + np.concatenate(part), return_counts=True)
+        owner, terms = pairs // len(idf), pairs % len(idf)
+        values = idf[terms] * count
+        norm = np.sqrt(np.bincount(owner, values**2, len(part)))
+        values = (values / np.maximum(norm, 1e-9)[owner]).astype(np.float32)
+        # Each item has words, so each has a run of entries.
+        out[a : a + len(part)] = np.add.reduceat(onto[terms] * values[:, None], np.flatnonzero(np.diff(owner, prepend=-1)))
+        entries.append((owner + a, terms, values))
+    return out, *(np.concatenate(x) for x in zip(*entries))
 
 
 def latent_space(coded: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
@@ -206,8 +222,12 @@ def latent_space(coded: DataFrame, items: Items, idf: np.ndarray, rank: int = RA
     terms, sums = _summed(coded.mapInArrow(sketch, "term long, vector binary"), rank)
     corpus = np.zeros((size + 1, rank))
     corpus[terms] = sums
-    rows = _item_rows(items, idf)
-    wanted = rows.T @ (rows @ start)
+    # E'(E R): the items' entries only, some at a time.
+    y, owner, held, values = _project(items, idf, start)
+    wanted = np.zeros((size + 1, rank), np.float32)
+    for a in range(0, len(held), _WORDS_AT_ONCE):
+        part = slice(a, a + _WORDS_AT_ONCE)
+        np.add.at(wanted, held[part], y[owner[part]] * values[part, None])
     # The items weigh so much that the space holds them before the corpus's own directions.
     scale = 10 * np.linalg.norm(corpus) / max(float(np.linalg.norm(wanted)), 1e-9) or 1.0
     return np.linalg.qr(corpus + scale * wanted)[0].astype(np.float32)
@@ -230,7 +250,7 @@ class _Search:
     def __init__(self, items: Items, idf: np.ndarray, basis: np.ndarray):
         self.idf = idf
         self.vectors = (basis * idf[:, None]).astype(np.float32)
-        latent = _item_rows(items, idf) @ basis
+        latent = _project(items, idf, basis)[0]
         self.items = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).T
         size = np.array([len(t) for t in items.terms])
         self.near = (NEAR * np.sqrt(np.minimum(1, size / (2 * HALF)))).astype(np.float32)
@@ -242,12 +262,13 @@ class _Search:
         self._members: dict[int, np.ndarray] = {}
         self.terms = [t[idf[t] > 0] if k else t for t, k in zip(items.terms, self.telling)]
         self.answers = [t[idf[t] > 0] if k else t for t, k in zip(items.answers, self.telling)]
+        self.least = [PARAPHRASE * len(t) for t in self.terms]
 
     def member(self, item: int) -> np.ndarray:
         """Which terms are the item's."""
         known = self._members.get(item)
         if known is None:
-            if len(self._members) >= 4096:
+            if len(self._members) * len(self.idf) >= MEMBER_BYTES:
                 self._members.clear()
             known = self._members[item] = np.zeros(len(self.idf), bool)
             known[self.terms[item]] = True
@@ -269,22 +290,25 @@ class _Search:
         spread /= np.maximum(np.linalg.norm(spread, axis=1, keepdims=True), 1e-9)
         for a in range(0, len(self.size), 4096):
             cosine = spread @ self.items[:, a : a + 4096]
-            for p, k in np.argwhere(cosine >= self.near[a : a + 4096]).tolist():
-                item, row = a + k, int(found.row[p])
-                begin = max(int(found.first[row]), int(found.block[found.head[p]]) - int(self.size[item]))
-                end = min(int(found.first[row + 1]), int(found.block[found.head[p]]) + 2 * HALF + int(self.size[item]))
-                words = found.terms[begin:end]
-                words = words[self.member(item)[words]]
-                values = self._verified(item, words, words)
+            passage, item = np.nonzero(cosine >= self.near[a : a + 4096])
+            close, item = cosine[passage, item], item + a
+            row, at = found.row[passage], found.block[found.head[passage]]
+            begin = np.maximum(found.first[row], at - self.size[item])
+            end = np.minimum(found.first[row + 1], at + 2 * HALF + self.size[item])
+            for k, (one, x, y) in enumerate(zip(item.tolist(), begin.tolist(), end.tolist())):
+                words = found.terms[x:y]
+                held = self.member(one)[words]
+                if np.count_nonzero(held) < self.least[one]:
+                    continue  # no more can be in common
+                words = words[held]
+                values = self._verified(one, words, words)
                 if values is not None:
-                    yield row, item, float(cosine[p, k]), *values
+                    yield int(row[k]), one, float(close[k]), *values
         yield from self._exact(found, spread)
 
     def _verified(self, item: int, words: np.ndarray, around: np.ndarray) -> tuple[float, float] | None:
         """Share of the item in ``words`` and of its answer in ``around``, if they make a finding."""
         own, wanted = self.terms[item], self.answers[item]
-        if len(words) < PARAPHRASE * len(own):
-            return None  # no more can be in common
         share = common_subsequence(own, words) / len(own)
         if share < PARAPHRASE:
             return None
@@ -332,18 +356,47 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     """``doc_id, item_id, cosine, lcs, answer`` for each document and item it contains.
 
     ``lcs`` is the share of the item's telling terms found in order, ``answer`` that of its
-    answer; of an item with too few telling terms, that of all its words, and ``cosine`` may be 0. Whole texts of all rows are searched; null and empty texts contain nothing, items
-    without words are contained nowhere. Repeated rows give repeated findings, a null id stays
-    null. Without items the result is empty. Further columns are ignored.
+    answer; with too few telling terms both are of all words, and ``cosine`` may be 0. Whole
+    texts of all rows are searched; null and empty texts contain nothing, items without words
+    are contained nowhere. Repeated rows give repeated findings, a null id stays null. Without
+    items the result is empty. Further columns are ignored.
+
+    A benchmark of more than ``ITEMS`` items or ``ITEM_BYTES`` is searched for in parts of
+    about that size, each with a latent space of its own and passes over ``docs``.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "leaks")
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     kinds = [rows.schema["id"].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()]
     schema = f"{doc_id} {kinds[0]}, {item_id} {kinds[1]}, cosine double, lcs double, answer double"
-    items = read_items(benchmark, item_text, item_id, answer)
+    # The number of a stored row, not its id or text: repeated items spread over the parts too.
+    held = scratch.store(benchmark.where(F.col(item_text).isNotNull()).select(item_id, item_text, *([answer] if answer else [])), "items")
+    columns = [F.col(item_id), F.col(item_text), *([F.col(answer)] if answer else [])]
+    size = held.agg(F.count("*").alias("n"), F.sum(F.octet_length(item_text)).alias("bytes")).first()
+    parts = max(1, -(-size["n"] // ITEMS), -(-(size["bytes"] or 0) // ITEM_BYTES))
+    if parts == 1:
+        found = _contaminated(rows, read_items(held, item_text, item_id, answer), schema, scratch)
+        return spark.createDataFrame([], schema) if found is None else found
+    dealt = held.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).alias("part"), F.struct(*columns).alias("item"))
+    dealt = scratch.store(dealt, "parts")
+    out = []
+    for part in range(parts):
+        items = read_items(dealt.where(F.col("part") == part).select("item.*"), item_text, item_id, answer)
+        found = _contaminated(rows, items, schema, scratch)
+        if found is not None:
+            out.append(scratch.store(found, "found"))
+            found.release()
+    every = spark.createDataFrame([], schema)
+    for found in out:
+        every = every.unionAll(found)
+    return every
+
+
+def _contaminated(rows: DataFrame, items: Items, schema: str, scratch: Scratch) -> DataFrame | None:
+    """The findings of the items of one search, or None without items."""
     if not items.ids:
-        return spark.createDataFrame([], schema)
+        return None
+    spark = rows.sparkSession
     coded = scratch.store(_terms(rows.where("text IS NOT NULL"), items.vocabulary), "terms")
     idf = _weights(coded, len(items.vocabulary))
     search = _Search(items, idf, latent_space(coded, items, idf))
@@ -360,6 +413,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
             columns = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], batch.schema.field("id").type), pa.array(columns[1], kind), *(pa.array(c, pa.float64()) for c in columns[2:])], names)
 
-    names = [doc_id, item_id, "cosine", "lcs", "answer"]
-    kind = {"bigint": pa.int64(), "int": pa.int32()}.get(kinds[1], pa.string())
-    return coded.mapInArrow(find, schema)
+    names = [part.split()[0] for part in schema.split(", ")]
+    kind = {"bigint": pa.int64(), "int": pa.int32()}.get(schema.split(", ")[1].split()[1], pa.string())
+    found = coded.mapInArrow(find, schema)
+
+    def release() -> None:
+        scratch.drop(coded)
+        shared.destroy()
+
+    found.release = release
+    return found

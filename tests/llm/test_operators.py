@@ -216,6 +216,37 @@ def test_decontamination_finds_hot_copies_of_an_item(spark, alone):
     assert {x.doc_id for x in found if x.item_id == 2} == (set() if alone else {3000})
 
 
+@pytest.mark.parametrize("bound", [{"ITEMS": 7}, {"ITEM_BYTES": 2000}])
+def test_a_large_benchmark_is_searched_for_in_parts(spark, sf_dir, docs, monkeypatch, bound):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    pairs = lambda: {(x.doc_id, x.item_id) for x in decontaminate.contaminated(frame(spark, docs), benchmark).collect()}
+    whole, sizes, read = pairs(), [], decontaminate.read_items
+    for name, value in bound.items():
+        monkeypatch.setattr(decontaminate, name, value)
+    monkeypatch.setattr(decontaminate, "read_items", lambda *a: sizes.append(len((x := read(*a)).ids)) or x)
+    assert pairs() == whole and len(whole) > 2
+    assert len(sizes) > 2 and sum(sizes) == benchmark.count() and max(sizes) < 0.5 * sum(sizes)
+
+
+def test_items_take_memory_by_their_words():
+    """20,000 items of 30 words among 300,000 terms: dense rows would take 24 GB."""
+    import tracemalloc
+
+    rows = np.random.Generator(np.random.PCG64(1)).integers(0, 300_000, (20_000, 30))
+    items = decontaminate.Items(list(range(len(rows))), list(rows), list(rows[:, -5:]), np.arange(300_000, dtype=np.uint64))
+    idf = np.append(np.linspace(1, 5, 300_000), 0)
+    tracemalloc.start()
+    search = decontaminate._Search(items, idf, np.ones((300_001, 4), np.float32))
+    assert search.items.shape == (4, 20_000) and tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    dense = np.zeros((2, 300_001))
+    for k in (0, 1):
+        np.add.at(dense[k], rows[k], idf[rows[k]])
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    onto = np.random.Generator(np.random.PCG64(2)).standard_normal((300_001, 4)).astype(np.float32)
+    assert np.allclose(decontaminate._project(items, idf, onto)[0][:2], dense @ onto, atol=1e-4)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=20), st.lists(st.integers(0, 5), max_size=20))
 def test_common_subsequence(a, b):
