@@ -107,7 +107,10 @@ def frequent_shingles(rows: DataFrame, size: int, scratch: Scratch) -> tuple[np.
 
 
 def _sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int, percent: int) -> DataFrame:
-    """``id, n, p0, p1, bunch, bins, prefix`` of each row; ``prefix`` once per group and task, else null."""
+    """``id, n, p0, p1, bunch, bins, prefix`` of each row; ``prefix`` once per group and task, else null.
+
+    Only rows with an id bring a group's prefix, as edges are found by these.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +118,8 @@ def _sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int, p
         met: set[int] = set()
         for batch in slices(batches, "text"):
             n, p0, p1, bunch, bins, prefix = [], [], [], [], [], []
-            for one in shingle_sets(batch.column("text"), size):
+            owned = batch.column("id").is_valid().to_pylist()
+            for own, one in zip(owned, shingle_sets(batch.column("text"), size)):
                 n.append(len(one))
                 a, b = _prints(one)
                 p0.append(a)
@@ -132,8 +136,9 @@ def _sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int, p
                 first = one[np.lexsort((one, often))[: _prefix_size(len(one), percent)]]
                 name = int(mix(sequence_names(first, len(first)) + np.uint64(len(one))).view(np.int64)[0])
                 bunch.append(name)
-                prefix.append(None if name in met else first.view(np.int64))
-                met.add(name)
+                prefix.append(first.view(np.int64) if own and name not in met else None)
+                if own:
+                    met.add(name)
                 if len(met) > HELD:
                     met.clear()
             ints = pa.int64()

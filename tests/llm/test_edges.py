@@ -77,6 +77,15 @@ def test_awkward_rows_have_the_results_the_docstrings_say(spark, docs, benchmark
     assert {r["item_id"] for r in found["leaks"]} <= {1}
 
 
+def test_rows_without_id_take_no_links_from_others(spark):
+    """The row without id stands first, in the one task, and shares its group with a row with an id."""
+    text = "Good morning to all of them, said the other"
+    rows = [(None, text), (1, text), (-8, f"{text} day")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {(None, 5, -8), (1, 5, -8), (-8, 6, -8)}
+
+
 def test_empty_tables(spark, docs, benchmark):
     none = docs.limit(0)
     assert all(frame.count() == 0 for frame in results(spark, none, benchmark).values())
