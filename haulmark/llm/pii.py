@@ -30,10 +30,20 @@ EXPRESSIONS = {
 }
 #: What each expression cannot do without; texts that lack it are not searched.
 NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-#: Runs that may be identifiers: at least one digit among letters and joining signs.
-CANDIDATE = r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+@-]*[0-9][A-Za-z0-9]*"
+_SIGN = "[A-Za-z0-9._%+@-]"
+#: A run without blanks that may be an identifier: at least one digit among letters and joining signs.
+PART = rf"(?<!{_SIGN}){_SIGN}*[0-9][A-Za-z0-9]*"
+#: A whole one: letters with @, or such a run, perhaps in brackets, and the groups of digits joined to it.
+CANDIDATE = (
+    rf"(?<!{_SIGN})(?:{_NAME}++@[A-Za-z0-9]++(?:[.-][A-Za-z0-9]++)*+"
+    rf"|(?:\((?=[0-9]++\)))?{_SIGN}*[0-9][A-Za-z0-9]*+(?:(?:[\x20-]|\x20?\(|\)[\x20-]?)[0-9]++(?!\.?[A-Za-z0-9_%+@]))*+)"
+)
+#: Digits of a candidate without @.
+DIGITS = 4
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 LEFT = 48
+#: Matches that the text before a candidate may reach back over.
+BACK = LEFT // 2
 #: Lengths that are summed up one by one.
 SUMMED = 128
 
@@ -53,9 +63,9 @@ def _valid_span(kind: str, span: Column) -> Column:
     return _valid(kind, span["value"])
 
 
-def _matches(text: Column, expression: str, needed: str | None) -> tuple[Column, Column]:
+def _matches(text: Column, expression: str, needed: str | None, first: str = "[0-9]") -> tuple[Column, Column]:
     """All matches of an expression, and the pieces of text around them (one more)."""
-    there = text.contains(needed) if needed else text.rlike("[0-9]")
+    there = text.contains(needed) if needed else text.rlike(first)
     found = F.when(there, F.regexp_extract_all(text, F.lit(expression), F.lit(0)))
     return found, F.when(there, F.split(text, expression, -1))
 
@@ -64,9 +74,11 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda total, x: total + x)
 
 
-def _with_spans(rows: DataFrame, name: str, number: int) -> DataFrame:
+def _with_spans(rows: DataFrame, name: str, number: int, back: int = 0) -> DataFrame:
     """Adds ``start, kind, end, value, pattern`` of each match of a kind; places follow from the lengths.
 
+    A pattern may begin before up to ``back`` earlier matches, else only after the last one.
+
     Lengths are summed by blocks first, so a text with very many matches costs little more
     than their number. Each step is a projection of its own, so that none is computed again
     for every match.
@@ -81,6 +93,11 @@ def _with_spans(rows: DataFrame, name: str, number: int) -> DataFrame:
     sums = F.col(f"{name}_s")
     rows = rows.withColumn(f"{name}_p", F.transform(sums, lambda _, b: _sum(F.slice(sums, F.lit(1), b))))
 
+    def before_it(x: Column, at: Column) -> Column:
+        earlier = F.slice(f"{name}_z", F.greatest(at - back, F.lit(0)) + 1, F.least(at, F.lit(back)))
+        ends = F.transform(earlier, lambda y: F.concat(F.substring(y["g"], -LEFT, LEFT), F.substring(y["m"], -LEFT, LEFT)))
+        return F.when(x["g"].rlike(r"\p{L}") | (at == 0), x["g"]).otherwise(F.concat(F.array_join(ends, ""), x["g"]))
+
     def span(x: Column, at: Column) -> Column:
         block = F.floor(at / SUMMED).cast("int")
         before = F.get(f"{name}_p", block) + _sum(F.slice(lengths, block * SUMMED + 1, at - block * SUMMED))
@@ -90,7 +107,7 @@ def _with_spans(rows: DataFrame, name: str, number: int) -> DataFrame:
             F.lit(number).alias("kind"),
             (start + F.length(x["m"])).alias("end"),
             x["m"].alias("value"),
-            pattern_before(x["g"]).alias("pattern"),
+            pattern_before(x["g"] if not back else before_it(x, at)).alias("pattern"),
         )
 
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,value:string,pattern:string>>")
@@ -104,21 +121,28 @@ def pattern_before(gap: Column) -> Column:
 
 
 def find_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``row, id, base, rest`` of every row: seed spans, and candidates that no seed overlaps."""
+    """``row, id, base, rest`` of every row: seed spans, and candidates that no seed overlaps.
+
+    Of a whole candidate that a seed overlaps, the runs without blanks that none overlaps are left.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("id"), body.alias("t"))
     columns = []
-    for kind in (*KINDS, "rest"):
-        found, gaps = _matches(F.col("t"), EXPRESSIONS.get(kind, CANDIDATE), NEEDED.get(kind))
+    expressions = {**EXPRESSIONS, "rest": CANDIDATE, "part": PART}
+    for kind, expression in expressions.items():
+        found, gaps = _matches(F.col("t"), expression, NEEDED.get(kind), "[0-9@]" if kind == "rest" else "[0-9]")
         columns += [found.alias(f"{kind}_m"), gaps.alias(f"{kind}_g")]
     rows = rows.select("id", *columns)
-    for number, kind in enumerate((*KINDS, "rest")):
-        rows = _with_spans(rows, kind, number)
+    for number, kind in enumerate(expressions):
+        rows = _with_spans(rows, kind, min(number, len(KINDS)), 0 if kind in KINDS else BACK)
     base = [F.filter(kind, partial(_valid_span, kind)) for kind in KINDS]
-    rest = F.filter("rest", lambda s: F.length(F.regexp_replace(s["value"], "[^0-9]", "")) >= 4)
-    rows = rows.select("id", F.array_sort(F.concat(*base)).alias("base"), rest.alias("rest"))
-    free = F.filter("rest", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return rows.select(F.monotonically_increasing_id().alias("row"), "id", "base", free.alias("rest"))
+    enough = lambda s: F.length(F.regexp_replace(s["value"], "[^0-9]", "")) >= DIGITS
+    rest = F.filter("rest", lambda s: enough(s) | s["value"].contains("@"))
+    rows = rows.select("id", F.array_sort(F.concat(*base)).alias("base"), rest.alias("rest"), F.filter("part", enough).alias("part"))
+    meets = lambda c, others: F.exists(others, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    rows = rows.select("id", "base", "part", F.filter("rest", lambda c: ~meets(c, "base")).alias("free"), F.filter("rest", lambda c: meets(c, "base")).alias("lost"))
+    left = F.filter("part", lambda c: meets(c, "lost") & ~meets(c, "base"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "id", "base", F.concat("free", left).alias("rest"))
 
 
 def score_patterns(found: DataFrame, scratch: Scratch, rounds: int = 3, support: int = 3, smooth: float = 0.5) -> DataFrame:

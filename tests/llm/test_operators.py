@@ -117,6 +117,27 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert found[9] == [(12, 2, 22)] and found[10] == []
 
 
+UNSEEN = [
+    "phone: 0555 123 4567", "phone: (555) 123-4567", "line 1: 0555-123 (45) 67",
+    "card no: 1234 5678 9012 3456 end", "mail: john@localhost.", "mail: j.smith7@intra-net now", "phone: +1 555 123 4567 1234-5678",
+]
+
+
+def test_whole_runs_are_discovered(spark):
+    seeds = ["phone: +1 555 123 45{}", "card no: {}", "mail: {}@x.com"]
+    cards = ["4539578763621486", "4111111111111111", "5500005555555559", "340000000000009", "4012888888881881"]
+    rows = {n: seeds[n % 3].format(cards[n // 3] if n % 3 == 1 else f"{n + 10}") for n in range(15)}
+    rows.update({50 + n: f"line {n}: +1 555 123 46{n + 10}" for n in range(5)})
+    rows.update({100 + n: text for n, text in enumerate(UNSEEN)})
+    rows.update({200: "item 1234 5678 (90) end", 201: "1234 " * 3000, 202: "(" * 5000 + "1)" * 5000, 203: "a@" * 5000})
+    found = {r.doc_id: [(pii.KINDS[s.kind], rows[r.doc_id][s.start : s.end]) for s in r.spans] for r in pii.extract(frame(spark, rows), sure=0.3).collect()}
+    assert [found[100 + n] for n in range(len(UNSEEN))] == [
+        [("phone", "0555 123 4567")], [("phone", "(555) 123-4567")], [("phone", "0555-123 (45) 67")],
+        [("card", "1234 5678 9012 3456")], [("email", "john@localhost")], [("email", "j.smith7@intra-net")], [("phone", "+1 555 123 4567 1234-5678")],
+    ]
+    assert not any(found[k] for k in (200, 201, 202, 203))
+
+
 def test_boilerplate_leaves_all_but_the_first(spark):
     rows = [(n, f"own line {n}\n  Menu  \nbye {n}", f"s{n % 14}") for n in range(28)] + [(90, "Menu", None), (91, "rare\nrare", "s1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
