@@ -196,7 +196,7 @@ def _group_edges(sets: DataFrame, distinct: DataFrame, percent: int, scratch: Sc
     return _possible(pairs.distinct(), distinct, sets, percent, scratch).unionAll(ties.distinct())
 
 
-def _blocks(members: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, percent: int) -> DataFrame:
     """Each set once per pair of blocks it takes part in: adds ``pair``.
 
     A large cluster is cut by size, in steps no similar pair skips, and by hash.
@@ -205,7 +205,9 @@ def _blocks(members: DataFrame) -> DataFrame:
     large = (F.col("sets") > BLOCK_SETS) | (F.col("shingles") > BLOCK_SHINGLES)
     members = members.join(total, "cluster")
     small = members.where(~large).withColumn("pair", F.concat_ws(":", "cluster"))
-    big = members.where(large).withColumn("step", F.floor(F.log("n") / F.log(F.lit(4 / 3)) + 1e-9).cast("int"))
+    # Similar sets differ in size by a factor of 100 / percent at most, so by one step.
+    step = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
+    big = members.where(large).withColumn("step", step)
     cells = big.groupBy("cluster", "step").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("cells"))
     own = big.join(cells, ["cluster", "step"]).withColumn("cell", F.pmod(F.xxhash64("p0", "p1"), "cells").cast("int"))
     meets = cells.select("cluster", F.col("step").alias("step2"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell2"))
@@ -310,7 +312,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     clusters = components(edges.unionAll(many.select(F.col("bunch").alias("u"), F.col("bunch").alias("v"))), scratch)
     members = distinct.join(clusters.select(F.col("node").alias("bunch"), F.col("component").alias("cluster")), "bunch")
     members = scratch.store(members.select("cluster", "n", "p0", "p1", "rep"), "members")
-    places = scratch.store(_blocks(members), "places")
+    places = scratch.store(_blocks(members, percent), "places")
     links = scratch.store(_links(rows.where("id IS NOT NULL"), places, size, percent), "links")
     classes = components(links, scratch)
     classed = distinct.join(classes, distinct["rep"] == classes["node"], "left")

@@ -178,6 +178,16 @@ def test_classes_equal_all_pairs(spark, docs, monkeypatch, bound):
             assert got == brute.classes(some)
 
 
+@pytest.mark.parametrize("percent", [50, 100])
+def test_blocks_of_other_similarities(spark, monkeypatch, percent):
+    """Sets of 100 and 60 shingles, similar at 50, in a cluster over its bound."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 1)
+    some = {1: " ".join(f"w{n}" for n in range(104)), 2: " ".join(f"w{n}" for n in range(64)), 3: " ".join(f"w{n % 52}" for n in range(64))}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(frame(spark, some), percent=percent).collect()}
+    assert got == brute.classes(some, percent)
+    assert (got[2][1] == 1) == (percent == 50)
+
+
 def test_components(spark):
     edges = [(n, n + 1) for n in range(50)] + [(100, 101), (102, 101), (7, 7), (200, 200), (None, 3)]
     found = components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "t"))
