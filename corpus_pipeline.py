@@ -7,13 +7,16 @@ returns the encoded texts.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from haulmark.llm import bpe, decontaminate, jaccard, lines, toxicity
 from haulmark.llm.queries import VOCABULARY, table
 from haulmark.llm.scratch import Scratch
 
+#: Columns of a stage's own.
+KEY, COPY = "__key", "__copy"
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that score below 0.5; the field learns from the labels of rows not held out."""
@@ -29,17 +32,29 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of each class; rows without id stay."""
-    found = jaccard.near_duplicates(docs.select("doc_id", "text"))
-    others = found.where("component_id <> doc_id").select("doc_id").distinct()
-    # Like the texts, these ids grow with the corpus: the same plan at every size.
-    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each class: that with the smallest id, one without id only if all are.
+
+    Texts without words stay. Rows are known by their id and text, so ids may be null or repeat.
+    """
+    keyed = docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
+    found = jaccard.near_duplicates(keyed.select(F.col(KEY).alias("doc_id"), "text")).where("n_shingles > 0")
+    found = found.select(F.col("doc_id").alias(KEY), F.col("component_id").alias("class")).distinct()
+    # Like the texts, these grow with the corpus: the same plan at every size.
+    ids = keyed.select(KEY, F.struct(F.col("doc_id").isNull(), "doc_id", KEY).alias("place")).distinct()
+    ids = ids.join(found.hint("merge"), KEY)
+    first = ids.groupBy("class").agg(F.min("place").alias("first"))
+    others = ids.join(first.hint("merge"), "class").where("place <> first").select(KEY)
+    rest = keyed.join(others.hint("merge"), KEY, "left_anti")
+    copies = Window.partitionBy(KEY).orderBy(*[c for c in docs.columns if c != "text"])
+    rest = rest.withColumn(COPY, F.row_number().over(copies))
+    return rest.where((F.col(COPY) == 1) | ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that contain no benchmark item."""
-    found = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Rows that contain no benchmark item, which depends on the text only."""
+    keyed = docs.withColumn(KEY, F.xxhash64("text"))
+    found = decontaminate.contaminated(keyed.select(F.col(KEY).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return keyed.join(found.select(F.col("doc_id").alias(KEY)).distinct(), KEY, "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

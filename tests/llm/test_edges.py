@@ -86,6 +86,20 @@ def test_rows_without_id_take_no_links_from_others(spark):
     assert got == {(None, 5, -8), (1, 5, -8), (-8, 6, -8)}
 
 
+def test_stages_drop_rows_without_id_and_repeated_rows(spark, tmp_path):
+    item = " ".join(f"item{n}" for n in range(30))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    text, other, lone = (" ".join(f"{w}{n}" for n in range(40)) for w in "abc")
+    rows = [(None, text), (5, text), (5, text), (3, f"{text} more"), (3, other), (None, lone), (None, lone), (None, ""), (7, " "), (7, " "), (8, None)]
+    docs = spark.createDataFrame([(k, t, "s") for k, t in rows], "doc_id long, text string, source string")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in left) == sorted((str(k), str(t)) for k, t in [(3, f"{text} more"), (3, other), (None, lone), *rows[-4:]])
+    rows = [(None, f"ahead {item} behind"), (None, other), (1, item), (2, text), (2, item), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in left) == sorted((str(k), str(t)) for k, t in [(None, other), (2, text), (4, None)])
+
+
 def test_empty_tables(spark, docs, benchmark):
     none = docs.limit(0)
     assert all(frame.count() == 0 for frame in results(spark, none, benchmark).values())
