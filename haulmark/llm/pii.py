@@ -74,6 +74,10 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda total, x: total + x)
 
 
+def _enough(value: Column) -> Column:
+    return (F.length(F.regexp_replace(value, "[^0-9]", "")) >= DIGITS) | value.contains("@")
+
+
 def _with_spans(rows: DataFrame, name: str, number: int, back: int = 0) -> DataFrame:
     """Adds ``start, kind, end, value, pattern`` of each match of a kind; places follow from the lengths.
 
@@ -107,7 +111,7 @@ def _with_spans(rows: DataFrame, name: str, number: int, back: int = 0) -> DataF
             F.lit(number).alias("kind"),
             (start + F.length(x["m"])).alias("end"),
             x["m"].alias("value"),
-            pattern_before(x["g"] if not back else before_it(x, at)).alias("pattern"),
+            (F.when(_enough(x["m"]), pattern_before(before_it(x, at))).otherwise("") if back else pattern_before(x["g"])).alias("pattern"),
         )
 
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,value:string,pattern:string>>")
@@ -128,21 +132,21 @@ def find_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("id"), body.alias("t"))
     columns = []
-    expressions = {**EXPRESSIONS, "rest": CANDIDATE, "part": PART}
-    for kind, expression in expressions.items():
-        found, gaps = _matches(F.col("t"), expression, NEEDED.get(kind), "[0-9@]" if kind == "rest" else "[0-9]")
+    for kind in (*KINDS, "rest"):
+        found, gaps = _matches(F.col("t"), EXPRESSIONS.get(kind, CANDIDATE), NEEDED.get(kind), "[0-9@]" if kind == "rest" else "[0-9]")
         columns += [found.alias(f"{kind}_m"), gaps.alias(f"{kind}_g")]
-    rows = rows.select("id", *columns)
-    for number, kind in enumerate(expressions):
-        rows = _with_spans(rows, kind, min(number, len(KINDS)), 0 if kind in KINDS else BACK)
+    rows = rows.select("id", "t", *columns)
+    for number, kind in enumerate((*KINDS, "rest")):
+        rows = _with_spans(rows, kind, number, 0 if kind in KINDS else BACK)
     base = [F.filter(kind, partial(_valid_span, kind)) for kind in KINDS]
-    enough = lambda s: F.length(F.regexp_replace(s["value"], "[^0-9]", "")) >= DIGITS
-    rest = F.filter("rest", lambda s: enough(s) | s["value"].contains("@"))
-    rows = rows.select("id", F.array_sort(F.concat(*base)).alias("base"), rest.alias("rest"), F.filter("part", enough).alias("part"))
+    rows = rows.select("id", "t", F.array_sort(F.concat(*base)).alias("base"), F.filter("rest", lambda s: _enough(s["value"])).alias("rest"))
     meets = lambda c, others: F.exists(others, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    rows = rows.select("id", "base", "part", F.filter("rest", lambda c: ~meets(c, "base")).alias("free"), F.filter("rest", lambda c: meets(c, "base")).alias("lost"))
-    left = F.filter("part", lambda c: meets(c, "lost") & ~meets(c, "base"))
-    return rows.select(F.monotonically_increasing_id().alias("row"), "id", "base", F.concat("free", left).alias("rest"))
+    rows = rows.select("id", "t", "base", F.filter("rest", lambda c: ~meets(c, "base")).alias("free"), F.filter("rest", lambda c: meets(c, "base")).alias("lost"))
+    found, gaps = (F.when(F.size("lost") > 0, x) for x in _matches(F.col("t"), PART, None))
+    rows = _with_spans(rows.select("id", "base", "free", "lost", found.alias("part_m"), gaps.alias("part_g")), "part", len(KINDS), BACK)
+    left = F.filter("part", lambda c: _enough(c["value"]) & meets(c, "lost") & ~meets(c, "base"))
+    rows = rows.select("id", "base", F.concat("free", left).alias("rest"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "id", "base", "rest")
 
 
 def score_patterns(found: DataFrame, scratch: Scratch, rounds: int = 3, support: int = 3, smooth: float = 0.5) -> DataFrame:
