@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import bpe, decontaminate, exact, jaccard, language, lines, pii, substrings, token_counts, toxicity
+from haulmark.llm import bpe, decontaminate, exact, jaccard, language, lines, periodic, pii, substrings, token_counts, toxicity
 from haulmark.llm.folds import held_out
 from haulmark.llm.ship import ship
 
@@ -69,6 +69,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted, F.array_join("spans", ",").alias("spans"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), rewrite=periodic.planted)
+    found = found.withColumn("best", periodic.strongest("runs"))
+    best = [F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")]
+    milli = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    digests = [F.sha2(periodic.as_lines("runs"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")]
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, milli, *digests)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_exact_duplicates": op2_exact_duplicates,
@@ -80,6 +89,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
