@@ -2,27 +2,28 @@
 
 A document's set is its distinct word shingles. Shingles are ordered with those that many
 documents hold last; two sets of a given similarity then share one of their first ones,
-their prefixes. Documents with the same prefix and size form one group, and only groups meet:
-those that share a prefix shingle and may be similar by size become a candidate pair. Shingles
-with many groups don't pair them off but tie all to one of them. Either way the pairs make
-clusters of groups; these are expanded to their distinct sets, and within a cluster all sets
-are compared exactly, block by block. A cluster's pairs are never written out: each block
-yields only links that connect, and the connected components of the links are the classes.
-
-The order of the shingles and the way of meeting change the cost, not the result.
+their prefixes. Documents with the same prefix and size form one group, and only groups meet,
+in the lists of the shingles of their prefixes. Lists of one group are dropped, the groups
+of the others expand to their distinct sets. Pairs are filtered by size, by the components they
+are in already and by their outlines, and verified by whole texts; how the sets of one list
+meet without being paired off is told in ``stars``. The connected components of the verified
+links are the classes.
+
+The order of the shingles changes the cost, not the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulmark.llm.graph import components
 from haulmark.llm.scratch import Scratch, most_frequent
+from haulmark.llm.stars import Similarity, fingerprint, link_lists
 from haulmark.llm.words import LOWER, Words, mix, sequence_names, slices
 
 SHINGLE = 5
@@ -31,12 +32,8 @@ PERCENT = 75
 HELD = 4_000_000
 #: Shingles known as frequent; 8 bytes each in every task.
 FREQUENT = 1 << 19
-#: Groups at a shingle up to which they are paired off.
-PAIRED = 160
 #: Bins of a set's outline: how many of its shingles fall into each, up to 255.
 BINS = 256
-#: A block of sets to compare: at most about so many sets and shingles.
-BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -58,18 +55,18 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def _prints(one: np.ndarray) -> tuple[int, int]:
-    """128 bits that identify a set."""
-    sums = [mix(one ^ np.uint64(salt)).sum(dtype=np.uint64) for salt in (0x243F6A8885A308D3, 0x13198A2E03707344)]
-    return tuple(int(x) for x in mix(np.array(sums) + np.uint64(len(one))).view(np.int64))
-
-
 def outline(one: np.ndarray) -> bytes | None:
     """Counts of a set's shingles by bin; None where a bin is too full for its byte."""
     counts = np.bincount((one & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
     return None if counts.max() > 255 else counts.astype(np.uint8).tobytes()
 
 
+def may_be_similar(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Row by row, whether two outlines let sets be similar: these have no more in common than the smaller count of each bin."""
+    most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    return 100 * most >= percent * (n + m - most)
+
+
 def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -107,186 +104,72 @@ def frequent_shingles(rows: DataFrame, size: int, scratch: Scratch) -> tuple[np.
 
 
 def _sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int, percent: int) -> DataFrame:
-    """``id, n, p0, p1, bunch, bins, prefix`` of each row; ``prefix`` once per group and task, else null.
+    """``id, n, p0, p1, bunch, bins, rare, often`` of each row.
 
-    Only rows with an id bring a group's prefix, as edges are found by these.
+    ``rare`` and ``often`` are a group's prefix, shingles known as frequent apart; they come once per
+    group and task, else null, and ``bins`` once per set and task. Only rows with an id bring a
+    group's prefix, as its list is found by these.
     """
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = shared.value
         met: set[int] = set()
+        drawn: set[tuple[int, int]] = set()
         for batch in slices(batches, "text"):
-            n, p0, p1, bunch, bins, prefix = [], [], [], [], [], []
+            out: dict[str, list] = {c: [] for c in ("n", "p0", "p1", "bunch", "bins", "rare", "often")}
             owned = batch.column("id").is_valid().to_pylist()
             for own, one in zip(owned, shingle_sets(batch.column("text"), size)):
-                n.append(len(one))
-                a, b = _prints(one)
-                p0.append(a)
-                p1.append(b)
-                bins.append(outline(one))
-                if not len(one):
-                    bunch.append(0)
-                    prefix.append(None)
-                    continue
-                often = np.zeros(len(one), np.int64)
-                if len(known):
-                    spot = np.minimum(np.searchsorted(known, one), len(known) - 1)
-                    often = np.where(known[spot] == one, counts[spot], 0)
-                first = one[np.lexsort((one, often))[: _prefix_size(len(one), percent)]]
-                name = int(mix(sequence_names(first, len(first)) + np.uint64(len(one))).view(np.int64)[0])
-                bunch.append(name)
-                prefix.append(first.view(np.int64) if own and name not in met else None)
-                if own:
-                    met.add(name)
-                if len(met) > HELD:
+                print_ = fingerprint(one)
+                rare = often = None
+                bunch = 0
+                if len(one):
+                    times = np.zeros(len(one), np.int64)
+                    if len(known):
+                        spot = np.minimum(np.searchsorted(known, one), len(known) - 1)
+                        times = np.where(known[spot] == one, counts[spot], 0)
+                    order = np.lexsort((one, times))[: _prefix_size(len(one), percent)]
+                    first = one[order]
+                    bunch = int(mix(sequence_names(first, len(first)) + np.uint64(len(one))).view(np.int64)[0])
+                    if own and bunch not in met:
+                        met.add(bunch)
+                        cut = int((times[order] == 0).sum())
+                        rare, often = first[:cut].view(np.int64), first[cut:].view(np.int64)
+                for name, value in (("n", len(one)), ("p0", print_[0]), ("p1", print_[1]), ("bunch", bunch), ("rare", rare), ("often", often)):
+                    out[name].append(value)
+                out["bins"].append(None if print_ in drawn else outline(one))
+                drawn.add(print_)
+                if len(met) + len(drawn) > FREQUENT:
                     met.clear()
+                    drawn.clear()
             ints = pa.int64()
-            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": pa.array(n, ints), "p0": pa.array(p0, ints), "p1": pa.array(p1, ints), "bunch": pa.array(bunch, ints), "bins": pa.array(bins, pa.binary()), "prefix": pa.array(prefix, pa.list_(ints))})
-
-    return rows.mapInArrow(run, "id long, n long, p0 long, p1 long, bunch long, bins binary, prefix array<long>")
+            kinds = {"bins": pa.binary(), "rare": pa.list_(ints), "often": pa.list_(ints)}
+            columns = [batch.column("id"), *(pa.array(v, kinds.get(c, ints)) for c, v in out.items())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", *out])
 
+    return rows.mapInArrow(run, "id long, n long, p0 long, p1 long, bunch long, bins binary, rare array<long>, often array<long>")
 
-def _possible(pairs: DataFrame, distinct: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs of groups that their sets' outlines don't rule out.
 
-    No more shingles can be in common than the smaller count of each bin, so nothing similar
-    is lost. Groups with several sets, or a set without an outline, always pass.
-    """
-    alone = distinct.groupBy("bunch").agg(F.count("*").alias("sets"), F.min("rep").alias("id")).where("sets = 1")
-    drawn = sets.where("bins IS NOT NULL AND id IS NOT NULL").select("id", "bunch", "n", "bins").join(alone.select("id", "bunch"), ["id", "bunch"])
-    drawn = scratch.store(drawn.groupBy("bunch").agg(F.max(F.struct("n", "bins")).alias("drawn")), "outlines")
-    pairs = pairs.join(drawn.select(F.col("bunch").alias("u"), F.col("drawn").alias("x")), "u", "left")
-    pairs = pairs.join(drawn.select(F.col("bunch").alias("v"), F.col("drawn").alias("y")), "v", "left")
-
-    def rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known = np.asarray(batch.column("known"))
-            keep = ~known
-            at = np.flatnonzero(known)
-            for a in range(0, len(at), 10_000):
-                part = at[a : a + 10_000]
-                x, y = (np.frombuffer(b"".join(batch.column(c).take(pa.array(part)).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("x", "y"))
-                most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-                total = np.asarray(batch.column("n"))[part]
-                keep[part] = 100 * most >= percent * (total - most)
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("u", "v")], ["u", "v"])
-
-    known = (F.col("x").isNotNull() & F.col("y").isNotNull()).alias("known")
-    total = F.coalesce(F.col("x.n") + F.col("y.n"), F.lit(0)).alias("n")
-    return pairs.select("u", "v", known, total, F.col("x.bins").alias("x"), F.col("y.bins").alias("y")).mapInArrow(rule_out, "u long, v long")
-
-
-def _group_edges(sets: DataFrame, distinct: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Edges between groups that may hold similar sets."""
+def _met(sets: DataFrame) -> DataFrame:
+    """``name, id``: shingles that may be in several prefixes, with a row of each group."""
     # Most shingles are no one else's. To find the others, names travel with the id of a row of
-    # the group, which costs the shuffle little; groups are looked up for what is left.
-    named = sets.where("prefix IS NOT NULL AND id IS NOT NULL").select(F.explode("prefix").alias("name"), "id")
-    met = named.withColumn("rows", F.count("*").over(Window.partitionBy("name"))).where("rows > 1").select("name", "id")
-    met = scratch.store(met, "met")
-    at = met.join(sets.select("id", "bunch", "n"), "id").select("name", "bunch", "n").distinct()
-    whole = Window.partitionBy("name")
-    at = at.withColumn("groups", F.count("*").over(whole)).withColumn("least", F.min("bunch").over(whole)).where("groups > 1")
-    at = scratch.store(at, "shared")
-    few = at.where(F.col("groups") <= PAIRED)
-    other = few.select("name", F.col("bunch").alias("bunch2"), F.col("n").alias("n2"))
-    near = (F.col("n") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n") * percent)
-    pairs = few.join(other, "name").where((F.col("bunch") < F.col("bunch2")) & near).select(F.col("bunch").alias("u"), F.col("bunch2").alias("v"))
-    ties = at.where(F.col("groups") > PAIRED).select(F.col("bunch").alias("u"), F.col("least").alias("v")).where("u <> v")
-    return _possible(pairs.distinct(), distinct, sets, percent, scratch).unionAll(ties.distinct())
-
-
-def _blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Each set once per pair of blocks it takes part in: adds ``pair``.
-
-    A large cluster is cut by size, in steps no similar pair skips, and by hash.
-    """
-    total = members.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
-    large = (F.col("sets") > BLOCK_SETS) | (F.col("shingles") > BLOCK_SHINGLES)
-    members = members.join(total, "cluster")
-    small = members.where(~large).withColumn("pair", F.concat_ws(":", "cluster"))
-    # Similar sets differ in size by a factor of 100 / percent at most, so by one step.
-    step = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
-    big = members.where(large).withColumn("step", step)
-    cells = big.groupBy("cluster", "step").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("cells"))
-    own = big.join(cells, ["cluster", "step"]).withColumn("cell", F.pmod(F.xxhash64("p0", "p1"), "cells").cast("int"))
-    meets = cells.select("cluster", F.col("step").alias("step2"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell2"))
-    near = [own.withColumn("step2", F.col("step") + d) for d in (-1, 0, 1)]
-    met = near[0].unionAll(near[1]).unionAll(near[2]).join(meets, ["cluster", "step2"])
-    mine, its = F.struct("step", "cell"), F.struct(F.col("step2").alias("step"), F.col("cell2").alias("cell"))
-    low, high = F.when(mine <= its, mine).otherwise(its), F.when(mine <= its, its).otherwise(mine)
-    met = met.withColumn("pair", F.concat_ws(":", "cluster", low["step"], low["cell"], high["step"], high["cell"]))
-    columns = ["pair", "rep", "p0", "p1"]
-    return small.select(*columns).unionAll(met.select(*columns))
-
-
-def linking_pairs(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Pairs of similar sets that connect all that similar pairs connect."""
-    n = len(sets)
-    names = np.concatenate(sets)
-    owner = np.repeat(np.arange(n), [len(s) for s in sets])
-    order = np.argsort(names, kind="stable")
-    names, owner = names[order], owner[order]
-    new = np.ones(len(names), bool)
-    new[1:] = names[1:] != names[:-1]
-    column = np.cumsum(new) - 1
-    often = np.bincount(column) > 1
-    keep = often[column]
-    column, owner = (np.cumsum(often) - 1)[column[keep]], owner[keep]
-    both = np.zeros((n, n), np.float32)
-    if len(column):
-        step = 4096
-        for a in range(0, int(column[-1]) + 1, step):
-            x, y = np.searchsorted(column, [a, a + step])
-            part = np.zeros((n, step), np.float32)
-            part[owner[x:y], column[x:y] - a] = 1
-            both += part @ part.T
-    size = np.array([len(s) for s in sets])
-    inter = both.astype(np.int64)
-    similar = 100 * inter >= percent * (size[:, None] + size[None, :] - inter)
-    np.fill_diagonal(similar, False)
-    out, seen = [], np.zeros(n, bool)
-    for root in np.flatnonzero(similar.any(1)).tolist():
-        if seen[root]:
-            continue
-        seen[root] = True
-        queue = [root]
-        while queue:
-            k = queue.pop()
-            for other in np.flatnonzero(similar[k] & ~seen).tolist():
-                seen[other] = True
-                out.append((k, other))
-                queue.append(other)
-    return out
+    # the group, which costs the shuffle little; groups are looked up for what is left. A name that
+    # may be in very many prefixes is known as frequent, and need not be counted.
+    rare = sets.where("id IS NOT NULL").select(F.explode("rare").alias("name"), "id")
+    rare = rare.withColumn("rows", F.count("*").over(Window.partitionBy("name"))).where("rows > 1").select("name", "id")
+    often = sets.where("id IS NOT NULL").select(F.explode("often").alias("name"), "id")
+    return rare.unionAll(often)
 
 
-def _links(texts: DataFrame, places: DataFrame, size: int, percent: int) -> DataFrame:
-    """``u, v``: links between representatives.
-
-    Texts go to the blocks, as they take less space than their sets.
-    """
-    rows = texts.join(places, texts["id"] == places["rep"]).select("pair", "rep", "p0", "p1", "text")
-    rows = rows.repartition("pair").sortWithinPartitions("pair")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, sets = None, [], []
-
-        def links() -> pa.RecordBatch:
-            found = linking_pairs(sets, percent) if len(sets) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in found], pa.int64()), pa.array([ids[b] for _, b in found], pa.int64())], ["u", "v"])
-
-        for batch in slices(batches, "text"):
-            own = (batch.column(c).to_pylist() for c in ("pair", "rep", "p0", "p1"))
-            for pair, rep, p0, p1, one in zip(*own, shingle_sets(batch.column("text"), size)):
-                if pair != now:
-                    yield links()
-                    now, ids, sets = pair, [], []
-                if _prints(one) == (p0, p1):  # another row may have the same id
-                    ids.append(rep)
-                    sets.append(one)
-        yield links()
-
-    return rows.mapInArrow(compare, "u long, v long").where("u <> v").distinct()
+def _lists(met: DataFrame, sets: DataFrame, distinct: DataFrame) -> DataFrame:
+    """``name, node, n``: the sets whose groups have a shingle in their prefixes."""
+    groups = met.join(sets.where("n > 0").select("id", "bunch"), "id").select("name", "bunch").distinct()
+    several = groups.groupBy("name").agg(F.count("*").alias("groups")).where("groups > 1")
+    groups = groups.join(several.select("name"), "name")
+    # The sets of one group are a list of their own.
+    alone = distinct.groupBy("bunch").agg(F.count("*").alias("sets")).where("sets > 1")
+    groups = groups.unionAll(alone.select(F.col("bunch").alias("name"), "bunch"))
+    return groups.join(distinct, "bunch").select("name", F.col("rep").alias("node"), "n")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -302,19 +185,16 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     sets = scratch.store(_sets(rows, frequent_shingles(rows, size, scratch), size, percent), "sets")
     # Of equal sets, the smallest id stands for all.
-    distinct = sets.where("n > 0").groupBy("bunch", "n", "p0", "p1").agg(F.min("id").alias("rep"))
+    distinct = sets.where("n > 0").groupBy("bunch", "n", "p0", "p1").agg(F.min("id").alias("rep"), F.max("bins").alias("sketch"))
     distinct = scratch.store(distinct.where("rep IS NOT NULL"), "distinct")
-    edges = scratch.store(_group_edges(sets, distinct, percent, scratch), "edges")
-    # Prefixes have done their work.
+    met = scratch.store(_met(sets), "met")
+    lists = scratch.store(_lists(met, sets, distinct), "lists")
     whole = scratch.store(sets.select("id", "n", "p0", "p1"), "rows")
-    scratch.drop(sets)
-    many = distinct.groupBy("bunch").agg(F.count("*").alias("sets")).where("sets > 1")
-    clusters = components(edges.unionAll(many.select(F.col("bunch").alias("u"), F.col("bunch").alias("v"))), scratch)
-    members = distinct.join(clusters.select(F.col("node").alias("bunch"), F.col("component").alias("cluster")), "bunch")
-    members = scratch.store(members.select("cluster", "n", "p0", "p1", "rep"), "members")
-    places = scratch.store(_blocks(members, percent), "places")
-    links = scratch.store(_links(rows.where("id IS NOT NULL"), places, size, percent), "links")
-    classes = components(links, scratch)
+    # Prefixes have done their work.
+    scratch.drop(sets, met)
+    like = Similarity(partial(shingle_sets, size=size), percent, partial(may_be_similar, percent=percent), np.uint8)
+    sketches = distinct.select(F.col("rep").alias("node"), "n", "sketch")
+    classes = link_lists(lists, sketches, distinct, rows.where("id IS NOT NULL"), like, scratch)
     classed = distinct.join(classes, distinct["rep"] == classes["node"], "left")
     classed = classed.select("n", "p0", "p1", F.coalesce("component", "rep").alias("component_id"))
     whole = whole.join(classed, ["n", "p0", "p1"], "left")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import bpe, decontaminate, exact, jaccard, language, lines, periodic, pii, substrings, token_counts, toxicity
+from haulmark.llm import bottomk, bpe, decontaminate, divergence, exact, jaccard, language, lines, periodic, pii, substrings, token_counts, toxicity
 from haulmark.llm.folds import held_out
 from haulmark.llm.ship import ship
 
@@ -69,6 +69,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted, F.array_join("spans", ",").alias("spans"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic.periodic_runs(table(spark, sf_dir, "documents"), rewrite=periodic.planted)
     found = found.withColumn("best", periodic.strongest("runs"))
@@ -89,6 +97,8 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_bottom_k": op12_bottom_k,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -116,4 +126,44 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op11_source_divergence": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), t AS (
+            SELECT row, lang, source, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+            FROM (SELECT row, lang, source, unnest(words) AS word FROM d)
+        ), c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+        kept AS (
+            SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term
+            HAVING count(DISTINCT row) >= {divergence.LEAST}
+        ),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        langs AS (SELECT lang, count(*) AS v, sum(total) AS whole FROM kept GROUP BY lang),
+        dense AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.total
+            FROM groups g JOIN kept k ON k.lang = g.lang
+            LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ), sums AS (SELECT lang, source, sum(n) AS held FROM dense GROUP BY lang, source),
+        shares AS (
+            SELECT s.lang, s.source, term, n, 1 + 1000000000::HUGEINT * (n + 2) // (held + 2 * v) AS p,
+                   1 + 1000000000::HUGEINT * (total + 2) // (whole + 2 * v) AS q
+            FROM dense s JOIN sums ON sums.lang = s.lang AND sums.source = s.source JOIN langs ON langs.lang = s.lang
+        ), apart AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY a.lang, a.source, b.source
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+        )
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}
+    """,
 }

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from haulmark.llm import bpe, decontaminate, exact, jaccard, language, lexicon, lines, pii, queries, recompression, substrings, toxicity
+from haulmark.llm import bpe, decontaminate, exact, jaccard, language, lexicon, lines, pii, queries, recompression, stars, substrings, toxicity
 from haulmark.llm.graph import components
 from haulmark.llm.scratch import Scratch
 from haulmark.llm.token_counts import count_tokens, token_counts
@@ -170,8 +170,9 @@ def varied(seed=3, copies=40):
 @pytest.mark.parametrize("bound", [None, 4])
 def test_classes_equal_all_pairs(spark, docs, monkeypatch, bound):
     if bound:  # every way of meeting and of cutting into blocks
-        monkeypatch.setattr(jaccard, "PAIRED", 2)
-        monkeypatch.setattr(jaccard, "BLOCK_SETS", bound)
+        monkeypatch.setattr(stars, "PAIRED", 1)
+        monkeypatch.setattr(stars, "BLOCK_SKETCHES", 2)
+        monkeypatch.setattr(stars, "BLOCK_SETS", bound)
     for some in (varied(), {k: t for k, t in docs.items() if not bound}):
         if some:
             got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(frame(spark, some)).collect()}
@@ -181,7 +182,9 @@ def test_classes_equal_all_pairs(spark, docs, monkeypatch, bound):
 @pytest.mark.parametrize("percent", [50, 100])
 def test_blocks_of_other_similarities(spark, monkeypatch, percent):
     """Sets of 100 and 60 shingles, similar at 50, in a cluster over its bound."""
-    monkeypatch.setattr(jaccard, "BLOCK_SETS", 1)
+    monkeypatch.setattr(stars, "PAIRED", 1)
+    monkeypatch.setattr(stars, "BLOCK_SKETCHES", 1)
+    monkeypatch.setattr(stars.link_lists, "__defaults__", (0,))
     some = {1: " ".join(f"w{n}" for n in range(104)), 2: " ".join(f"w{n}" for n in range(64)), 3: " ".join(f"w{n % 52}" for n in range(64))}
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(frame(spark, some), percent=percent).collect()}
     assert got == brute.classes(some, percent)
