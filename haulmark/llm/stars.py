@@ -281,6 +281,11 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
     """
     spark = lists.sparkSession
     lists = scratch.store(_unlike(lists.distinct()), "lists")
+    # Most sets are in no list. The texts of the others are looked up once: by a broadcast where the
+    # stored table of their ids is small, else by one shuffle of the texts.
+    wanted = scratch.store(lists.select(F.col("node").alias("id")).distinct(), "wanted")
+    texts = scratch.store(texts.join(wanted, "id", "left_semi"), "texts")
+    scratch.drop(wanted)
     links = labels = None
     nothing = spark.createDataFrame([], "node long, component long")
     for turn in range(rounds):
@@ -305,4 +310,5 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
     if not pairs.isEmpty():
         found = scratch.store(_compared(pairs, distinct, texts, like), "links")
         links = found if links is None else links.unionAll(found)
+    scratch.drop(pairs, texts)
     return nothing if links is None else components(links, scratch)
