@@ -12,16 +12,18 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Mapping
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from haulmark.operators import alerts, ingest, kpis
-from haulmark.settings import shared_root, with_settings
+from haulmark.settings import STATE_STORES, shared_root, use_state_store, with_settings
 from haulmark.schemas import ALERT_RECORD, DELIVERY_UPDATE, DRIVER_PING, STATUS_COUNT, TRAFFIC_UPDATE, with_event_date
 from haulmark.sources.messages import message_stream
 from haulmark.streaming import runner, sinks
+from haulmark.streaming.compaction import compact, tidy
 from haulmark.streaming.progress import ProgressLog, topic_lag
 from haulmark.streaming.stored import KEEP, REFUSE, REPLACE, current_rows, stored_table
 
@@ -55,7 +57,8 @@ def fleet_streams(
 ) -> list[Callable[[], StreamingQuery]]:
     """The streams over the given topics, ready to start. Each reads its topic on its
     own and has its own progress, so one may lag or restart without the others; the
-    deliveries are read thrice for that. ``others`` says what to do about tables that
+    deliveries are read twice for that, for the counts and for the updates with their
+    alerts. ``others`` says what to do about tables that
     streams with other checkpoint folders have written."""
 
     def stored(rows: DataFrame, name: str) -> Callable[[], StreamingQuery]:
@@ -67,28 +70,52 @@ def fleet_streams(
 
     deliveries = topics[DELIVERY_TOPIC]
     counts = kpis.status_counts(ingest.delivery_states(deliveries))
-    raised = alerts.all_alerts(ingest.delivery_updates(deliveries), min_delay_minutes)
-    records = alerts.alert_records(raised, dated=True)
+
+    def records(updates: DataFrame) -> DataFrame:
+        return alerts.alert_records(alerts.all_alerts(updates, min_delay_minutes), dated=True)
+
+    # One reader of the topic and one parse for the updates and their alerts.
+    both = {f"{tables}/{UPDATES}": stamped, f"{tables}/{ALERTS}": records}
     return [
         stored(stamped(ingest.driver_pings(topics[PING_TOPIC])), PINGS),
-        stored(stamped(ingest.delivery_updates(deliveries)), UPDATES),
+        lambda: sinks.append_to_tables(
+            ingest.delivery_updates(deliveries), both, UPDATES, checkpoints, every=ingest_every, others=others
+        ),
         stored(stamped(ingest.traffic_updates(topics[TRAFFIC_TOPIC])), TRAFFIC),
         lambda: sinks.fold_counts(
             counts, f"{tables}/{COUNTS}", COUNTS, checkpoints, every=kpi_every, others=REFUSE if others == KEEP else others
         ),
-        stored(records, ALERTS),
     ]
 
 
+#: The tables by date, with the columns that are read back.
+DATED = {
+    PINGS: with_event_date(DRIVER_PING),
+    UPDATES: with_event_date(DELIVERY_UPDATE),
+    TRAFFIC: with_event_date(TRAFFIC_UPDATE),
+    ALERTS: ALERT_RECORD,
+}
+
+
+class Housekeeping:
+    """Once per date: past dates of all tables become few files, and those nobody reads are deleted."""
+
+    def __init__(self, spark: SparkSession, tables: str):
+        self._spark, self._tables, self._done = spark, tables, None
+
+    def __call__(self, today: date | None = None) -> None:
+        today = today or datetime.now(timezone.utc).date()
+        if today == self._done:
+            return
+        for name, schema in DATED.items():
+            compact(self._spark, f"{self._tables}/{name}", schema, before=today)
+            tidy(self._spark, f"{self._tables}/{name}")
+        self._done = today
+
+
 def fleet_tables(spark: SparkSession, tables: str) -> dict[str, DataFrame]:
     """The stored tables by name, as the reports and alerts take them."""
-    schemas = {
-        PINGS: with_event_date(DRIVER_PING),
-        UPDATES: with_event_date(DELIVERY_UPDATE),
-        TRAFFIC: with_event_date(TRAFFIC_UPDATE),
-        ALERTS: ALERT_RECORD,
-    }
-    found = {name: stored_table(spark, f"{tables}/{name}", schema) for name, schema in schemas.items()}
+    found = {name: stored_table(spark, f"{tables}/{name}", schema) for name, schema in DATED.items()}
     return {**found, COUNTS: current_rows(spark, f"{tables}/{COUNTS}", STATUS_COUNT)}
 
 
@@ -142,12 +169,15 @@ def main(arguments: list[str] | None = None) -> None:
         default=REFUSE,
         help="rows that streams with other checkpoint folders have left in the tables; counts are never kept",
     )
+    parser.add_argument("--state-store", choices=sorted(STATE_STORES), default="heap", help="where the counts keep their state")
+    parser.add_argument("--compact", action="store_true", help="once a day, rewrite the files of past dates as few")
     chosen = parser.parse_args(arguments)
     if chosen.tables and chosen.min_delay is None:
         parser.error("--tables needs --min-delay")
 
     spark = with_settings(SparkSession.builder.appName("haulmark")).getOrCreate()
     spark.conf.set("spark.sql.shuffle.partitions", chosen.state_partitions)
+    use_state_store(spark, chosen.state_store)
     checkpoints = chosen.checkpoints or f"{shared_root(spark)}/haulmark"
     topics = {
         name: message_stream(
@@ -165,7 +195,14 @@ def main(arguments: list[str] | None = None) -> None:
     try:
         streams = fleet_streams(topics, chosen.tables, checkpoints, chosen.min_delay, others=chosen.others, **once)
         queries = runner.start_all(streams)
-        runner.wait_for_all(queries, report=lambda: write_lag(log, f"{chosen.tables}/{LAG}"), report_every=LAG_SECONDS)
+        house = Housekeeping(spark, chosen.tables) if chosen.compact else None
+
+        def report() -> None:
+            write_lag(log, f"{chosen.tables}/{LAG}")
+            if house:
+                house()
+
+        runner.wait_for_all(queries, report=report, report_every=LAG_SECONDS)
         log.flush(queries)
     finally:
         spark.streams.removeListener(log)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 from operator import and_, or_
 
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from haulmark.functions.moments import EVENT_DATE
 from haulmark.streaming import stored
+from haulmark.streaming.ledger import Ledger
 
 #: Types whose minimum fits a hash aggregate.
 _FIXED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
@@ -78,14 +80,42 @@ def insert_if_absent(
     """Append the absent rows to the table at ``path``, made where there is none.
 
     Rows with an ``event_date`` go below their date folder, beside those that streams write,
-    and are read with ``stored_table``. A plain parquet table stays one. There are no
-    transactions: this is safe for one writer at a time.
+    and are read with ``stored_table``. Several inserts may run at once: rows are written first
+    and count once the table's ledger names their writer. Who finds that another insert was faster
+    looks at what that one added only, drops the keys it holds, and tries again. Streams
+    append without a look at keys. A plain parquet table stays one, for one writer at a time.
     """
     spark = incoming.sparkSession
-    existing = stored.stored_table(spark, path, incoming.schema)
-    rows = absent_rows(incoming, existing, key, first_by)
-    if stored.is_plain(spark, path):
-        rows.write.mode("append").parquet(path)
-        return
+    incoming = incoming.persist()
+    try:
+        if stored.is_plain(spark, path):
+            rows = absent_rows(incoming, stored.stored_table(spark, path, incoming.schema), key, first_by)
+            rows.write.mode("append").parquet(path)
+        else:
+            _insert(incoming, path, list(key), first_by)
+    finally:
+        incoming.unpersist()
+
+
+def _insert(incoming: DataFrame, path: str, key: list[str], first_by: Sequence[str]) -> None:
+    spark, schema = incoming.sparkSession, incoming.schema
     by = (EVENT_DATE,) if EVENT_DATE in incoming.columns else ()
-    stored.write_batch(rows, path, f"insert-{uuid.uuid4().hex}", 0, by, new=True)
+    log = Ledger(spark, path)
+    state = log.opened(stored.committed_inserts(spark, path))
+    own: str | None = None
+    held = stored.stored_table(spark, path, schema)
+    while True:
+        writer = f"{stored.INSERT}{uuid.uuid4().hex}"
+        rows = incoming if own is None else stored.written_by(spark, path, [own], schema)
+        stored.write_batch(absent_rows(rows, held, key, first_by), path, writer, 0, by)
+        if own is not None:
+            stored.forget(spark, path, own)
+        own = writer
+        if not stored.leaves(spark, path, own):
+            return  # no row is absent
+        if log.commit(replace(state, number=state.number + 1, inserts=[*state.inserts, own])):
+            return
+        newest = log.newest()
+        added = log.inserted_since(state, newest)
+        state = newest
+        held = stored.stored_table(spark, path, schema) if added is None else stored.written_by(spark, path, added, schema)

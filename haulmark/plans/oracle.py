@@ -15,13 +15,15 @@ PINGS = """pings AS (
               WHEN 'signup' THEN 'pickup' WHEN 'purchase' THEN 'dropoff' END AS status
   FROM events)"""
 
-UPDATES = """updates AS (
+STATUS = """CASE event_type WHEN 'purchase' THEN 'delivered' WHEN 'click' THEN 'in_transit'
+              WHEN 'signup' THEN 'picked_up' WHEN 'view' THEN 'assigned'
+              WHEN 'error' THEN 'cancelled' END AS status"""
+
+UPDATES = f"""updates AS (
   SELECT printf('ORD_%06d', event_id) AS order_id,
          printf('DRV_%04d', user_id) AS driver_id,
          printf('CUST_%06d', user_id) AS customer_id,
-         CASE event_type WHEN 'purchase' THEN 'delivered' WHEN 'click' THEN 'in_transit'
-              WHEN 'signup' THEN 'picked_up' WHEN 'view' THEN 'assigned'
-              WHEN 'error' THEN 'cancelled' END AS status,
+         {STATUS},
          ts AS "timestamp",
          40.7128::DOUBLE + (value / 1000.0::DOUBLE - 0.5::DOUBLE) * 0.1::DOUBLE AS lat,
          -74.0060::DOUBLE + (value / 1000.0::DOUBLE - 0.5::DOUBLE) * 0.1::DOUBLE AS lng,
@@ -94,6 +96,24 @@ FROM updates""",
 SELECT *, CAST("timestamp" AS DATE) AS event_date FROM pings""",
     "kpi_status_per_minute": f"WITH {UPDATES} {PER_MINUTE}",
     "kpi_stream_update": f"WITH {UPDATES} {PER_MINUTE}",
+    "kpi_late_rows": f"""WITH bounds AS (SELECT min(ts) AS least, epoch(max(ts)) - epoch(min(ts)) + 1 AS span FROM events),
+given AS (
+    SELECT {STATUS},
+           CASE WHEN event_id % 97 <> 5 THEN ts END AS t,
+           least(floor((epoch(ts) - epoch(least)) * 8 / span) + CASE WHEN event_id % 10 = 3 THEN 2 ELSE 0 END, 7) AS batch
+    FROM events, bounds
+), newest AS (
+    SELECT batch, max(max(t)) OVER (ORDER BY batch) AS t FROM given GROUP BY batch
+), judged AS (
+    SELECT status, given.t, date_trunc('minute', given.t) AS minute,
+           given.t IS NOT NULL AND newest.t IS NOT NULL
+           AND date_trunc('minute', given.t) + INTERVAL '1 minute' <= date_trunc('millisecond', newest.t) - INTERVAL '2 minutes' AS late
+    FROM given LEFT JOIN newest ON newest.batch = given.batch - 2
+)
+SELECT status, count(*) AS events, count(*) FILTER (WHERE t IS NULL) AS without_time,
+       count(*) FILTER (WHERE t IS NOT NULL AND NOT late) AS counted,
+       count(DISTINCT minute) FILTER (WHERE NOT late) AS minutes, count(*) FILTER (WHERE late) AS too_late
+FROM judged GROUP BY status""",
     "kpi_stream_closed": f"""WITH {UPDATES}, counts AS ({PER_MINUTE})
 SELECT * FROM counts
 WHERE window_end <= date_trunc('millisecond', {AS_OF}) - INTERVAL '2 minutes'""",
@@ -106,6 +126,10 @@ UNION ALL SELECT 'status_counts', count(*) FROM counts""",
 SELECT 'counts' AS query_name, count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows_dropped FROM events
 UNION ALL SELECT 'slices', count(*), CAST(0 AS BIGINT) FROM events""",
     "insert_into_stored_updates": f"""WITH {UPDATES}
+SELECT order_id, status, "timestamp", delay_minutes, CAST("timestamp" AS DATE) AS event_date FROM updates""",
+    "insert_by_two_clients": f"""WITH {UPDATES}
+SELECT order_id, status, "timestamp", delay_minutes, CAST("timestamp" AS DATE) AS event_date FROM updates""",
+    "compacted_updates": f"""WITH {UPDATES}
 SELECT order_id, status, "timestamp", delay_minutes, CAST("timestamp" AS DATE) AS event_date FROM updates""",
     "alerts_of_stored_records": f"""WITH {ALERTS}
 SELECT * FROM alerts WHERE "timestamp" > {AS_OF} - INTERVAL '7 days'""",
@@ -162,7 +186,16 @@ QUALIFY l_orderkey IS NULL
      OR row_number() OVER (
        PARTITION BY l_orderkey
        ORDER BY l_shipdate NULLS FIRST, l_linenumber NULLS FIRST, l_suppkey NULLS FIRST) = 1""",
-    "partition_lag": f"""
+
+    "insert_by_key_table": """
+SELECT l_orderkey AS order_key, l_shipdate AS shipped, l_linenumber AS line, l_suppkey AS supplier
+FROM lineitem
+WHERE l_orderkey IS NULL
+   OR l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey IS NOT NULL)
+QUALIFY l_orderkey IS NULL
+     OR row_number() OVER (
+       PARTITION BY l_orderkey
+       ORDER BY l_shipdate NULLS FIRST, l_linenumber NULLS FIRST, l_suppkey NULLS FIRST) = 1""",    "partition_lag": f"""
 WITH sent AS (
   SELECT CASE event_type WHEN 'view' THEN 'driver_locations' WHEN 'error' THEN 'traffic_conditions'
               ELSE 'delivery_status' END AS topic,

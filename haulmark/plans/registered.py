@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +31,11 @@ from haulmark.operators import catalog, ingest, inserts, kpis, lag, reports
 from haulmark.plans import stand_ins as si
 from haulmark.schemas import DELIVERY_UPDATE, DRIVER_PING, with_event_date
 from haulmark.settings import fresh_folder
+from haulmark.sources import keys
 from haulmark.sources.messages import replay
 from haulmark.sources.tables import register
 from haulmark.streaming import progress, runner, sinks
+from haulmark.streaming.compaction import compact, tidy
 from haulmark.streaming.stored import current_rows, stored_table
 
 MIN_DELAY = 120
@@ -161,6 +164,45 @@ def _event_batches(spark: SparkSession, sf_dir: str, path: str, batches: int) ->
     return replay(spark, f"{path}-in-order/*", events.schema, files_per_trigger=1)
 
 
+def out_of_order(events: DataFrame, batches: int) -> DataFrame:
+    """Events dealt to ``batch`` 0 to ``batches - 1`` by their time, every tenth two batches
+    later, and some without a time. Any batch engine can tell which of them come too late."""
+    moment = F.unix_micros(F.col("ts").cast("timestamp"))
+    bounds = events.agg(F.min(moment).alias("least"), F.max(moment).alias("most")).first()
+    least, most = (bounds[c] / 1_000_000 for c in ("least", "most"))
+    stretch = F.floor((moment / 1_000_000 - F.lit(least)) * batches / F.lit(most - least + 1))
+    late = F.when(F.col("event_id") % 10 == 3, 2).otherwise(0)
+    timeless = F.col("event_id") % 97 == 5
+    return events.withColumn("batch", F.least(stretch + late, F.lit(batches - 1)).cast("int")).withColumn(
+        "ts", F.when(~timeless, F.col("ts"))
+    )
+
+
+@query
+def kpi_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per status: events, those without a time, those that came too late, and the rest, by minute.
+
+    A stream of eight batches counts them; what it drops is what is missing from its counts."""
+    root = fresh_folder(spark, "kpi_late_rows")
+    events = out_of_order(si.events(spark, sf_dir), 8)
+    for batch in range(8):
+        part = events.where(F.col("batch") == batch).drop("batch")
+        part.coalesce(1).write.parquet(f"{root}/in/part={batch}")
+    stream = replay(spark, f"{root}/in/*", events.drop("batch").schema, files_per_trigger=1)
+    counts = kpis.status_counts(si.updates(si.with_stream_time(stream)))
+    runner.wait_for_all([sinks.fold_counts(counts, f"{root}/counts", "status_counts", f"{root}/state", every=None)])
+    counted = current_rows(spark, f"{root}/counts", counts.schema).groupBy("status")
+    counted = counted.agg(
+        F.sum("delivery_count").alias("counted"),
+        F.count("kpi_calculated_at").alias("minutes"),
+    )
+    given = si.updates(events).groupBy("status").agg(
+        F.count(F.lit(1)).alias("events"), F.count(F.when(F.col("timestamp").isNull(), 1)).alias("without_time")
+    )
+    late = (F.col("events") - F.col("without_time") - F.col("counted")).alias("too_late")
+    return given.join(counted, "status").select("status", "events", "without_time", "counted", "minutes", late)
+
+
 @query
 def kpi_stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = kpis.status_counts(_stream_updates(spark, sf_dir))
@@ -384,6 +426,23 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inserts.absent_rows(incoming, held, ["order_key"], ["shipped"])
 
 
+@query
+def insert_by_key_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a bucketed table of the held keys, which is not shuffled."""
+    incoming = si.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_key"),
+        F.col("l_shipdate").alias("shipped"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_suppkey").alias("supplier"),
+    )
+    held = si.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    held = held.select(F.col("o_orderkey").alias("order_key"))
+    path = fresh_folder(spark, "insert_by_key_table")
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys.add_keys(held, path, ["order_key"], buckets)
+    return inserts.absent_rows(incoming, keys.key_table(spark, path, held.schema, buckets), ["order_key"], ["shipped"])
+
+
 @query
 def insert_into_stored_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases stored by a stream, then all updates inserted by order, twice."""
@@ -398,6 +457,36 @@ def insert_into_stored_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return si.plain_times(held.select("order_id", "status", "timestamp", "delay_minutes", "event_date"))
 
 
+@query
+def insert_by_two_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two clients insert the same keys at once, into a table that holds some of them."""
+    new = ingest.dated(_updates(spark, sf_dir).select("order_id", "status", "timestamp", "delay_minutes"))
+    path = f"{fresh_folder(spark, 'insert_by_two_clients')}/table"
+    inserts.insert_if_absent(new.where("status = 'delivered'"), path, ["order_id"], ["timestamp"])
+    with ThreadPoolExecutor(2) as clients:
+        for done in [clients.submit(inserts.insert_if_absent, new, path, ["order_id"], ["timestamp"]) for _ in range(2)]:
+            done.result()
+    return si.plain_times(stored_table(spark, path, new.schema))
+
+
+@query
+def compacted_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates that a stream has stored in ten batches, with an insert of those there already;
+    read after two compactions and the deletion of what they replaced."""
+    root = fresh_folder(spark, "compacted_updates")
+    stream = _event_batches(spark, sf_dir, f"{root}/events", 10)
+    rows = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(si.updates(stream)))))
+    runner.wait_for_all([sinks.append_to_table(rows, f"{root}/table", "updates", f"{root}/state", every=None)])
+    more = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(_updates(spark, sf_dir)))))
+    inserts.insert_if_absent(more, f"{root}/table", ["order_id"], ["timestamp"])
+    schema = with_event_date(DELIVERY_UPDATE)
+    for _ in range(2):
+        compact(spark, f"{root}/table", schema, least=1)
+        tidy(spark, f"{root}/table", timedelta(0))
+    held = stored_table(spark, f"{root}/table", schema)
+    return si.plain_times(held.select("order_id", "status", "timestamp", "delay_minutes", "event_date"))
+
+
 @query
 def alerts_of_stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of the last week in a table that a stream has stored by date."""

@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 
 #: What a session for these streams and reports should be started with. Broadcast
 #: joins stay behind Spark's own size estimate (autoBroadcastJoinThreshold). The
-#: state of the counts is a few rows per open minute, so the default store will do.
+#: state of the counts is a few rows per open minute, so the default store will do;
+#: see ``use_state_store`` for more.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,6 +24,23 @@ def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+#: Where counting streams keep their state: on the heap of the executors, or in RocksDB on
+#: their disks, whose changes go to the checkpoint folder batch by batch.
+STATE_STORES = {
+    "heap": {"providerClass": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"},
+    "rocksdb": {
+        "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "rocksdb.changelogCheckpointing.enabled": "true",
+    },
+}
+
+
+def use_state_store(spark: SparkSession, store: str) -> None:
+    """The store of streams that start from now on; a checkpoint folder stays with that of its first start."""
+    for key, value in STATE_STORES[store].items():
+        spark.conf.set(f"spark.sql.streaming.stateStore.{key}", value)
+
+
 _named: list[str] = []
 
 

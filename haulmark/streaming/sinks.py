@@ -3,7 +3,7 @@ restart under the same name goes on where it stopped."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -37,9 +37,9 @@ def writer(
     return out.trigger(availableNow=True) if every is None else out.trigger(processingTime=every)
 
 
-def append_to_table(
+def append_to_tables(
     stream: DataFrame,
-    path: str,
+    targets: Mapping[str, Callable[[DataFrame], DataFrame]],
     name: str,
     checkpoints: str,
     *,
@@ -47,21 +47,48 @@ def append_to_table(
     by: Sequence[str] = ("event_date",),
     others: str = stored.REFUSE,
 ) -> StreamingQuery:
-    """Each row once, in parquet files below date folders; read it with ``stored_table``.
-
-    No shuffle: a micro-batch of fresh events touches few dates. If the table holds rows of a
-    stream with another checkpoint folder the query fails, unless ``others`` says to keep
-    them beside its own or to replace them.
+    """One stream into several tables, each with rows of its own made of the same batch.
+
+    ``targets`` maps the path of a table to what makes its rows. The source is read, and its
+    messages are parsed, once per batch. A batch that runs again overwrites its own
+    folders in every table, so each holds each row once. Rows of a batch are brought together
+    by date. Read the tables with ``stored_table``. If a table holds rows of a stream with another
+    checkpoint folder the query fails, unless ``others`` says to keep them beside its own or
+    to replace them.
     """
+    claimed: set[str] = set()
 
     def write(rows: DataFrame, batch: int) -> None:
-        writer_id = stored.query_id(rows.sparkSession)
-        stored.claim(rows.sparkSession, path, writer_id, others)
-        stored.write_batch(rows, path, writer_id, batch, by)
+        spark = rows.sparkSession
+        writer_id = stored.query_id(spark)
+        rows = rows.persist() if len(targets) > 1 else rows
+        try:
+            for path, shaped in targets.items():
+                if path not in claimed:
+                    stored.claim(spark, path, writer_id, others)
+                    claimed.add(path)
+                stored.write_batch(shaped(rows), path, writer_id, batch, by)
+        finally:
+            if len(targets) > 1:
+                rows.unpersist()
 
     return writer(stream, name, checkpoints, every=every).foreachBatch(write).start()
 
 
+def append_to_table(
+    stream: DataFrame,
+    path: str,
+    name: str,
+    checkpoints: str,
+    *,
+    every: str | None = INGEST_EVERY,
+    by: Sequence[str] = ("event_date",),
+    others: str = stored.REFUSE,
+) -> StreamingQuery:
+    """Each row once, in parquet files below date folders: ``append_to_tables`` for one table."""
+    return append_to_tables(stream, {path: lambda rows: rows}, name, checkpoints, every=every, by=by, others=others)
+
+
 def show_on_console(
     stream: DataFrame,
     name: str,
@@ -92,9 +119,14 @@ def fold_counts(
     if others == stored.KEEP:
         raise ValueError("counts of two streams cannot stand side by side")
 
+    claimed = False
+
     def write(changes: DataFrame, batch: int) -> None:
+        nonlocal claimed
         writer_id = stored.query_id(changes.sparkSession)
-        stored.claim(changes.sparkSession, path, writer_id, others)
+        if not claimed:
+            stored.claim(changes.sparkSession, path, writer_id, others)
+            claimed = True
         stored.fold_changes(changes, path, writer_id, batch, COUNT_KEY, "window_start", "window_end", LATE_BY)
 
     return writer(stream, name, checkpoints, mode="update", every=every).foreachBatch(write).start()

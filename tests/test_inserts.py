@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from haulmark.operators.inserts import absent_rows, insert_if_absent
+from haulmark.sources.keys import add_keys, key_table
 from haulmark.streaming.stored import stored_table
 
 SCHEMA = "k string, part int, n int, text string"
@@ -93,3 +94,33 @@ def test_inserts_into_an_absent_and_a_dated_table_are_visible(spark, tmp_path):
         insert_if_absent(rows, path, ["k"], ["n"])
     assert sorted(r.k for r in stored_table(spark, path, rows.schema).collect()) == ["a", "b"]
     assert (tmp_path / "dated" / "event_date=2024-01-02").is_dir()
+
+
+def test_a_key_table_is_not_shuffled(spark, tmp_path):
+    """Beyond the broadcast bound, only incoming rows are dealt anew; keys added later count."""
+    path = str(tmp_path / "keys")
+    add_keys(spark.range(0, 5000).select(F.col("id").alias("k")), path, ["k"], 8)
+    add_keys(spark.createDataFrame([(5000,), (None,), (3,)], "k long"), path, ["k"], 8)
+    incoming = spark.range(4000, 7000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = absent_rows(incoming, key_table(spark, path, incoming.select("k").schema, 8), ["k"], ["n"])
+        assert sorted(r.k for r in got.collect()) == list(range(5001, 7000))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        stored = [line for line in plan.split("== Initial Plan ==")[0].splitlines() if "keys" in line and "Scan" in line]
+        assert stored and all("Bucketed: true" in line for line in stored)
+        # Between a scan of the keys and the join above it there is no exchange.
+        lines = plan.split("== Initial Plan ==")[0].splitlines()
+        for at in (n for n, line in enumerate(lines) if "Scan" in line and "keys" in line):
+            above = []
+            depth = lines[at].index("Scan")
+            for line in reversed(lines[:at]):
+                start = len(line) - len(line.lstrip(" :+-*|"))
+                if start < depth:
+                    depth = start
+                    above.append(line)
+                    if "Join" in line:
+                        break
+            assert not any("Exchange" in line for line in above), above
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
