@@ -15,7 +15,7 @@ one list meet without being paired off is told in ``stars``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from haulmark.llm.jaccard import shingle_sets
 from haulmark.llm.scratch import Scratch
-from haulmark.llm.stars import Similarity, fingerprint, link_lists
+from haulmark.llm.stars import Similarity, distinct_lists, fingerprint, link_lists
 from haulmark.llm.words import mix, slices
 
 SHINGLE, PERCENT = 4, 80
@@ -59,11 +59,12 @@ def sketch(one: np.ndarray, retained: int = RETAINED) -> np.ndarray:
     return out
 
 
-def may_be_similar(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+def may_be_similar(x: Sequence[bytes], y: Sequence[bytes], n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Row by row, whether the sketch of the union lets two sets be similar.
 
     A union of no more values than a sketch holds is known whole, and its similarity exactly.
     """
+    x, y = (np.frombuffer(b"".join(z), np.uint64).reshape(len(z), -1) for z in (x, y))
     retained = x.shape[1]
     least = least_common(percent, retained)
     out = np.zeros(len(x), bool)
@@ -125,8 +126,8 @@ def _shared(sketches: DataFrame) -> DataFrame:
     return values.join(held, "value")
 
 
-def _lists(shared: DataFrame, percent: int) -> DataFrame:
-    """``name, node, n``: the inverted lists by which sketches with enough in common meet."""
+def _lists(shared: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """``name, node, n, weight``: the inverted lists by which sketches with enough in common meet."""
     # Values of one sketch alone are its rarest, and no list.
     own = Window.partitionBy("node")
     shared = shared.withColumn("shared", F.count("*").over(own))
@@ -136,7 +137,9 @@ def _lists(shared: DataFrame, percent: int) -> DataFrame:
     spare = RETAINED * (100 - percent) // percent
     whole = F.least(F.ceil(F.col("n") * percent / 100), F.lit(RETAINED - spare)).cast("int")
     least = F.when(F.col("n") <= RETAINED, F.greatest(whole, F.lit(1))).otherwise(F.lit(least_common(percent)))
-    return shared.where(F.col("place") <= F.col("shared") - least + 1).select(F.col("value").alias("name"), "node", "n")
+    lists = shared.where(F.col("place") <= F.col("shared") - least + 1).select(F.col("value").alias("name"), "node", "n")
+    lists = scratch.store(lists, "values")
+    return lists.join(distinct_lists(lists), "name").select("name", "node", "n", "weight")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -161,10 +164,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     sketches = distinct.select(F.col("rep").alias("node"), "n", "sketch")
     narrow = scratch.store(sketched.select("id", "n", "p0", "p1"), "rows")
     scratch.drop(sketched)
-    like = Similarity(partial(shingle_sets, size=size), percent, partial(may_be_similar, percent=percent), np.uint64)
+    like = Similarity(partial(shingle_sets, size=size), percent, partial(may_be_similar, percent=percent))
     texts = rows.where("id IS NOT NULL")
     shared = scratch.store(_shared(sketches), "shared")
-    classes = link_lists(_lists(shared, percent), sketches, distinct, texts, like, scratch)
+    classes = link_lists(_lists(shared, percent, scratch), sketches, distinct, texts, like, scratch)
     scratch.drop(shared)
     classed = distinct.join(classes, distinct["rep"] == classes["node"], "left")
     classed = classed.select("n", "p0", "p1", F.coalesce("component", "rep").alias("component_id"))

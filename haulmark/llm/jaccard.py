@@ -3,8 +3,8 @@
 A document's set is its distinct word shingles. Shingles are ordered with those that many
 documents hold last; two sets of a given similarity then share one of their first ones,
 their prefixes. Documents with the same prefix and size form one group, and only groups meet,
-in the lists of the shingles of their prefixes. Lists of one group are dropped, the groups
-of the others expand to their distinct sets. Pairs are filtered by size, by the components they
+in the lists of the shingles of their prefixes. Lists of one group are dropped, those of the
+same groups count once, and the groups of the others expand to their distinct sets. Pairs are filtered by size, by the components they
 are in already and by their outlines, and verified by whole texts; how the sets of one list
 meet without being paired off is told in ``stars``. The connected components of the verified
 links are the classes.
@@ -14,7 +14,7 @@ The order of the shingles changes the cost, not the result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmark.llm.scratch import Scratch, most_frequent
-from haulmark.llm.stars import Similarity, fingerprint, link_lists
+from haulmark.llm.stars import Similarity, distinct_lists, fingerprint, link_lists
 from haulmark.llm.words import LOWER, Words, mix, sequence_names, slices
 
 SHINGLE = 5
@@ -32,8 +32,9 @@ PERCENT = 75
 HELD = 4_000_000
 #: Shingles known as frequent; 8 bytes each in every task.
 FREQUENT = 1 << 19
-#: Bins of a set's outline: how many of its shingles fall into each, up to 255.
-BINS = 256
+#: Least bins of a set's outline: how many of its shingles fall into each, up to 255. A larger set
+#: has more, at most ``PER_BIN`` shingles for each, as unlike sets' full bins would look alike.
+BINS, PER_BIN = 256, 4
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -57,13 +58,24 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
 
 def outline(one: np.ndarray) -> bytes | None:
     """Counts of a set's shingles by bin; None where a bin is too full for its byte."""
-    counts = np.bincount((one & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
+    bins = max(BINS, 1 << (-(-len(one) // PER_BIN) - 1).bit_length())
+    counts = np.bincount((one & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
     return None if counts.max() > 255 else counts.astype(np.uint8).tobytes()
 
 
-def may_be_similar(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+def may_be_similar(x: Sequence[bytes], y: Sequence[bytes], n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Row by row, whether two outlines let sets be similar: these have no more in common than the smaller count of each bin."""
-    most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    most = np.zeros(len(x), np.int64)
+    widths = np.array([(len(a), len(b)) for a, b in zip(x, y)]).reshape(-1, 2)
+    for pair in np.unique(widths, axis=0).tolist():
+        rows = np.flatnonzero((widths == pair).all(axis=1))
+        least = min(pair)
+        step = max(1, (1 << 22) // max(pair))
+        for a in range(0, len(rows), step):
+            part = rows[a : a + step]
+            # The bins of a narrower outline are sums of those of a wider one.
+            u, v = (np.frombuffer(b"".join([z[k] for k in part]), np.uint8).reshape(len(part), -1, least).sum(axis=1, dtype=np.int32) for z in (x, y))
+            most[part] = np.minimum(u, v).sum(axis=1)
     return 100 * most >= percent * (n + m - most)
 
 
@@ -151,25 +163,25 @@ def _sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int, p
 
 
 def _met(sets: DataFrame) -> DataFrame:
-    """``name, id``: shingles that may be in several prefixes, with a row of each group."""
+    """``name, node``: shingles that may be in several prefixes, with the id of a row of each group."""
     # Most shingles are no one else's. To find the others, names travel with the id of a row of
     # the group, which costs the shuffle little; groups are looked up for what is left. A name that
     # may be in very many prefixes is known as frequent, and need not be counted.
     rare = sets.where("id IS NOT NULL").select(F.explode("rare").alias("name"), "id")
     rare = rare.withColumn("rows", F.count("*").over(Window.partitionBy("name"))).where("rows > 1").select("name", "id")
     often = sets.where("id IS NOT NULL").select(F.explode("often").alias("name"), "id")
-    return rare.unionAll(often)
+    return rare.unionAll(often).withColumnRenamed("id", "node")
 
 
-def _lists(met: DataFrame, sets: DataFrame, distinct: DataFrame) -> DataFrame:
-    """``name, node, n``: the sets whose groups have a shingle in their prefixes."""
-    groups = met.join(sets.where("n > 0").select("id", "bunch"), "id").select("name", "bunch").distinct()
-    several = groups.groupBy("name").agg(F.count("*").alias("groups")).where("groups > 1")
-    groups = groups.join(several.select("name"), "name")
+def _lists(met: DataFrame, sets: DataFrame, distinct: DataFrame, scratch: Scratch) -> DataFrame:
+    """``name, node, n, weight``: the sets whose groups have a shingle in their prefixes."""
+    first = scratch.store(distinct_lists(met), "first")
+    of = sets.where("n > 0").select(F.col("id").alias("node"), "bunch")
+    groups = met.join(first, "name").join(of, "node").groupBy("name", "bunch").agg(F.max("weight").alias("weight"))
     # The sets of one group are a list of their own.
     alone = distinct.groupBy("bunch").agg(F.count("*").alias("sets")).where("sets > 1")
-    groups = groups.unionAll(alone.select(F.col("bunch").alias("name"), "bunch"))
-    return groups.join(distinct, "bunch").select("name", F.col("rep").alias("node"), "n")
+    groups = groups.unionAll(alone.select(F.col("bunch").alias("name"), "bunch", F.lit(1).cast("long")))
+    return groups.join(distinct, "bunch").select("name", F.col("rep").alias("node"), "n", "weight")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -188,11 +200,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     distinct = sets.where("n > 0").groupBy("bunch", "n", "p0", "p1").agg(F.min("id").alias("rep"), F.max("bins").alias("sketch"))
     distinct = scratch.store(distinct.where("rep IS NOT NULL"), "distinct")
     met = scratch.store(_met(sets), "met")
-    lists = scratch.store(_lists(met, sets, distinct), "lists")
+    lists = scratch.store(_lists(met, sets, distinct, scratch), "lists")
     whole = scratch.store(sets.select("id", "n", "p0", "p1"), "rows")
     # Prefixes have done their work.
     scratch.drop(sets, met)
-    like = Similarity(partial(shingle_sets, size=size), percent, partial(may_be_similar, percent=percent), np.uint8)
+    like = Similarity(partial(shingle_sets, size=size), percent, partial(may_be_similar, percent=percent))
     sketches = distinct.select(F.col("rep").alias("node"), "n", "sketch")
     classes = link_lists(lists, sketches, distinct, rows.where("id IS NOT NULL"), like, scratch)
     classed = distinct.join(classes, distinct["rep"] == classes["node"], "left")

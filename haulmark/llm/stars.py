@@ -15,7 +15,7 @@ So nothing similar in a list stays unlinked, however long the list: the rounds c
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +38,7 @@ BLOCK_SKETCHES = 512
 PAIRED = 32
 
 #: Whether the sets of sketches ``x[i]``, ``y[i]``, of sizes ``n[i]``, ``m[i]``, may be similar.
-Possible = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+Possible = Callable[[Sequence[bytes], Sequence[bytes], np.ndarray, np.ndarray], np.ndarray]
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,6 @@ class Similarity:
     sets: Callable[[pa.Array], list[np.ndarray]]
     percent: int
     possible: Possible
-    sketch_type: type[np.generic]
 
 
 def fingerprint(one: np.ndarray) -> tuple[int, int]:
@@ -97,21 +96,16 @@ def linking_pairs(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
     return out
 
 
-def _matrix(column: pa.Array, kind: type[np.generic]) -> np.ndarray:
-    """Sketches of one width as rows."""
-    data = b"".join(column.to_pylist())
-    return np.frombuffer(data, kind).reshape(len(column), -1)
+def distinct_lists(lists: DataFrame) -> DataFrame:
+    """One of all lists that hold the same sets, ``name, node``, and how many they are, ``weight``.
 
-
-def _unlike(lists: DataFrame) -> DataFrame:
-    """One of all lists that hold the same sets, ``name, node, n`` and how many they are, ``weight``.
-
-    A passage that documents share gives a list per shingle. Lists are known by two sums of hashes.
+    A passage that documents share gives a list per shingle. Lists are known by three sums of
+    hashes. ``lists`` is a stored table of ``name, node``; lists of one set are left out.
     """
-    sums = [F.sum(F.xxhash64("node", F.lit(k)).bitwiseAND(F.lit((1 << 44) - 1))).alias(f"s{k}") for k in range(3)]
+    sums = [F.sum(F.xxhash64("node", F.lit(k)).bitwiseAND(F.lit((1 << 40) - 1))).alias(f"s{k}") for k in range(3)]
     known = lists.groupBy("name").agg(F.count("*").alias("sets"), *sums).where("sets > 1")
     first = known.groupBy("sets", "s0", "s1", "s2").agg(F.min("name").alias("name"), F.count("*").alias("weight"))
-    return lists.join(first.select("name", "weight"), "name").select("name", "node", "n", "weight")
+    return first.select("name", "weight")
 
 
 def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -151,7 +145,7 @@ def _passing(pairs: DataFrame, sketches: DataFrame, like: Similarity) -> DataFra
                 at = np.flatnonzero(~keep)
                 some = part.take(pa.array(at))
                 if len(at):
-                    x, y = (_matrix(some.column(c), like.sketch_type) for c in ("sx", "sy"))
+                    x, y = (some.column(c).to_pylist() for c in ("sx", "sy"))
                     keep[at] = like.possible(x, y, some.column("nx").to_numpy(), some.column("ny").to_numpy())
                 yield part.filter(pa.array(keep)).select(["hub", "node"])
 
@@ -201,19 +195,15 @@ def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity) -> Data
         def pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(parts).combine_chunks()
             node, n, label = (table.column(c).to_numpy() for c in ("node", "n", "label"))
-            known = np.asarray(table.column("sketch").combine_chunks().is_valid())
-            shown = np.flatnonzero(known)
-            if len(shown):
-                drawn = _matrix(table.column("sketch").combine_chunks().take(pa.array(shown)), like.sketch_type)
-                sketch = np.zeros((len(node), drawn.shape[1]), drawn.dtype)
-                sketch[shown] = drawn
+            sketch = np.array(table.column("sketch").to_pylist(), dtype=object)
+            known = np.array([x is not None for x in sketch])
             for i in range(len(node) - 1):
                 js = np.arange(i + 1, len(node))
                 js = js[(label[js] != label[i]) & (100 * np.minimum(n[js], n[i]) >= like.percent * np.maximum(n[js], n[i]))]
                 if known[i] and len(js):
                     test = known[js]
                     at = js[test]
-                    test[test] = ~like.possible(np.broadcast_to(sketch[i], (len(at), sketch.shape[1])), sketch[at], np.full(len(at), n[i]), n[at])
+                    test[test] = ~like.possible([sketch[i]] * len(at), sketch[at].tolist(), np.full(len(at), n[i]), n[at])
                     js = js[~test]
                 if len(js):
                     low, high = np.minimum(node[i], node[js]), np.maximum(node[i], node[js])
@@ -236,10 +226,11 @@ def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity) -> Data
     return rows.mapInArrow(run, "hub long, node long").where("hub <> node").distinct()
 
 
-def _compared(stars: DataFrame, distinct: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
+def _compared(stars: DataFrame, distinct: DataFrame, texts: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
     """``u, v``: links among the sets of each star, its hub's ones above all, by their whole texts.
 
-    A star of many sets is cut into blocks, and its hub goes to each.
+    A star of many sets is cut into blocks, and its hub goes to each. Few texts are in a star: they are
+    found by a broadcast where the stored table of places is small, else by a shuffle of the texts.
     """
     known = distinct.select(F.col("rep").alias("node"), "n", "p0", "p1")
     members = stars.join(known, "node")
@@ -247,7 +238,7 @@ def _compared(stars: DataFrame, distinct: DataFrame, texts: DataFrame, like: Sim
     members = members.join(cells, "hub").select("hub", F.pmod(F.xxhash64("node"), "cells").cast("int").alias("cell"), "node", "p0", "p1")
     hubs = cells.join(known.withColumnRenamed("node", "hub"), "hub")
     hubs = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.col("hub").alias("node"), "p0", "p1")
-    places = members.unionAll(hubs)
+    places = scratch.store(members.unionAll(hubs), "places")
     rows = texts.join(places, texts["id"] == places["node"]).select("hub", "cell", "node", "p0", "p1", "text")
     rows = rows.repartition("hub", "cell").sortWithinPartitions("hub", "cell")
 
@@ -269,23 +260,20 @@ def _compared(stars: DataFrame, distinct: DataFrame, texts: DataFrame, like: Sim
                     sets.append(one)
         yield links()
 
-    return rows.mapInArrow(compare, "u long, v long").where("u <> v").distinct()
+    found = scratch.store(rows.mapInArrow(compare, "u long, v long").where("u <> v").distinct(), "links")
+    scratch.drop(places)
+    return found
 
 
 def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts: DataFrame, like: Similarity, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
     """``node, component`` of all sets that links connect; sets without a link are left out.
 
-    ``lists`` has ``name, node, n``, ``sketches`` ``node, n, sketch`` (null: always possible),
+    ``lists`` has ``name, node, n, weight`` (see ``distinct_lists``), ``sketches`` ``node, n, sketch`` (null: always possible),
     ``distinct`` ``rep, n, p0, p1`` of every set, and ``texts`` ``id, text``, where a set's text
     is that of a row whose id is its ``node`` and whose fingerprint is its own.
     """
     spark = lists.sparkSession
-    lists = scratch.store(_unlike(lists.distinct()), "lists")
-    # Most sets are in no list. The texts of the others are looked up once: by a broadcast where the
-    # stored table of their ids is small, else by one shuffle of the texts.
-    wanted = scratch.store(lists.select(F.col("node").alias("id")).distinct(), "wanted")
-    texts = scratch.store(texts.join(wanted, "id", "left_semi"), "texts")
-    scratch.drop(wanted)
+    lists = scratch.store(lists.distinct(), "lists")
     links = labels = None
     nothing = spark.createDataFrame([], "node long, component long")
     for turn in range(rounds):
@@ -296,7 +284,8 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
         stars = scratch.store(_passing(_stars(entries, like.percent, turn), sketches, like), "stars")
         if stars.isEmpty():
             break
-        found = scratch.store(_compared(stars, distinct, texts, like), "links")
+        found = _compared(stars, distinct, texts, like, scratch)
+        scratch.drop(stars)
         links = found if links is None else links.unionAll(found)
         if found.isEmpty():
             break
@@ -308,7 +297,7 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
     pairs = scratch.store(pairs.unionAll(_remaining(_blocks(sized, like.percent), sketches, like)).distinct(), "pairs")
     scratch.drop(entries)
     if not pairs.isEmpty():
-        found = scratch.store(_compared(pairs, distinct, texts, like), "links")
+        found = _compared(pairs, distinct, texts, like, scratch)
         links = found if links is None else links.unionAll(found)
-    scratch.drop(pairs, texts)
+    scratch.drop(pairs)
     return nothing if links is None else components(links, scratch)

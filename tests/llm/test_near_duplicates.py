@@ -113,11 +113,21 @@ def test_union_sketch_is_exact_for_small_sets_and_close_for_others():
         x = draw.integers(0, 2**63, size).astype(np.uint64)
         y = np.concatenate([x[:inside], draw.integers(0, 2**63, size - inside).astype(np.uint64)])
         similar = 100 * inside >= 80 * (2 * size - inside)
-        passed = bottomk.may_be_similar(bottomk.sketch(x)[None], bottomk.sketch(y)[None], np.array([size]), np.array([size]), 80)[0]
+        passed = bottomk.may_be_similar([bottomk.sketch(x).tobytes()], [bottomk.sketch(y).tobytes()], np.array([size]), np.array([size]), 80)[0]
         assert passed >= similar and (size > 64 or passed == similar)
     assert bottomk.least_common(80) == 25 and bottomk.least_common(100) == 64
 
 
+def test_outlines_are_an_upper_bound_and_tell_long_sets_apart():
+    draw = np.random.default_rng(4)
+    for size, other, inside in ((40, 40, 35), (900, 1100, 850), (9000, 9100, 8400), (9000, 9000, 300), (30_000, 23_000, 100)):
+        x = draw.integers(0, 2**63, size).astype(np.uint64)
+        y = np.concatenate([x[:inside], draw.integers(0, 2**63, other - inside).astype(np.uint64)])
+        similar = 100 * inside >= 75 * (size + other - inside)
+        passed = jaccard.may_be_similar([jaccard.outline(x)], [jaccard.outline(y)], np.array([size]), np.array([other]), 75)[0]
+        assert passed >= similar and (passed == similar or inside > size // 2)
+
+
 def test_long_lists_cost_stars_not_pairs(spark, docs):
     """In a family of near copies nearly all are linked to hubs; few pairs are left to write."""
     base = [f"b{n}" for n in range(200)]
@@ -127,9 +137,9 @@ def test_long_lists_cost_stars_not_pairs(spark, docs):
     rows = [(n, len(s), *stars.fingerprint(s), jaccard.outline(s)) for n, s in sets]
     distinct = spark.createDataFrame(rows, "rep long, n long, p0 long, p1 long, sketch binary")
     lists = spark.createDataFrame([(1, n, len(s), 1) for n, s in sets], "name long, node long, n long, weight long")
-    like = stars.Similarity(jaccard.shingle_sets, 75, partial(jaccard.may_be_similar, percent=75), np.uint8)
+    like = stars.Similarity(jaccard.shingle_sets, 75, partial(jaccard.may_be_similar, percent=75))
     entries = stars._labelled(lists, spark.createDataFrame([], "node long, component long"))
     assert stars._stars(entries, 75, 0).count() < 1500
     scratch = Scratch(spark, "test")
-    got = stars.link_lists(lists.drop("weight"), distinct.select(F.col("rep").alias("node"), "n", "sketch"), distinct, frame.withColumnRenamed("doc_id", "id"), like, scratch)
+    got = stars.link_lists(lists, distinct.select(F.col("rep").alias("node"), "n", "sketch"), distinct, frame.withColumnRenamed("doc_id", "id"), like, scratch)
     assert got.count() == 1500 and got.select("component").distinct().count() == 1
