@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from haulmark.llm.lexicon import Lexicon, build, save
 from haulmark.llm.scratch import Scratch, most_frequent
+from haulmark.llm.token_counts import GONE, count_merges
 from haulmark.llm.wordbpe import Vocabulary, parsed, pieces, read_vocabulary, words
 from haulmark.llm.words import Words, slices
 
@@ -63,25 +64,14 @@ def frequent_pieces(docs: DataFrame, vocabulary: str, limit: int, text: str = "t
 
 
 def merge(symbols: list[int], merges: dict[int, tuple[int, int]]) -> list[int]:
-    """The ids of a word: the lowest pair, leftmost first, is joined until none is left."""
-    while len(symbols) > 1:
-        best = None
-        for at in range(len(symbols) - 1):
-            found = merges.get(symbols[at] << 32 | symbols[at + 1])
-            if found and (best is None or found[0] < best[0]):
-                best = (found[0], found[1], symbols[at], symbols[at + 1])
-        if best is None:
-            break
-        out, at = [], 0
-        while at < len(symbols):
-            if at + 1 < len(symbols) and symbols[at] == best[2] and symbols[at + 1] == best[3]:
-                out.append(best[1])
-                at += 2
-            else:
-                out.append(symbols[at])
-                at += 1
-        symbols = out
-    return symbols
+    """The ids of a word: the lowest pair, leftmost first, is joined until none is left.
+
+    By heap and linked list, so that a word of a million letters takes seconds.
+    """
+    left = list(symbols)
+    if len(left) > 1:
+        count_merges(left, merges)
+    return [k for k in left if k != GONE]
 
 
 def piece_ids(piece: str, vocabulary: Vocabulary) -> list[int]:

@@ -19,10 +19,12 @@ from haulmark.llm.words import slices
 
 #: Entries a task remembers; beyond, it starts anew. Bounds memory, not results.
 REMEMBERED = 1_000_000
+#: In the place of a symbol that has been joined with the one before it.
+GONE = -1
 
 
 def count_merges(symbols: list[int], merges: dict[int, tuple[int, int]]) -> int:
-    """How many merges a word undergoes."""
+    """How many merges a word undergoes; ``symbols`` are left as they are after these."""
     n = len(symbols)
     right = list(range(1, n + 1))
     left = list(range(-1, n - 1))
@@ -40,7 +42,7 @@ def count_merges(symbols: list[int], merges: dict[int, tuple[int, int]]) -> int:
         if after >= n or symbols[at] << 32 | symbols[after] != pair:
             continue  # one of the two has been joined with another meanwhile
         done += 1
-        symbols[at], symbols[after] = merged, -1
+        symbols[at], symbols[after] = merged, GONE
         after = right[at] = right[after]
         if after < n:
             left[after] = at
