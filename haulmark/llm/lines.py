@@ -8,12 +8,18 @@ the one with the smallest id, so no content is lost altogether.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm.scratch import Scratch
 
-LEAST_SITES = 12
+#: A handful of sites that have nothing to do with each other: what stands on so many is no
+#: one's text. Fewer would take quotations between two or three sites for boilerplate.
+LEAST_SITES = 5
+#: Buckets of the lines that leave a text; each line is looked for in one of them.
+BUCKETS = 256
 #: log2 of a sketch's registers; its relative standard error is 1.04 / 2 ** (LG / 2).
 LG = 12
 BLANKS = " \t\r\x0b\x0c"
@@ -28,6 +34,12 @@ def _key(part: Column) -> Column:
     return F.struct(F.xxhash64(_line(part)).alias("a"), F.xxhash64(_line(part), F.lit(1)).alias("b"))
 
 
+def _stays(hit: Column, line: Column) -> Column:
+    """Whether no bucket of ``hit`` has the line."""
+    key = _key(line)
+    return ~F.coalesce(F.array_contains(F.try_element_at(hit, F.pmod(key["a"], F.lit(BUCKETS))), key), F.lit(False))
+
+
 def boilerplate_lines(docs: DataFrame, least_sites: int = LEAST_SITES, text: str = "text", site: str = "source", doc_id: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
     """``a, b, keep_id, exact``: hashes of the lines on at least ``least_sites`` sites.
 
@@ -63,14 +75,16 @@ def remove_boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, text: st
     parts = F.split(F.col(text), "\n")
     places = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("id"), F.explode(parts).alias("line")).select("id", _key(F.col("line")).alias("key")).select("id", "key.a", "key.b")
     hits = places.join(known.select("a", "b", "keep_id"), ["a", "b"]).where(~F.col("id").eqNullSafe(F.col("keep_id")))
-    hits = hits.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("hit"))
+    bucket = F.pmod("a", F.lit(BUCKETS)).alias("bucket")
+    hits = hits.groupBy("id", bucket).agg(F.collect_set(F.struct("a", "b")).alias("hit"))
+    hits = hits.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "hit"))).alias("hit"))
     hits = scratch.store(hits.select(F.struct("id", "hit").alias("found")), "hits")
     # All columns as one, so that none can be taken for another.
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(doc_id).alias("own"), F.col(text).alias("body"))
     # Hits grow with the texts: one plan for every size, where texts are shuffled by id once.
     joined = whole.join(hits.hint("merge"), F.col("own").eqNullSafe(F.col("found.id")), "left")
     parts = F.split("body", "\n")
-    kept = F.when(F.col("found").isNull(), parts).otherwise(F.filter(parts, lambda x: ~F.array_contains(F.col("found.hit"), _key(x))))
+    kept = F.when(F.col("found").isNull(), parts).otherwise(F.filter(parts, partial(_stays, F.col("found.hit"))))
     rest = joined.select("doc", "body", "found", parts.alias("parts"), kept.alias("kept"))
     n_lines = F.when(F.col("body").isNull(), F.lit(0)).otherwise(F.size("parts")).cast("long")
     n_kept = F.when(F.col("body").isNull(), F.lit(0)).otherwise(F.size("kept")).cast("long")
