@@ -1,11 +1,13 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Texts become sequences of benchmark terms. Half-overlapping passages of them, weighted by
-tf-idf over all passages of the corpus, span a latent space: a randomised singular value
-decomposition, whose sketch ``(A'A + w E'E) R`` sums over all passages A of the corpus and the
-benchmark items E in Spark. Passages and items are compared by cosine there; what comes close
-is verified on the words themselves: the longest common subsequence of the telling terms
-must hold most of an item, or, for a paraphrase, a good part of it and its answer.
+Texts become sequences of benchmark terms, cut into blocks; two neighbouring blocks are a
+passage. Weighted by tf-idf over all blocks of the corpus, they span a latent space: a randomised
+singular value decomposition of the blocks A and the benchmark items E. Its sketch
+``(A'A + w E'E) R``, a power iteration on the start R, sums over all blocks in Spark; singular
+vectors and values of the small factor follow on the driver. Passages and items are compared by
+cosine there; what comes close is verified on the words themselves: the longest common
+subsequence of the telling terms, and that of all words, must hold most of an item, or, for a
+paraphrase, a good part of it and its answer.
 
 Items with too few telling terms have no place in that space. All words are searched for
 them, without a cosine: the same shares must be found within a short stretch.
@@ -14,8 +16,9 @@ them, without a cosine: the same shares must be found within a short stretch.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -75,17 +78,20 @@ def _words(column: pa.Array) -> Words:
     return Words(pc.utf8_lower(column), PLAIN)
 
 
+def _term_bytes(column: pa.Array, known: np.ndarray) -> list[bytes]:
+    words = _words(column)
+    spot = np.minimum(np.searchsorted(known, words.name), len(known) - 1)
+    terms = np.where(known[spot] == words.name, spot, len(known)).astype(np.uint32)
+    return [terms[a:b].tobytes() for a, b in zip(words.row, words.row[1:])]
+
+
 def _terms(rows: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """``id, terms``: the number of each word's term, or the size of the vocabulary, as 4-byte numbers."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in slices(batches, "text"):
-            words = _words(batch.column("text"))
-            spot = np.minimum(np.searchsorted(known, words.name), len(known) - 1)
-            terms = np.where(known[spot] == words.name, spot, len(known)).astype(np.uint32)
-            parts = [terms[a:b].tobytes() for a, b in zip(words.row, words.row[1:])]
+            parts = _term_bytes(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "terms": pa.array(parts, pa.binary())})
 
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, terms binary")
@@ -161,7 +167,7 @@ def _weights(coded: DataFrame, size: int) -> np.ndarray:
     held[terms] = total[:, 0]
     blocks = max(1.0, held[size + 1])
     idf = np.log((blocks + 1) / (held[: size + 1] + 1))
-    idf[held[: size + 1] > COMMON * max(blocks, 100)] = 0
+    idf[held[: size + 1] > COMMON * blocks] = 0
     idf[size] = 0
     return idf
 
@@ -186,7 +192,7 @@ def _project(items: Items, idf: np.ndarray, onto: np.ndarray) -> tuple[np.ndarra
 
 
 def latent_space(coded: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """An orthonormal basis (terms by rank) of the leading right singular space."""
+    """The leading right singular vectors (terms by rank), those of no weight left out."""
     size = len(idf) - 1
     rank = min(rank, size)
     start = np.random.Generator(np.random.PCG64(7)).standard_normal((size + 1, rank)).astype(np.float32)
@@ -230,7 +236,25 @@ def latent_space(coded: DataFrame, items: Items, idf: np.ndarray, rank: int = RA
         np.add.at(wanted, held[part], y[owner[part]] * values[part, None])
     # The items weigh so much that the space holds them before the corpus's own directions.
     scale = 10 * np.linalg.norm(corpus) / max(float(np.linalg.norm(wanted)), 1e-9) or 1.0
-    return np.linalg.qr(corpus + scale * wanted)[0].astype(np.float32)
+    vectors, values = _decomposed(corpus + scale * wanted, start)
+    return vectors[:, values > 1e-6 * values.max(initial=0)].astype(np.float32)
+
+
+def _decomposed(sketch: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Singular vectors and values of A from ``sketch = A'A start``, without another pass over A.
+
+    A'A is approximated by its part in the sketched space, which needs no more than the sketch
+    itself; a small shift keeps the factor positive.
+    """
+    basis, inner = np.linalg.qr(start.astype(np.float64))
+    # As if the start had been orthonormal.
+    y = np.linalg.solve(inner.T, sketch.T).T
+    shift = 1e-7 * max(float(np.linalg.norm(y)), 1e-300)
+    y += shift * basis
+    core = basis.T @ y
+    factor = np.linalg.cholesky((core + core.T) / 2)
+    left, values, _ = np.linalg.svd(np.linalg.solve(factor, y.T).T, full_matrices=False)
+    return left, np.sqrt(np.maximum(values**2 - shift, 0))
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -263,6 +287,8 @@ class _Search:
         self.terms = [t[idf[t] > 0] if k else t for t, k in zip(items.terms, self.telling)]
         self.answers = [t[idf[t] > 0] if k else t for t, k in zip(items.answers, self.telling)]
         self.least = [PARAPHRASE * len(t) for t in self.terms]
+        self.whole = items.terms
+        self.ends = items.answers
 
     def member(self, item: int) -> np.ndarray:
         """Which terms are the item's."""
@@ -300,15 +326,16 @@ class _Search:
                 held = self.member(one)[words]
                 if np.count_nonzero(held) < self.least[one]:
                     continue  # no more can be in common
-                words = words[held]
+                if common_subsequence(self.terms[one], words[held]) < self.least[one]:
+                    continue
                 values = self._verified(one, words, words)
                 if values is not None:
                     yield int(row[k]), one, float(close[k]), *values
         yield from self._exact(found, spread)
 
     def _verified(self, item: int, words: np.ndarray, around: np.ndarray) -> tuple[float, float] | None:
-        """Share of the item in ``words`` and of its answer in ``around``, if they make a finding."""
-        own, wanted = self.terms[item], self.answers[item]
+        """Share of all of the item's words in ``words`` and of its answer's in ``around``, if they make a finding."""
+        own, wanted = self.whole[item], self.ends[item]
         share = common_subsequence(own, words) / len(own)
         if share < PARAPHRASE:
             return None
@@ -355,8 +382,8 @@ class _Search:
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", answer: str | None = None) -> DataFrame:
     """``doc_id, item_id, cosine, lcs, answer`` for each document and item it contains.
 
-    ``lcs`` is the share of the item's telling terms found in order, ``answer`` that of its
-    answer; with too few telling terms both are of all words, and ``cosine`` may be 0. Whole
+    ``lcs`` is the share of the item's words found in order, ``answer`` that of its answer's;
+    with too few telling terms ``cosine`` may be 0. Whole
     texts of all rows are searched; null and empty texts contain nothing, items without words
     are contained nowhere. Repeated rows give repeated findings, a null id stays null. Without
     items the result is empty. Further columns are ignored.
@@ -369,27 +396,61 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     kinds = [rows.schema["id"].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()]
     schema = f"{doc_id} {kinds[0]}, {item_id} {kinds[1]}, cosine double, lcs double, answer double"
+    every = spark.createDataFrame([], schema)
+    searches = list(_item_parts(benchmark, text=item_text, item_id=item_id, answer=answer, scratch=scratch))
+    if len(searches) == 1:
+        found = _contaminated(rows, searches[0](), schema, scratch)
+        return every if found is None else found
+    for items in searches:
+        found = _contaminated(rows, items(), schema, scratch)
+        if found is not None:
+            every = every.unionAll(scratch.store(found, "found"))
+            found.release()
+    return every
+
+
+def _item_parts(benchmark: DataFrame, text: str, item_id: str, answer: str | None, scratch: Scratch) -> Iterator[Callable[[], Items]]:
+    """What reads the items of each search, one search at a time."""
     # The number of a stored row, not its id or text: repeated items spread over the parts too.
-    held = scratch.store(benchmark.where(F.col(item_text).isNotNull()).select(item_id, item_text, *([answer] if answer else [])), "items")
-    columns = [F.col(item_id), F.col(item_text), *([F.col(answer)] if answer else [])]
-    size = held.agg(F.count("*").alias("n"), F.sum(F.octet_length(item_text)).alias("bytes")).first()
+    columns = [F.col(item_id), F.col(text), *([F.col(answer)] if answer else [])]
+    held = scratch.store(benchmark.where(F.col(text).isNotNull()).select(*columns), "items")
+    size = held.agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("bytes")).first()
     parts = max(1, -(-size["n"] // ITEMS), -(-(size["bytes"] or 0) // ITEM_BYTES))
     if parts == 1:
-        found = _contaminated(rows, read_items(held, item_text, item_id, answer), schema, scratch)
-        return spark.createDataFrame([], schema) if found is None else found
+        yield partial(read_items, held, text, item_id, answer)
+        return
     dealt = held.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).alias("part"), F.struct(*columns).alias("item"))
     dealt = scratch.store(dealt, "parts")
-    out = []
     for part in range(parts):
-        items = read_items(dealt.where(F.col("part") == part).select("item.*"), item_text, item_id, answer)
-        found = _contaminated(rows, items, schema, scratch)
-        if found is not None:
-            out.append(scratch.store(found, "found"))
-            found.release()
-    every = spark.createDataFrame([], schema)
-    for found in out:
-        every = every.unionAll(found)
-    return every
+        yield partial(read_items, dealt.where(F.col("part") == part).select("item.*"), text, item_id, answer)
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None) -> DataFrame:
+    """The rows of ``docs`` in which ``contaminated`` finds no item, with all columns.
+
+    Each row is judged where it lies: no text is shuffled, and rows need no id. Null and empty texts stay.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "leaks")
+    rows = docs.where(F.col(text).isNotNull()).select(F.lit(0).alias("id"), F.col(text).alias("text"))
+    kept = docs
+    for part in _item_parts(benchmark, item_text, item_id, answer, scratch):
+        items = part()
+        if not items.ids:
+            continue
+        coded = scratch.store(_terms(rows, items.vocabulary), "terms")
+        idf = _weights(coded, len(items.vocabulary))
+        shared = spark.sparkContext.broadcast((_Search(items, idf, latent_space(coded, items, idf)), items.vocabulary))
+        scratch.drop(coded)
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            search, vocabulary = shared.value
+            for batch in slices(batches, text, 4 * _WORDS_AT_ONCE):
+                found = {row for row, *_ in search.find(pa.array(_term_bytes(batch.column(text), vocabulary), pa.binary()))}
+                yield batch.filter(pa.array([row not in found for row in range(batch.num_rows)], pa.bool_()))
+
+        kept = kept.mapInArrow(clean, docs.schema)
+    return kept
 
 
 def _contaminated(rows: DataFrame, items: Items, schema: str, scratch: Scratch) -> DataFrame | None:
