@@ -7,15 +7,35 @@ returns the encoded texts.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.llm import bpe, decontaminate, jaccard, lines, toxicity
 from haulmark.llm.queries import VOCABULARY, table
 from haulmark.llm.scratch import Scratch
 
-#: Columns of a stage's own.
-KEY, COPY = "__key", "__copy"
+#: A column of a stage's own, the name of a row.
+KEY = "__key"
+WORDS = r"[^\x20\x09-\x0D]"
+
+
+def row_name(*columns: Column) -> Column:
+    """A number for a row; unlike rows may share it."""
+    return F.xxhash64(*columns)
+
+
+def named(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with ``KEY``, equal for rows of one id and text and for no others.
+
+    Rows are told apart by two numbers. The first is their name where the second agrees for all
+    that have it; the few others, usually none, are named by the second.
+    """
+    first, second = row_name("doc_id", "text"), F.xxhash64(F.lit("second"), "text", "doc_id")
+    both = docs.select(first.alias(KEY), second.alias("second"))
+    unlike = both.groupBy(KEY).agg(F.min("second").alias("low"), F.max("second").alias("high")).where("low < high")
+    unlike = scratch.store(unlike.select(F.col(KEY).alias("shared")), "unlike")
+    rows = docs.withColumns({KEY: first, "__second": second}).join(unlike, F.col(KEY) == F.col("shared"), "left")
+    return rows.withColumn(KEY, F.when(F.col("shared").isNull(), F.col(KEY)).otherwise(F.col("__second"))).select(*docs.columns, KEY)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +46,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without cross-site lines; rows of which these were all are dropped."""
-    cleaned = lines.remove_boilerplate(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    cleaned = lines.remove_boilerplate(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(WORDS))
     columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return cleaned.select(*columns)
 
@@ -34,27 +54,28 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class: that with the smallest id, one without id only if all are.
 
-    Texts without words stay. Rows are known by their id and text, so ids may be null or repeat.
+    Texts without words stay. Rows are known by their id and text, so ids may be null or repeat; of rows
+    that repeat both, that with the least other columns counts.
     """
-    keyed = docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
-    found = jaccard.near_duplicates(keyed.select(F.col(KEY).alias("doc_id"), "text")).where("n_shingles > 0")
+    scratch = Scratch(spark, "near")
+    has_words = F.coalesce("text", F.lit("")).rlike(WORDS)
+    keyed = named(docs.where(has_words), scratch)
+    found = jaccard.near_duplicates(keyed.select(F.col(KEY).alias("doc_id"), "text"))
     found = found.select(F.col("doc_id").alias(KEY), F.col("component_id").alias("class")).distinct()
     # Like the texts, these grow with the corpus: the same plan at every size.
     ids = keyed.select(KEY, F.struct(F.col("doc_id").isNull(), "doc_id", KEY).alias("place")).distinct()
     ids = ids.join(found.hint("merge"), KEY)
     first = ids.groupBy("class").agg(F.min("place").alias("first"))
     others = ids.join(first.hint("merge"), "class").where("place <> first").select(KEY)
-    rest = keyed.join(others.hint("merge"), KEY, "left_anti")
-    copies = Window.partitionBy(KEY).orderBy(*[c for c in docs.columns if c != "text"])
-    rest = rest.withColumn(COPY, F.row_number().over(copies))
-    return rest.where((F.col(COPY) == 1) | ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
+    # Repeated rows meet in each task before they are shuffled.
+    rest = keyed.groupBy(KEY).agg(F.min(F.struct(*[c for c in docs.columns if c != "text"], "text")).alias("row"))
+    rest = rest.join(others.hint("merge"), KEY, "left_anti").select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    return rest.unionByName(docs.where(~has_words))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that contain no benchmark item, which depends on the text only."""
-    keyed = docs.withColumn(KEY, F.xxhash64("text"))
-    found = decontaminate.contaminated(keyed.select(F.col(KEY).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    return keyed.join(found.select(F.col("doc_id").alias(KEY)).distinct(), KEY, "left_anti").select(*docs.columns)
+    """Rows that contain no benchmark item, which depends on the text only; each is judged where it lies."""
+    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
