@@ -1,13 +1,13 @@
 """Links between similar sets that meet in lists, without writing out the pairs of a list.
 
 Lists say which sets may be similar: an inverted list per shingle or retained value. A list
-is not paired off. Lists of the same sets count as one. First come rounds of stars: in each list and band of sizes one set is the
-hub, every set goes to the hub that it shares most lists with, and the two are compared
-exactly. That costs one comparison per set, and joins most of what a group of near copies
-has. Lists whose sets are all connected by then are done. In the others, sets of different
-components are compared by their sketches, an upper bound or an estimate of their
-similarity, in long lists block by block; only pairs that pass are written, and compared
-exactly by their texts.
+is not paired off. Lists of the same sets count as one. First come rounds of stars: in each
+list and band of sizes one set, chosen by hash, is the hub, every set goes to the few hubs that
+it shares most lists with, and they are compared exactly. That costs some comparisons per set,
+and joins most of what a group of near copies has. Lists whose sets are all connected by then
+are done. In the others, sets of different components are compared by their sketches, an upper
+bound or an estimate of their similarity, in long lists block by block; only pairs that pass
+are written, and compared exactly by their texts.
 
 So nothing similar in a list stays unlinked, however long the list: the rounds change the cost.
 """
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmark.llm.graph import components
@@ -29,7 +29,9 @@ from haulmark.llm.words import mix, slices
 
 #: Rounds of stars; each chooses its hubs and cuts its bands otherwise.
 ROUNDS = 2
-_SALTS = (0, 0x5DEECE66D2545F49)
+#: Hubs that a set is compared with in a round. Where sets of a family are similar by halves, several
+#: random ones connect nearly all of it, and few pairs are left.
+HUBS = 6
 #: Sets, and shingles, to be compared exactly in one go.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
 #: Sets of a list whose sketches are compared in one go.
@@ -117,19 +119,20 @@ def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _stars(entries: DataFrame, percent: int, turn: int) -> DataFrame:
-    """``hub, node``: for each set the hub of another component that it shares most lists with."""
+    """``hub, node``: for each set the hubs of other components that it shares most lists with."""
     # Bands of a factor that similar sets keep within, cut elsewhere in every other round.
-    width = max(math.log(100 / percent), 1e-3) if percent else 50.0
+    width = max(math.log(100 / percent), 1e-3)
     band = F.floor(F.log("n") / F.lit(width) + F.lit(turn % 2 / 2)).cast("int")
-    salt = F.lit(_SALTS[turn % len(_SALTS)])
+    # Another order of the sets in each list: those of a family get many hubs.
+    salt = F.xxhash64("name", F.lit(turn))
     entries = entries.withColumn("band", band)
     hubs = entries.groupBy("name", "band").agg(F.min(F.col("node").bitwiseXOR(salt)).alias("hub"))
     hubs = hubs.withColumn("hub", F.col("hub").bitwiseXOR(salt))
     labels = entries.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")).distinct()
     met = entries.join(hubs.join(labels, "hub"), ["name", "band"]).where("label <> hub_label")
     shared = met.groupBy("node", "hub").agg(F.sum("weight").alias("lists"))
-    best = shared.groupBy("node").agg(F.max(F.struct("lists", "hub")).alias("best"))
-    return best.select(F.col("best.hub").alias("hub"), "node")
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("lists"), "hub"))
+    return shared.withColumn("place", place).where(F.col("place") <= HUBS).select("hub", "node")
 
 
 def _passing(pairs: DataFrame, sketches: DataFrame, like: Similarity) -> DataFrame:
