@@ -1,15 +1,15 @@
 """Near-duplicate classes by bottom-k sketches from one hash function.
 
-A document's set is its distinct word shingles, and its sketch the ``RETAINED`` smallest of their
-hashes. Similar sets have most of their sketches in common: of the 64 smallest values of two
-sets' union each is in both with a chance of their similarity, so at 0.8 fewer than 25 are with
-a chance below 2e-13 (sets of at most 64 shingles are sketched whole, which leaves no chance).
+A document's set is its distinct word shingles, and its sketch the ``WIDE`` smallest of their
+hashes, of which the ``RETAINED`` smallest go to inverted lists. Similar sets have most of
+these in common: of the 64 smallest values of two sets' union each is in both with a chance of their similarity, so at 0.8 fewer than 25 are with
+a chance below 2e-13 (sets of at most 64 shingles are listed whole, which leaves no chance).
 Inverted lists of the values therefore need not hold all of a sketch: without its 24 most
 widely held values, two sketches with 25 in common still meet in a list. So lists of values of
 text that many documents share stay out, where documents have enough of their own.
 
 Where lists overlap, the similarity of two sets is estimated from the sketch of their union,
-which is the smallest values of both; what passes is compared exactly by whole texts. How sets of
+which is the 128 smallest values of both, by the same chance; what passes is compared exactly by whole texts. How sets of
 one list meet without being paired off is told in ``stars``.
 """
 
@@ -29,8 +29,8 @@ from haulmark.llm.stars import Similarity, distinct_lists, fingerprint, link_lis
 from haulmark.llm.words import mix, slices
 
 SHINGLE, PERCENT = 4, 80
-#: Values of a sketch.
-RETAINED = 64
+#: Values of a sketch in the lists, and in all.
+RETAINED, WIDE = 64, 128
 #: Sets a task remembers as sketched.
 HELD = 1_000_000
 _SALT = np.uint64(0x9FB21C651E98DF25)
@@ -49,7 +49,7 @@ def least_common(percent: int, retained: int = RETAINED, chance: float = 2e-13)
     return max(count, 1)
 
 
-def sketch(one: np.ndarray, retained: int = RETAINED) -> np.ndarray:
+def sketch(one: np.ndarray, retained: int = WIDE) -> np.ndarray:
     """The smallest hashes of a set, sorted, filled up with the largest number."""
     hashes = mix(one ^ _SALT)
     if len(hashes) > retained:
@@ -105,11 +105,12 @@ def _sketched(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _values(sketches: DataFrame) -> DataFrame:
-    """``value, node, n``: the values of each sketch."""
+    """``value, node, n``: the listed values of each sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64)
+            values = values.reshape(-1, WIDE)[:, :RETAINED].ravel()
             owner = np.repeat(np.arange(batch.num_rows), RETAINED)
             there = values != _NONE
             at = pa.array(owner[there])
