@@ -36,6 +36,8 @@ HUBS = 6
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
 #: Sets of a list whose sketches are compared in one go.
 BLOCK_SKETCHES = 512
+#: Ids that are broadcast, at most: 8 bytes each, and some 32 in a task's table of them.
+BROADCAST = 2_000_000
 #: Sets of a list up to which its pairs of different components are written.
 PAIRED = 32
 
@@ -135,8 +137,20 @@ def _stars(entries: DataFrame, percent: int, turn: int) -> DataFrame:
     return shared.withColumn("place", place).where(F.col("place") <= HUBS).select("hub", "node")
 
 
-def _passing(pairs: DataFrame, sketches: DataFrame, like: Similarity) -> DataFrame:
+def _only(rows: DataFrame, key: str, wanted: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows whose ``key`` is in ``wanted``, one column of ids.
+
+    Few of all sets are in a star or pair. Up to ``BROADCAST`` ids, as counted, go to the rows; more
+    are met by a shuffle of the rows.
+    """
+    held = scratch.store(wanted.toDF(key).distinct(), "wanted")
+    return rows.join(F.broadcast(held) if held.count() <= BROADCAST else held, key, "left_semi")
+
+
+def _passing(pairs: DataFrame, sketches: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
     """The ``hub, node`` whose sketches let them be similar."""
+    pairs = scratch.store(pairs, "asked")
+    sketches = _only(sketches, "node", pairs.select("hub").unionAll(pairs.select("node")), scratch)
     own = sketches.select("node", F.struct("n", "sketch").alias("y"))
     rows = pairs.join(own, "node").join(own.select(F.col("node").alias("hub"), F.col("y").alias("x")), "hub")
 
@@ -187,8 +201,9 @@ def _blocks(entries: DataFrame, percent: int) -> DataFrame:
     return small.select(*columns).unionAll(met.select(*columns))
 
 
-def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity) -> DataFrame:
+def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
     """``hub, node``: pairs of different components within a block that may be similar."""
+    sketches = _only(sketches, "node", blocks.select("node"), scratch)
     rows = blocks.join(sketches.select("node", "sketch"), "node").select("pair", "node", "n", "label", "sketch")
     rows = rows.repartition("pair").sortWithinPartitions("pair")
 
@@ -232,8 +247,7 @@ def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity) -> Data
 def _compared(stars: DataFrame, distinct: DataFrame, texts: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
     """``u, v``: links among the sets of each star, its hub's ones above all, by their whole texts.
 
-    A star of many sets is cut into blocks, and its hub goes to each. Few texts are in a star: they are
-    found by a broadcast where the stored table of places is small, else by a shuffle of the texts.
+    A star of many sets is cut into blocks, and its hub goes to each.
     """
     known = distinct.select(F.col("rep").alias("node"), "n", "p0", "p1")
     members = stars.join(known, "node")
@@ -242,6 +256,7 @@ def _compared(stars: DataFrame, distinct: DataFrame, texts: DataFrame, like: Sim
     hubs = cells.join(known.withColumnRenamed("node", "hub"), "hub")
     hubs = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.col("hub").alias("node"), "p0", "p1")
     places = scratch.store(members.unionAll(hubs), "places")
+    texts = _only(texts, "id", places.select("node"), scratch)
     rows = texts.join(places, texts["id"] == places["node"]).select("hub", "cell", "node", "p0", "p1", "text")
     rows = rows.repartition("hub", "cell").sortWithinPartitions("hub", "cell")
 
@@ -284,7 +299,7 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
         scratch.drop(lists)
         lists = entries.select("name", "node", "n", "weight")
         lists.scratch_path = entries.scratch_path
-        stars = scratch.store(_passing(_stars(entries, like.percent, turn), sketches, like), "stars")
+        stars = scratch.store(_passing(_stars(entries, like.percent, turn), sketches, like, scratch), "stars")
         if stars.isEmpty():
             break
         found = _compared(stars, distinct, texts, like, scratch)
@@ -296,8 +311,8 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
     entries = scratch.store(_labelled(lists, nothing if labels is None else labels), "entries")
     scratch.drop(lists)
     sized = entries.join(entries.groupBy("name").agg(F.count("*").alias("sets")), "name")
-    pairs = _passing(_pairs(sized, like.percent), sketches, like)
-    pairs = scratch.store(pairs.unionAll(_remaining(_blocks(sized, like.percent), sketches, like)).distinct(), "pairs")
+    pairs = _passing(_pairs(sized, like.percent), sketches, like, scratch)
+    pairs = scratch.store(pairs.unionAll(_remaining(_blocks(sized, like.percent), sketches, like, scratch)).distinct(), "pairs")
     scratch.drop(entries)
     if not pairs.isEmpty():
         found = _compared(pairs, distinct, texts, like, scratch)

@@ -80,7 +80,7 @@ def docs():
 @pytest.mark.parametrize("module, size, percent, blocks", [(jaccard, 5, 75, False), (bottomk, 4, 80, False), (jaccard, 3, 50, True), (bottomk, 4, 65, True)])
 def test_classes_equal_all_pairs(spark, docs, module, size, percent, blocks, monkeypatch):
     if blocks:  # lists and stars cut into many blocks, and all pairs left to them
-        for name, value in (("PAIRED", 4), ("BLOCK_SKETCHES", 6), ("BLOCK_SETS", 3)):
+        for name, value in (("PAIRED", 4), ("BLOCK_SKETCHES", 6), ("BLOCK_SETS", 3), ("BROADCAST", 0)):
             monkeypatch.setattr(stars, name, value)
         monkeypatch.setattr(stars.link_lists, "__defaults__", (0,))
     frame = spark.createDataFrame(list(docs.items()), SCHEMA).repartition(5)
