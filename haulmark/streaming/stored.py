@@ -164,6 +164,12 @@ def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 #: So many closed folders become one.
 MERGED = 16
+#: Rows per file of folded counts, about.
+FILE_ROWS = 1_000_000
+
+
+def _files_for(rows: int) -> int:
+    return 1 + rows // FILE_ROWS
 
 
 def _spans(names: Sequence[str]) -> dict[str, tuple[int, int]]:
@@ -203,7 +209,7 @@ def _merge_closed(spark: SparkSession, files: Files, root: str, batch: int, sche
         if inside and name not in names:
             draft = f"{root}/_draft-{name}"
             rows = spark.read.schema(schema).parquet(*(f"{root}/closed/{n}" for n in inside))
-            rows.coalesce(1).write.mode("overwrite").parquet(draft)
+            rows.coalesce(_files_for(rows.count())).write.mode("overwrite").parquet(draft)
             files.rename(draft, f"{root}/closed/{name}")
         if width == MERGED:
             kept = set(_standing(names))
@@ -222,6 +228,9 @@ def fold_changes(changes: DataFrame, path: str, writer: str, batch: int, key: Se
     batch reads what the one before left open and writes folders of its own, so running it
     again gives the same. Closed folders of past batches are merged, ``MERGED`` into one and so
     on, so their number grows with the logarithm of the batches.
+
+    The state of the stream is updated in its own partitions, before rows are brought together in
+    few files: one task that did both would hold the memory of all partitions at once.
     """
     spark = changes.sparkSession
     root = f"{path}/{WRITER}={writer}"
@@ -230,14 +239,15 @@ def fold_changes(changes: DataFrame, path: str, writer: str, batch: int, key: Se
     before = max((n for n in left if n < batch), default=None)
     changes = changes.persist()
     try:
-        merged, newest = changes, None
+        merged, newest, count = changes, None, changes.count()
         if before is not None:
             held = spark.read.schema(changes.schema).parquet(f"{root}/open/{BATCH}={before}")
             merged = held.join(changes.select(*key), [held[k].eqNullSafe(changes[k]) for k in key], "left_anti").unionByName(changes)
-            newest = held.agg(F.max(window_start)).first()[0]
+            newest, more = held.agg(F.max(window_start), F.count(F.lit(1))).first()
+            count += more
         ended = F.lit(False) if newest is None else F.col(window_end) <= F.lit(newest) - F.expr(f"INTERVAL {late_by}")
-        merged.where(ended).coalesce(1).write.mode("overwrite").parquet(f"{root}/closed/{BATCH}={batch}")
-        merged.where(~ended).coalesce(1).write.mode("overwrite").parquet(f"{root}/open/{BATCH}={batch}")
+        for rows, name in ((merged.where(ended), "closed"), (merged.where(~ended), "open")):
+            rows.repartition(_files_for(count), *key).write.mode("overwrite").parquet(f"{root}/{name}/{BATCH}={batch}")
     finally:
         changes.unpersist()
     _merge_closed(spark, files, root, batch, changes.schema)

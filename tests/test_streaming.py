@@ -9,6 +9,7 @@ from datetime import timedelta
 import frames as f
 import pytest
 from frames import AS_OF, one, rows_of
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from haulmark import job
@@ -378,3 +379,29 @@ def test_arguments():
 def test_sample_rows_as_of_are_plain(spark):
     assert one(f.pings(spark).agg(F.max("timestamp").alias("t"))).t == AS_OF
     assert MESSAGE.names == ["value"]
+
+
+def test_folding_leaves_the_partitions_of_the_state_to_their_tasks(spark, tmp_path):
+    """One task for all partitions would hold the memory of all their maps at once."""
+    task = F.udf(lambda n: str(TaskContext.get().taskAttemptId()))
+    minute = F.timestamp_seconds(F.col("id") * 60)
+    rows = spark.range(0, 80, 1, 8).select(minute.alias("window_start"), (minute + F.expr("INTERVAL 1 MINUTE")).alias("window_end"), task("id").alias("status"), F.col("id").alias("n"))
+    for batch in range(2):
+        fold(rows.where(F.col("n") >= 40 * batch), str(tmp_path), batch)
+        held = stored.current_rows(spark, str(tmp_path), rows.schema)
+        assert held.where(F.col("n") >= 40 * batch).select("status").distinct().count() >= 4
+
+
+def test_many_folded_counts_take_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored, "FILE_ROWS", 10, raising=False)
+    monkeypatch.setattr(stored, "MERGED", 4)
+    path = str(tmp_path)
+    for batch in range(5):
+        first = changes(spark, *((10 * batch + k, status, batch) for k in range(10) for status in "abc"))
+        fold(first, path, batch)
+        parts = [n for n in os.listdir(f"{path}/writer=w/open/batch_id={batch}") if n.endswith(".parquet")]
+        assert len(parts) > 1
+    (merged,) = (n for n in os.listdir(f"{path}/writer=w/closed") if n.startswith("batches-"))
+    assert len([n for n in os.listdir(f"{path}/writer=w/closed/{merged}") if n.endswith(".parquet")]) > 1
+    held = stored.current_rows(spark, path, first.schema)
+    assert held.count() == held.distinct().count() == 150
