@@ -131,6 +131,13 @@ def append_pings_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return si.plain_times(stored.drop("processed_at"))
 
 
+def _messages_of_all_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows parsed from messages; dealt out first, as a message costs much more than its shuffle."""
+    events = si.events(spark, sf_dir)
+    events = events.repartition(_pieces(events.count()))
+    return ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(si.updates(events)))))
+
+
 def _stream_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return si.updates(si.with_stream_time(si.event_stream(spark, sf_dir)))
 
@@ -153,15 +160,26 @@ def kpi_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return si.plain_times(now.drop("kpi_calculated_at"))
 
 
+#: Rows per file of a stream's batch, about; each file is read by a task.
+PIECE_ROWS = 50_000
+
+
+def _pieces(rows: int) -> int:
+    """Files that a batch of so many rows is stored in; every one of them gets rows."""
+    return max(1, rows // PIECE_ROWS)
+
+
 def _event_batches(spark: SparkSession, sf_dir: str, path: str, batches: int) -> DataFrame:
     """All events as a stream of about so many batches, each of a stretch of time."""
     events = si.events(spark, sf_dir)
-    events.repartitionByRange(batches, "ts").sortWithinPartitions("ts").write.parquet(path)
+    pieces = _pieces(events.count() // batches)
+    events.repartitionByRange(batches * pieces, "ts", "event_id").sortWithinPartitions("ts").write.parquet(path)
     files = [row["f"] for row in spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.min("ts").alias("t")).orderBy("t").collect()]
-    # A file source goes by the time a file was written: one after the other.
-    for number, file in enumerate(files):
-        spark.read.parquet(file).coalesce(1).write.parquet(f"{path}-in-order/part={number}")
-    return replay(spark, f"{path}-in-order/*", events.schema, files_per_trigger=1)
+    # A file source goes by the time a file was written: one batch after the other.
+    for number in range(0, len(files), pieces):
+        part = spark.read.parquet(*files[number : number + pieces]).repartition(pieces)
+        part.write.parquet(f"{path}-in-order/part={number // pieces}")
+    return replay(spark, f"{path}-in-order/*", events.schema, files_per_trigger=pieces)
 
 
 def out_of_order(events: DataFrame, batches: int) -> DataFrame:
@@ -185,10 +203,13 @@ def kpi_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     A stream of eight batches counts them; what it drops is what is missing from its counts."""
     root = fresh_folder(spark, "kpi_late_rows")
     events = out_of_order(si.events(spark, sf_dir), 8)
+    # Every batch has as many files, so that the stream takes one at a time.
+    rows = {row["batch"]: row["count"] for row in events.groupBy("batch").count().collect()}
+    pieces = _pieces(min(rows.get(batch, 0) for batch in range(8)))
     for batch in range(8):
         part = events.where(F.col("batch") == batch).drop("batch")
-        part.coalesce(1).write.parquet(f"{root}/in/part={batch}")
-    stream = replay(spark, f"{root}/in/*", events.drop("batch").schema, files_per_trigger=1)
+        part.repartition(pieces).write.parquet(f"{root}/in/part={batch}")
+    stream = replay(spark, f"{root}/in/*", events.drop("batch").schema, files_per_trigger=pieces)
     counts = kpis.status_counts(si.updates(si.with_stream_time(stream)))
     runner.wait_for_all([sinks.fold_counts(counts, f"{root}/counts", "status_counts", f"{root}/state", every=None)])
     counted = current_rows(spark, f"{root}/counts", counts.schema).groupBy("status")
@@ -450,7 +471,7 @@ def insert_into_stored_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(si.updates(stream)))))
     root = fresh_folder(spark, "insert_into_stored_updates")
     runner.wait_for_all([sinks.append_to_table(rows, f"{root}/table", "updates", f"{root}/state", every=None)])
-    new = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(_updates(spark, sf_dir)))))
+    new = _messages_of_all_updates(spark, sf_dir)
     for _ in range(2):
         inserts.insert_if_absent(new, f"{root}/table", ["order_id"], ["timestamp"])
     held = stored_table(spark, f"{root}/table", new.schema)
@@ -477,7 +498,7 @@ def compacted_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _event_batches(spark, sf_dir, f"{root}/events", 10)
     rows = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(si.updates(stream)))))
     runner.wait_for_all([sinks.append_to_table(rows, f"{root}/table", "updates", f"{root}/state", every=None)])
-    more = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(_updates(spark, sf_dir)))))
+    more = _messages_of_all_updates(spark, sf_dir)
     inserts.insert_if_absent(more, f"{root}/table", ["order_id"], ["timestamp"])
     schema = with_event_date(DELIVERY_UPDATE)
     for _ in range(2):

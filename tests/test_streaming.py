@@ -16,6 +16,7 @@ from haulmark import job
 from haulmark.functions.messages import encoded
 from haulmark.operators import alerts as al
 from haulmark.operators import ingest, kpis, reports
+from haulmark.plans import registered
 from haulmark.plans import stand_ins as si
 from haulmark.schemas import DELIVERY_UPDATE, DRIVER_PING, MESSAGE, with_event_date
 from haulmark import settings as st
@@ -405,3 +406,21 @@ def test_many_folded_counts_take_several_files(spark, tmp_path, monkeypatch):
     assert len([n for n in os.listdir(f"{path}/writer=w/closed/{merged}") if n.endswith(".parquet")]) > 1
     held = stored.current_rows(spark, path, first.schema)
     assert held.count() == held.distinct().count() == 150
+
+
+def batch_files(root):
+    return [sum(n.endswith(".parquet") for n in os.listdir(f"{root}/{part}")) for part in sorted(os.listdir(root))]
+
+
+@pytest.mark.parametrize("name, folder, batches", [("kpi_late_rows", "in", 8), ("kpi_stream_update", "events-in-order", 6)])
+def test_batches_of_several_files_give_the_same(spark, sf_dir, monkeypatch, tmp_path, name, folder, batches):
+    """A batch in one file is written by one task, and read by one."""
+    plain = lambda frame: rows_of(frame.drop("kpi_calculated_at"))
+    expected = plain(registered.QUERIES[name](spark, sf_dir))
+    monkeypatch.setattr(registered, "PIECE_ROWS", 25, raising=False)
+    monkeypatch.setattr(registered, "fresh_folder", lambda spark, query: str(tmp_path))
+    found = registered.QUERIES[name](spark, sf_dir)
+    assert plain(found) == expected
+    files = batch_files(f"{tmp_path}/{folder}")
+    assert len(files) == batches and set(files) == {files[0]} and files[0] > 1
+    assert len(os.listdir(f"{tmp_path}/state/status_counts/sources/0")) >= batches
