@@ -84,9 +84,12 @@ def insert_if_absent(
     and count once the table's ledger names their writer. Who finds that another insert was faster
     looks at what that one added only, drops the keys it holds, and tries again. Streams
     append without a look at keys. A plain parquet table stays one, for one writer at a time.
+    ``incoming`` is persisted meanwhile, unless the caller has done so, who keeps it then.
     """
     spark = incoming.sparkSession
-    incoming = incoming.persist()
+    level = incoming.storageLevel
+    held = level.useMemory or level.useDisk
+    incoming = incoming if held else incoming.persist()
     try:
         if stored.is_plain(spark, path):
             rows = absent_rows(incoming, stored.stored_table(spark, path, incoming.schema), key, first_by)
@@ -94,7 +97,8 @@ def insert_if_absent(
         else:
             _insert(incoming, path, list(key), first_by)
     finally:
-        incoming.unpersist()
+        if not held:
+            incoming.unpersist()
 
 
 def _insert(incoming: DataFrame, path: str, key: list[str], first_by: Sequence[str]) -> None:

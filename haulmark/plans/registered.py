@@ -471,9 +471,10 @@ def insert_into_stored_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ingest.dated(ingest.stamped(ingest.delivery_updates(encoded(si.updates(stream)))))
     root = fresh_folder(spark, "insert_into_stored_updates")
     runner.wait_for_all([sinks.append_to_table(rows, f"{root}/table", "updates", f"{root}/state", every=None)])
-    new = _messages_of_all_updates(spark, sf_dir)
+    new = _messages_of_all_updates(spark, sf_dir).persist()
     for _ in range(2):
         inserts.insert_if_absent(new, f"{root}/table", ["order_id"], ["timestamp"])
+    new.unpersist()
     held = stored_table(spark, f"{root}/table", new.schema)
     return si.plain_times(held.select("order_id", "status", "timestamp", "delay_minutes", "event_date"))
 

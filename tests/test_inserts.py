@@ -124,3 +124,18 @@ def test_a_key_table_is_not_shuffled(spark, tmp_path):
             assert not any("Exchange" in line for line in above), above
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_the_caller_has_persisted_stay_so(spark, tmp_path):
+    """Rows that are costly to make are inserted into several tables, or again, without being made anew."""
+    rows = frame(spark, [("a", 1, 1, "x"), ("b", 1, 2, "y"), ("a", 1, 3, "z")]).persist()
+    try:
+        for _ in range(2):
+            insert_if_absent(rows, f"{tmp_path}/t", ["k"], ["n"])
+            assert rows.storageLevel.useMemory
+    finally:
+        rows.unpersist()
+    assert stored_table(spark, f"{tmp_path}/t", rows.schema).count() == 2
+    other = frame(spark, [("c", 1, 1, "x")])
+    insert_if_absent(other, f"{tmp_path}/t", ["k"], ["n"])
+    assert not other.storageLevel.useMemory
