@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from haulmark.llm.jaccard import shingle_sets
 from haulmark.llm.scratch import Scratch
-from haulmark.llm.stars import Similarity, distinct_lists, fingerprint, link_lists
+from haulmark.llm.stars import SLICE, Similarity, distinct_lists, fingerprint, link_lists
 from haulmark.llm.words import mix, slices
 
 SHINGLE, PERCENT = 4, 80
@@ -87,7 +87,7 @@ def _sketched(rows: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[tuple[int, int]] = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             sets = shingle_sets(batch.column("text"), size)
             prints = [fingerprint(one) for one in sets]
             sketches = []

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmark.llm.scratch import Scratch, most_frequent
-from haulmark.llm.stars import Similarity, distinct_lists, fingerprint, link_lists
+from haulmark.llm.stars import SLICE, Similarity, distinct_lists, fingerprint, link_lists
 from haulmark.llm.words import LOWER, Words, mix, sequence_names, slices
 
 SHINGLE = 5
@@ -93,11 +93,14 @@ def frequent_shingles(rows: DataFrame, size: int, scratch: Scratch) -> tuple[np.
         held, n = [], 0
 
         def hand_on() -> pa.RecordBatch:
-            names, counts = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
-            often = counts > 2
-            return pa.RecordBatch.from_arrays([pa.array(names[often].view(np.int64)), pa.array(counts[often])], ["name", "n"])
-
-        for batch in slices(batches, "text"):
+            names = np.concatenate([*held, np.zeros(0, np.uint64)])
+            held.clear()
+            names.sort()
+            often = np.unique(names[2:][names[2:] == names[:-2]])
+            counts = np.searchsorted(names, often, "right") - np.searchsorted(names, often)
+            return pa.RecordBatch.from_arrays([pa.array(often.view(np.int64)), pa.array(counts)], ["name", "n"])
+
+        for batch in slices(batches, "text", SLICE):
             for one in shingle_sets(batch.column("text"), size):
                 held.append(one)
                 n += len(one)
@@ -128,7 +131,7 @@ def _sets(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int, p
         known, counts = shared.value
         met: set[int] = set()
         drawn: set[tuple[int, int]] = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             out: dict[str, list] = {c: [] for c in ("n", "p0", "p1", "bunch", "bins", "rare", "often")}
             owned = batch.column("id").is_valid().to_pylist()
             for own, one in zip(owned, shingle_sets(batch.column("text"), size)):

@@ -5,9 +5,11 @@ is not paired off. Lists of the same sets count as one. First come rounds of sta
 list and band of sizes one set, chosen by hash, is the hub, every set goes to the few hubs that
 it shares most lists with, and they are compared exactly. That costs some comparisons per set,
 and joins most of what a group of near copies has. Lists whose sets are all connected by then
-are done. In the others, sets of different components are compared by their sketches, an upper
-bound or an estimate of their similarity, in long lists block by block; only pairs that pass
-are written, and compared exactly by their texts.
+are done. The others are merged where they hold much the same sets, and sets of different
+components are compared by their sketches, an upper bound or an estimate of their similarity,
+block by block. Pairs that pass are not written either: they tie sets to families, of which a
+block names a tree. The sets of a family are then compared exactly, each with all others, by
+their whole texts in blocks.
 
 So nothing similar in a list stays unlinked, however long the list: the rounds change the cost.
 """
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmark.llm.graph import components
@@ -33,13 +35,15 @@ ROUNDS = 2
 #: random ones connect nearly all of it, and few pairs are left.
 HUBS = 6
 #: Sets, and shingles, to be compared exactly in one go.
-BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 19
+#: Bytes of text to be cut into words in one go.
+SLICE = 1 << 19
 #: Sets of a list whose sketches are compared in one go.
 BLOCK_SKETCHES = 512
 #: Ids that are broadcast, at most: 8 bytes each, and some 32 in a task's table of them.
 BROADCAST = 2_000_000
-#: Sets of a list up to which its pairs of different components are written.
-PAIRED = 32
+#: Sets of a list up to which its pairs of different components are written: no more than two rows a set.
+PAIRED = 5
 
 #: Whether the sets of sketches ``x[i]``, ``y[i]``, of sizes ``n[i]``, ``m[i]``, may be similar.
 Possible = Callable[[Sequence[bytes], Sequence[bytes], np.ndarray, np.ndarray], np.ndarray]
@@ -171,6 +175,17 @@ def _passing(pairs: DataFrame, sketches: DataFrame, like: Similarity, scratch: S
     return rows.select("hub", "node", is_open, *columns).mapInArrow(run, "hub long, node long")
 
 
+def _merged(entries: DataFrame) -> DataFrame:
+    """``name, node, n, label, sets``: one list instead of those whose first set, by hash, is the same.
+
+    Sets that share passages meet in many lists, which differ by a few sets. Such lists mostly have
+    one first set, and unlike ones seldom do. Sets of a list stay together.
+    """
+    first = entries.groupBy("name").agg(F.min(F.xxhash64("node")).alias("first"))
+    merged = entries.join(first, "name").select(F.col("first").alias("name"), "node", "n", "label").distinct()
+    return merged.join(merged.groupBy("name").agg(F.count("*").alias("sets")), "name")
+
+
 def _pairs(entries: DataFrame, percent: int) -> DataFrame:
     """``hub, node``: pairs of lists of few sets, of different components and near sizes."""
     few = entries.where(F.col("sets") <= PAIRED)
@@ -180,16 +195,19 @@ def _pairs(entries: DataFrame, percent: int) -> DataFrame:
     return pairs.select("hub", "node").distinct()
 
 
-def _blocks(entries: DataFrame, percent: int) -> DataFrame:
-    """``pair, node, n, label``: each entry of longer lists once per pair of blocks that it takes part in.
+def _blocks(entries: DataFrame, percent: int, most: Column, load: Column) -> DataFrame:
+    """``pair`` and the columns of ``entries``: each entry once per pair of blocks that it takes part in.
 
-    Very long lists are cut by size, in steps that no similar pair skips, and by hash.
+    The entries of one ``name`` are a block if ``most`` is true of them. Others are cut by size,
+    in steps that no similar pair skips, and by hash, into as many blocks as ``load`` tells.
     """
-    entries = entries.where(F.col("sets") > PAIRED)
-    small = entries.where(F.col("sets") <= BLOCK_SKETCHES).withColumn("pair", F.concat_ws(":", "name"))
+    columns = ["node", *(c for c in entries.columns if c not in ("name", "node"))]
+    whole = entries.groupBy("name").agg(most.alias("whole"))
+    entries = entries.join(whole, "name")
+    small = entries.where("whole").withColumn("pair", F.concat_ws(":", "name"))
     step = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
-    big = entries.where(F.col("sets") > BLOCK_SKETCHES).withColumn("step", step)
-    cells = big.groupBy("name", "step").agg(F.ceil(F.count("*") / BLOCK_SKETCHES).cast("int").alias("cells"))
+    big = entries.where(~F.col("whole")).withColumn("step", step)
+    cells = big.groupBy("name", "step").agg(F.ceil(load).cast("int").alias("cells"))
     own = big.join(cells, ["name", "step"]).withColumn("cell", F.pmod(F.xxhash64("node"), "cells").cast("int"))
     meets = cells.select("name", F.col("step").alias("step2"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell2"))
     near = own.withColumn("step2", F.explode(F.array(*(F.col("step") + d for d in (-1, 0, 1)))))
@@ -197,12 +215,11 @@ def _blocks(entries: DataFrame, percent: int) -> DataFrame:
     mine, its = F.struct("step", "cell"), F.struct(F.col("step2").alias("step"), F.col("cell2").alias("cell"))
     low, high = F.when(mine <= its, mine).otherwise(its), F.when(mine <= its, its).otherwise(mine)
     met = met.withColumn("pair", F.concat_ws(":", "name", low["step"], low["cell"], high["step"], high["cell"]))
-    columns = ["pair", "node", "n", "label"]
-    return small.select(*columns).unionAll(met.select(*columns))
+    return small.select("pair", *columns).unionAll(met.select("pair", *columns))
 
 
 def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
-    """``hub, node``: pairs of different components within a block that may be similar."""
+    """``hub, node``: a tree of each family of a block, whose ties are pairs of different components that may be similar."""
     sketches = _only(sketches, "node", blocks.select("node"), scratch)
     rows = blocks.join(sketches.select("node", "sketch"), "node").select("pair", "node", "n", "label", "sketch")
     rows = rows.repartition("pair").sortWithinPartitions("pair")
@@ -215,15 +232,19 @@ def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity, scratch
             node, n, label = (table.column(c).to_numpy() for c in ("node", "n", "label"))
             sketch = np.array(table.column("sketch").to_pylist(), dtype=object)
             known = np.array([x is not None for x in sketch])
+            family = np.arange(len(node))
             for i in range(len(node) - 1):
                 js = np.arange(i + 1, len(node))
-                js = js[(label[js] != label[i]) & (100 * np.minimum(n[js], n[i]) >= like.percent * np.maximum(n[js], n[i]))]
+                js = js[(label[js] != label[i]) & (family[js] != family[i]) & (100 * np.minimum(n[js], n[i]) >= like.percent * np.maximum(n[js], n[i]))]
                 if known[i] and len(js):
                     test = known[js]
                     at = js[test]
                     test[test] = ~like.possible([sketch[i]] * len(at), sketch[at].tolist(), np.full(len(at), n[i]), n[at])
                     js = js[~test]
                 if len(js):
+                    joined, at = np.unique(family[js], return_index=True)
+                    family[np.isin(family, joined)] = family[i]
+                    js = js[at]
                     low, high = np.minimum(node[i], node[js]), np.maximum(node[i], node[js])
                     yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["hub", "node"])
 
@@ -244,21 +265,32 @@ def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity, scratch
     return rows.mapInArrow(run, "hub long, node long").where("hub <> node").distinct()
 
 
-def _compared(stars: DataFrame, distinct: DataFrame, texts: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
-    """``u, v``: links among the sets of each star, its hub's ones above all, by their whole texts.
-
-    A star of many sets is cut into blocks, and its hub goes to each.
-    """
-    known = distinct.select(F.col("rep").alias("node"), "n", "p0", "p1")
+def _star_places(stars: DataFrame, known: DataFrame) -> DataFrame:
+    """``block, node, p0, p1`` of each star. One of many sets is cut into blocks, and its hub goes to each."""
     members = stars.join(known, "node")
     cells = members.groupBy("hub").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("cells"))
     members = members.join(cells, "hub").select("hub", F.pmod(F.xxhash64("node"), "cells").cast("int").alias("cell"), "node", "p0", "p1")
     hubs = cells.join(known.withColumnRenamed("node", "hub"), "hub")
     hubs = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.col("hub").alias("node"), "p0", "p1")
-    places = scratch.store(members.unionAll(hubs), "places")
+    return members.unionAll(hubs).select(F.concat_ws(":", "hub", "cell").alias("block"), "node", "p0", "p1")
+
+
+def _family_places(ties: DataFrame, known: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """``block, node, p0, p1``: blocks in which each set of a family meets all others of near size."""
+    families = components(ties.select(F.col("hub").alias("u"), F.col("node").alias("v")), scratch)
+    members = families.select("node", F.col("component").alias("name")).join(known, "node")
+    load = F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)
+    # Two blocks meet in a task, so each has half.
+    blocks = _blocks(members, percent, load <= 1, 2 * load)
+    return blocks.select(F.col("pair").alias("block"), "node", "p0", "p1")
+
+
+def _compared(places: DataFrame, texts: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
+    """``u, v``: links that connect what is similar in each block of ``block, node, p0, p1``, by whole texts."""
+    places = scratch.store(places, "places")
     texts = _only(texts, "id", places.select("node"), scratch)
-    rows = texts.join(places, texts["id"] == places["node"]).select("hub", "cell", "node", "p0", "p1", "text")
-    rows = rows.repartition("hub", "cell").sortWithinPartitions("hub", "cell")
+    rows = texts.join(places, texts["id"] == places["node"]).select("block", "node", "p0", "p1", "text")
+    rows = rows.repartition("block").sortWithinPartitions("block")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, ids, sets = None, [], []
@@ -267,12 +299,12 @@ def _compared(stars: DataFrame, distinct: DataFrame, texts: DataFrame, like: Sim
             found = linking_pairs(sets, like.percent) if len(sets) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in found], pa.int64()), pa.array([ids[b] for _, b in found], pa.int64())], ["u", "v"])
 
-        for batch in slices(batches, "text"):
-            own = (batch.column(c).to_pylist() for c in ("hub", "cell", "node", "p0", "p1"))
-            for hub, cell, node, p0, p1, one in zip(*own, like.sets(batch.column("text"))):
-                if (hub, cell) != now:
+        for batch in slices(batches, "text", SLICE):
+            own = (batch.column(c).to_pylist() for c in ("block", "node", "p0", "p1"))
+            for block, node, p0, p1, one in zip(*own, like.sets(batch.column("text"))):
+                if block != now:
                     yield links()
-                    now, ids, sets = (hub, cell), [], []
+                    now, ids, sets = block, [], []
                 if fingerprint(one) == (p0, p1):  # another row may have the same id
                     ids.append(node)
                     sets.append(one)
@@ -291,6 +323,7 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
     is that of a row whose id is its ``node`` and whose fingerprint is its own.
     """
     spark = lists.sparkSession
+    known = distinct.select(F.col("rep").alias("node"), "n", "p0", "p1")
     lists = scratch.store(lists.distinct(), "lists")
     links = labels = None
     nothing = spark.createDataFrame([], "node long, component long")
@@ -302,7 +335,7 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
         stars = scratch.store(_passing(_stars(entries, like.percent, turn), sketches, like, scratch), "stars")
         if stars.isEmpty():
             break
-        found = _compared(stars, distinct, texts, like, scratch)
+        found = _compared(_star_places(stars, known), texts, like, scratch)
         scratch.drop(stars)
         links = found if links is None else links.unionAll(found)
         if found.isEmpty():
@@ -310,12 +343,14 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
         labels = components(links, scratch)
     entries = scratch.store(_labelled(lists, nothing if labels is None else labels), "entries")
     scratch.drop(lists)
-    sized = entries.join(entries.groupBy("name").agg(F.count("*").alias("sets")), "name")
-    pairs = _passing(_pairs(sized, like.percent), sketches, like, scratch)
-    pairs = scratch.store(pairs.unionAll(_remaining(_blocks(sized, like.percent), sketches, like, scratch)).distinct(), "pairs")
+    merged = scratch.store(_merged(entries), "merged")
     scratch.drop(entries)
-    if not pairs.isEmpty():
-        found = _compared(pairs, distinct, texts, like, scratch)
+    blocks = _blocks(merged.where(F.col("sets") > PAIRED).drop("sets"), like.percent, F.count("*") <= BLOCK_SKETCHES, F.count("*") / BLOCK_SKETCHES)
+    ties = _passing(_pairs(merged, like.percent), sketches, like, scratch)
+    ties = scratch.store(ties.unionAll(_remaining(blocks, sketches, like, scratch)).distinct(), "ties")
+    scratch.drop(merged)
+    if not ties.isEmpty():
+        found = _compared(_family_places(ties, known, like.percent, scratch), texts, like, scratch)
         links = found if links is None else links.unionAll(found)
-    scratch.drop(pairs)
+    scratch.drop(ties)
     return nothing if links is None else components(links, scratch)

@@ -143,3 +143,22 @@ def test_long_lists_cost_stars_not_pairs(spark, docs):
     scratch = Scratch(spark, "test")
     got = stars.link_lists(lists, distinct.select(F.col("rep").alias("node"), "n", "sketch"), distinct, frame.withColumnRenamed("doc_id", "id"), like, scratch)
     assert got.count() == 1500 and got.select("component").distinct().count() == 1
+
+
+def test_families_are_named_by_trees_not_pairs(spark):
+    """Sets that sketches do not tell apart meet in many lists; rows follow the sets, and every set is in the family."""
+    like = stars.Similarity(jaccard.shingle_sets, 75, partial(jaccard.may_be_similar, percent=75))
+    sketches = spark.createDataFrame([(k, 50, None) for k in range(120)], "node long, n long, sketch binary")
+    rows = [(f"{name}", k, 50, k) for name in range(3) for k in range(120) if k % 40 != name]
+    blocks = spark.createDataFrame(rows, "pair string, node long, n long, label long")
+    scratch = Scratch(spark, "test")
+    ties = stars._remaining(blocks, sketches, like, scratch)
+    assert ties.count() < 3 * 120
+    families = stars.components(ties.toDF("u", "v"), scratch)
+    assert families.count() == 120 and families.select("component").distinct().count() == 1
+
+
+def test_lists_of_much_the_same_sets_are_merged(spark):
+    rows = [(name, k, 50, 1, k) for name in range(60) for k in range(200) if k % 61 != name]
+    merged = stars._merged(spark.createDataFrame(rows, "name long, node long, n long, weight long, label long")).collect()
+    assert len(merged) <= 4 * 200 and all(r.sets > 190 for r in merged)
