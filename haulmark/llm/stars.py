@@ -42,6 +42,8 @@ SLICE = 1 << 19
 BLOCK_SKETCHES = 512
 #: Ids that are broadcast, at most: 8 bytes each, and some 32 in a task's table of them.
 BROADCAST = 2_000_000
+#: Rows of a few numbers each that are broadcast, at most.
+BROADCAST_ROWS = 500_000
 #: Sets of a list up to which its pairs of different components are written: no more than two rows a set.
 PAIRED = 5
 
@@ -49,6 +51,10 @@ PAIRED = 5
 Possible = Callable[[Sequence[bytes], Sequence[bytes], np.ndarray, np.ndarray], np.ndarray]
 
 
+def as_it_is(sketch: bytes) -> bytes:
+    return sketch
+
+
 @dataclass(frozen=True)
 class Similarity:
     """What sets are, when two are similar, and the sketches that tell most others apart."""
@@ -56,6 +62,8 @@ class Similarity:
     sets: Callable[[pa.Array], list[np.ndarray]]
     percent: int
     possible: Possible
+    #: From a sketch as it is stored to one that ``possible`` takes.
+    unpacked: Callable[[bytes], bytes] = as_it_is
 
 
 def fingerprint(one: np.ndarray) -> tuple[int, int]:
@@ -141,6 +149,11 @@ def _stars(entries: DataFrame, percent: int, turn: int) -> DataFrame:
     return shared.withColumn("place", place).where(F.col("place") <= HUBS).select("hub", "node")
 
 
+def by_count(frame: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored ``frame`` to be joined: broadcast up to ``most`` rows, as counted, else by a shuffle."""
+    return F.broadcast(frame) if frame.count() <= most else frame
+
+
 def _only(rows: DataFrame, key: str, wanted: DataFrame, scratch: Scratch) -> DataFrame:
     """The rows whose ``key`` is in ``wanted``, one column of ids.
 
@@ -148,7 +161,7 @@ def _only(rows: DataFrame, key: str, wanted: DataFrame, scratch: Scratch) -> Dat
     are met by a shuffle of the rows.
     """
     held = scratch.store(wanted.toDF(key).distinct(), "wanted")
-    return rows.join(F.broadcast(held) if held.count() <= BROADCAST else held, key, "left_semi")
+    return rows.join(by_count(held, BROADCAST), key, "left_semi")
 
 
 def _passing(pairs: DataFrame, sketches: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
@@ -166,7 +179,7 @@ def _passing(pairs: DataFrame, sketches: DataFrame, like: Similarity, scratch: S
                 at = np.flatnonzero(~keep)
                 some = part.take(pa.array(at))
                 if len(at):
-                    x, y = (some.column(c).to_pylist() for c in ("sx", "sy"))
+                    x, y = ([like.unpacked(z) for z in some.column(c).to_pylist()] for c in ("sx", "sy"))
                     keep[at] = like.possible(x, y, some.column("nx").to_numpy(), some.column("ny").to_numpy())
                 yield part.filter(pa.array(keep)).select(["hub", "node"])
 
@@ -230,7 +243,7 @@ def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity, scratch
         def pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(parts).combine_chunks()
             node, n, label = (table.column(c).to_numpy() for c in ("node", "n", "label"))
-            sketch = np.array(table.column("sketch").to_pylist(), dtype=object)
+            sketch = np.array([None if x is None else like.unpacked(x) for x in table.column("sketch").to_pylist()], dtype=object)
             known = np.array([x is not None for x in sketch])
             family = np.arange(len(node))
             for i in range(len(node) - 1):
@@ -288,8 +301,11 @@ def _family_places(ties: DataFrame, known: DataFrame, percent: int, scratch: Scr
 def _compared(places: DataFrame, texts: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
     """``u, v``: links that connect what is similar in each block of ``block, node, p0, p1``, by whole texts."""
     places = scratch.store(places, "places")
-    texts = _only(texts, "id", places.select("node"), scratch)
-    rows = texts.join(places, texts["id"] == places["node"]).select("block", "node", "p0", "p1", "text")
+    if places.count() <= BROADCAST_ROWS:  # the texts then are shuffled once, by block
+        held = F.broadcast(places)
+    else:
+        held, texts = places, _only(texts, "id", places.select("node"), scratch)
+    rows = texts.join(held, texts["id"] == held["node"]).select("block", "node", "p0", "p1", "text")
     rows = rows.repartition("block").sortWithinPartitions("block")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ from functools import partial
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +163,37 @@ def test_lists_of_much_the_same_sets_are_merged(spark):
     rows = [(name, k, 50, 1, k) for name in range(60) for k in range(200) if k % 61 != name]
     merged = stars._merged(spark.createDataFrame(rows, "name long, node long, n long, weight long, label long")).collect()
     assert len(merged) <= 4 * 200 and all(r.sets > 190 for r in merged)
+
+
+def test_packed_outlines_are_whole_and_take_half_of_what_shuffles_press_them_to():
+    draw = np.random.default_rng(5)
+    for size in (1, 60, 350, 1500, 30_000):
+        outlines = [jaccard.outline(draw.integers(0, 2**63, size).astype(np.uint64)) for _ in range(50)]
+        small = [jaccard.packed(x) for x in outlines]
+        assert [jaccard.unpacked(x) for x in small] == outlines
+        assert size < 60 or sum(map(len, small)) < 0.65 * len(pa.compress(b"".join(outlines), codec="lz4", asbytes=True))
+    assert jaccard.packed(None) is None
+
+
+@pytest.mark.parametrize("most", [100, 3])
+def test_texts_to_compare_are_shuffled_once_where_their_places_are_few(spark, monkeypatch, most):
+    """By their number, whatever Spark's threshold; beyond it by a shuffle, with the same links."""
+    monkeypatch.setattr(stars, "BROADCAST_ROWS", most)
+    monkeypatch.setattr(stars, "BROADCAST", most)
+    texts = [(n, " ".join(f"w{k}" for k in range(n % 2 * 50, n % 2 * 50 + 40))) for n in range(8)]
+    of = {n: s for n, s in zip(range(8), jaccard.shingle_sets(pa.array([t for _, t in texts])))}
+    places = spark.createDataFrame([("b", n, *stars.fingerprint(of[n])) for n in range(8)], "block string, node long, p0 long, p1 long")
+    like = stars.Similarity(jaccard.shingle_sets, 75, partial(jaccard.may_be_similar, percent=75))
+    stored = []
+    scratch = Scratch(spark, "test")
+    monkeypatch.setattr(scratch, "store", lambda frame, name, store=scratch.store: (stored.append((name, frame)), store(frame, name))[1])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = stars._compared(places, spark.createDataFrame(texts, "id long, text string"), like, scratch).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    pairs = {frozenset((r.u, r.v)) for r in links}
+    assert len(pairs) == 6 and all(len({n % 2 for n in pair}) == 1 for pair in pairs)
+    plan = dict(stored)["links"]._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (most > 8)
