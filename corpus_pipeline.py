@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from haulmark.llm import bpe, decontaminate, jaccard, lines, toxicity
 from haulmark.llm.queries import VOCABULARY, table
 from haulmark.llm.scratch import Scratch
+from haulmark.llm.ship import bound_batches
 
 #: A column of a stage's own, the name of a row.
 KEY = "__key"
@@ -80,6 +81,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` of every row."""
+    bound_batches(spark)
     return bpe.encode_corpus(docs, public_tokenizers.path(VOCABULARY), with_text=True)
 
 

@@ -29,8 +29,10 @@ from haulmark.llm.words import Words, slices
 
 #: Pieces a counting task holds before it hands its counts on.
 HELD = 400_000
-#: Ids of unseen pieces a task remembers.
-REMEMBERED_IDS = 4_000_000
+#: Ids of unseen pieces a worker remembers, some 100 MB with the pieces. Bounds memory, not results.
+REMEMBERED_IDS = 2_000_000
+#: Bytes of text to be encoded in one go; the arrays for it take some 40 times as much.
+SLICE = 1 << 19
 
 
 def frequent_pieces(docs: DataFrame, vocabulary: str, limit: int, text: str = "text") -> DataFrame:
@@ -50,7 +52,7 @@ def frequent_pieces(docs: DataFrame, vocabulary: str, limit: int, text: str = "t
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([p for p, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())], ["piece", "n"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             for text in batch.column("text").to_pylist():
                 for part, _ in vocabulary.parts(text or ""):
                     held.update(pieces(part))
@@ -111,20 +113,22 @@ class Encoder:
 
     def forget(self) -> None:
         self.unseen: dict[bytes, int] = {}
-        self.extra = np.zeros(1024, np.uint32)
-        self.extra_first = [0]
+        #: The lexicon's ids and then those of unseen pieces, and where each of these begins, with an end.
+        self.table = np.array(self.lexicon.table["ids"])
+        self.extra_first = np.array([len(self.table)])
 
     def place(self, piece: bytes) -> int:
         """Where an unseen piece's ids lie among the extra ones; merged at first sight."""
         at = self.unseen.get(piece)
         if at is None:
             ids = piece_ids(piece.decode(), self.vocabulary)
-            at = self.unseen[piece] = len(self.extra_first) - 1
-            begin = self.extra_first[-1]
-            while begin + len(ids) > len(self.extra):
-                self.extra = np.concatenate([self.extra, np.zeros_like(self.extra)])
-            self.extra[begin : begin + len(ids)] = ids
-            self.extra_first.append(begin + len(ids))
+            at = self.unseen[piece] = len(self.unseen)
+            begin = int(self.extra_first[at])
+            end = begin + len(ids)
+            self.table = _room(self.table, end)
+            self.extra_first = _room(self.extra_first, at + 2)
+            self.table[begin:end] = ids
+            self.extra_first[at + 1] = end
         return at
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -138,21 +142,19 @@ class Encoder:
         # White space in the byte sense of Words; other white space has been replaced.
         found = Words.spans(pa.array(parts, pa.large_string()))
         place = self.lexicon.find(found.data, found.start, found.end)
-        first, ids = self.lexicon.table["first"], self.lexicon.table["ids"]
+        first, known = self.lexicon.table["first"], len(self.lexicon.table["ids"])
         begin, size = first[place], first[place + 1] - first[place]
         missing = np.flatnonzero(place < 0)
         data = found.data.tobytes()
         if len(missing):
-            if self.extra_first[-1] > REMEMBERED_IDS:
+            if self.extra_first[len(self.unseen)] - known > REMEMBERED_IDS:
                 self.forget()
             at = np.array([self.place(data[a:b]) for a, b in zip(found.start[missing].tolist(), found.end[missing].tolist())])
-            extra_first = np.array(self.extra_first)
-            begin[missing] = len(ids) + extra_first[at]
-            size[missing] = extra_first[at + 1] - extra_first[at]
-        table = np.concatenate([ids, self.extra[: self.extra_first[-1]]])
+            begin[missing] = self.extra_first[at]
+            size[missing] = self.extra_first[at + 1] - self.extra_first[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        flat = table[np.arange(total) + np.repeat(begin - (ends - size), size)]
+        flat = self.table[np.arange(total) + np.repeat(begin - (ends - size), size)]
         edge = np.concatenate([[0], ends])[found.row]
         out: list[list[np.ndarray]] = [[] for _ in texts]
         for k, (row, one) in enumerate(zip(owner, special)):
@@ -160,6 +162,13 @@ class Encoder:
         return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """``array``, or a copy with zeros behind it, that has ``size`` items."""
+    if size <= len(array):
+        return array
+    return np.concatenate([array, np.zeros(max(size - len(array), len(array) // 4, 1024), array.dtype)])
+
+
 def _plain_spaces(text: str) -> str:
     """Non-ASCII white space as blanks: pieces then end at blanks only."""
     return " ".join(pieces(text))
@@ -196,7 +205,7 @@ def encode(docs: DataFrame, vocabulary: str, lexicon: str, text: str = "text", d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, lexicon)
         tokens = encoder.vocabulary.tokens
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids = encoder.encode(batch.column("text").to_pylist())
             columns = {"id": batch.column("id"), "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "ids": _blob([x.astype("<u4").tobytes() for x in ids])}
             if with_text:

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from haulmark.llm import bottomk, bpe, decontaminate, divergence, exact, jaccard, language, lines, periodic, pii, substrings, token_counts, toxicity
 from haulmark.llm.folds import held_out
-from haulmark.llm.ship import ship
+from haulmark.llm.ship import bound_batches, ship
 
 VOCABULARY = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,6 +2,7 @@
 
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from haulmark.llm import bpe, decontaminate, lines, queries
+from haulmark.llm.lexicon import Lexicon, build, save
 from haulmark.llm.scratch import Scratch
 from haulmark.llm.wordbpe import parsed, read_vocabulary
 
@@ -27,6 +29,25 @@ def test_a_word_of_a_megabyte_is_merged_in_seconds():
         assert ids == library.encode(word, add_special_tokens=False).ids
 
 
+def test_an_encoder_of_many_unseen_pieces_stays_small(tmp_path, monkeypatch):
+    """What a worker remembers is bounded, and all ids are right before and after it starts anew."""
+    path = str(tmp_path / "lexicon")
+    save(build([b"known"], [[7]]), path)
+    encoder = bpe.Encoder(parsed(read_vocabulary(VOCABULARY)), Lexicon(path))
+    monkeypatch.setattr(bpe, "piece_ids", lambda piece, vocabulary: [int(piece), 1, 2, int(piece)])
+    tracemalloc.start()
+    try:
+        for begin in range(0, 950_000, 25_000):
+            names = range(begin, begin + 25_000)
+            first, last = encoder.encode(["known " + " ".join(map(str, names)), f"{begin} known"])
+            assert first[0] == 7 and np.array_equal(first[1:].reshape(-1, 4)[:, 0], names) and np.array_equal(first[1:].reshape(-1, 4)[:, 3], names)
+            assert last.tolist() == [begin, 1, 2, begin, 7]
+            first = last = None
+            assert tracemalloc.get_traced_memory()[0] < 110 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def site_rows(sites, of, line="This page is under the licence of all"):
     return [(n, f"own {n}\n{line if n < sites else f'none {n}'}\nend {n}", f"s{n % of}") for n in range(of)]
 
