@@ -44,6 +44,8 @@ BLOCK_SKETCHES = 512
 BROADCAST = 2_000_000
 #: Rows of a few numbers each that are broadcast, at most.
 BROADCAST_ROWS = 500_000
+#: Rows of a step up to which its small tables are broadcast, where a shuffle costs more than it moves.
+FEW = 100_000
 #: Sets of a list up to which its pairs of different components are written: no more than two rows a set.
 PAIRED = 5
 
@@ -124,10 +126,18 @@ def distinct_lists(lists: DataFrame) -> DataFrame:
     return first.select("name", "weight")
 
 
-def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The entries of lists that hold several components, with their ``label``."""
-    named = lists.join(labels.select("node", F.col("component").alias("label")), "node", "left")
-    named = named.withColumn("label", F.coalesce("label", "node"))
+def _held(frame: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """What to do with a table of at most the rows of ``frame``, a stored one, to be joined: broadcast it if they are ``FEW``."""
+    return F.broadcast if frame.count() <= FEW else lambda other: other
+
+
+def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The entries of lists that hold several components, with their ``label``; without ``labels`` each set is alone."""
+    if labels is None:
+        named = lists.withColumn("label", F.col("node"))
+    else:
+        own = labels.select("node", F.col("component").alias("label"))
+        named = lists.join(_held(labels)(own), "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = named.groupBy("name").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     return named.join(several.select("name"), "name").select("name", "node", "n", "weight", "label")
 
@@ -140,11 +150,12 @@ def _stars(entries: DataFrame, percent: int, turn: int) -> DataFrame:
     # Another order of the sets in each list: those of a family get many hubs.
     salt = F.xxhash64("name", F.lit(turn))
     entries = entries.withColumn("band", band)
-    hubs = entries.groupBy("name", "band").agg(F.min(F.col("node").bitwiseXOR(salt)).alias("hub"))
+    place = F.col("node").bitwiseXOR(salt)
+    hubs = entries.groupBy("name", "band").agg(F.min(place).alias("hub"), F.min_by("label", place).alias("hub_label"))
     hubs = hubs.withColumn("hub", F.col("hub").bitwiseXOR(salt))
-    labels = entries.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")).distinct()
-    met = entries.join(hubs.join(labels, "hub"), ["name", "band"]).where("label <> hub_label")
-    shared = met.groupBy("node", "hub").agg(F.sum("weight").alias("lists"))
+    met = entries.join(hubs, ["name", "band"]).where("label <> hub_label")
+    # A set's lists are few: they are summed where its hubs are chosen.
+    shared = met.select("node", "hub", "weight").repartition("node").groupBy("node", "hub").agg(F.sum("weight").alias("lists"))
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("lists"), "hub"))
     return shared.withColumn("place", place).where(F.col("place") <= HUBS).select("hub", "node")
 
@@ -167,9 +178,15 @@ def _only(rows: DataFrame, key: str, wanted: DataFrame, scratch: Scratch) -> Dat
 def _passing(pairs: DataFrame, sketches: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
     """The ``hub, node`` whose sketches let them be similar."""
     pairs = scratch.store(pairs, "asked")
-    sketches = _only(sketches, "node", pairs.select("hub").unionAll(pairs.select("node")), scratch)
-    own = sketches.select("node", F.struct("n", "sketch").alias("y"))
-    rows = pairs.join(own, "node").join(own.select(F.col("node").alias("hub"), F.col("y").alias("x")), "hub")
+    if pairs.count() <= FEW:  # the sketches then are shuffled once, by hub
+        own, held = sketches.select("node", F.struct("n", "sketch").alias("y")), F.broadcast(pairs)
+        hubs = own.join(held, own["node"] == held["hub"], "left_semi")
+        rows = own.join(held, "node")
+    else:
+        sketches = _only(sketches, "node", pairs.select("hub").unionAll(pairs.select("node")), scratch)
+        hubs = own = sketches.select("node", F.struct("n", "sketch").alias("y"))
+        rows = pairs.join(own, "node")
+    rows = rows.join(hubs.select(F.col("node").alias("hub"), F.col("y").alias("x")), "hub")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,9 +211,10 @@ def _merged(entries: DataFrame) -> DataFrame:
     Sets that share passages meet in many lists, which differ by a few sets. Such lists mostly have
     one first set, and unlike ones seldom do. Sets of a list stay together.
     """
+    held = _held(entries)
     first = entries.groupBy("name").agg(F.min(F.xxhash64("node")).alias("first"))
-    merged = entries.join(first, "name").select(F.col("first").alias("name"), "node", "n", "label").distinct()
-    return merged.join(merged.groupBy("name").agg(F.count("*").alias("sets")), "name")
+    merged = entries.join(held(first), "name").select(F.col("first").alias("name"), "node", "n", "label").distinct()
+    return merged.join(held(merged.groupBy("name").agg(F.count("*").alias("sets"))), "name")
 
 
 def _pairs(entries: DataFrame, percent: int) -> DataFrame:
@@ -208,23 +226,24 @@ def _pairs(entries: DataFrame, percent: int) -> DataFrame:
     return pairs.select("hub", "node").distinct()
 
 
-def _blocks(entries: DataFrame, percent: int, most: Column, load: Column) -> DataFrame:
+def _blocks(entries: DataFrame, percent: int, most: Column, load: Column, held: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``pair`` and the columns of ``entries``: each entry once per pair of blocks that it takes part in.
 
     The entries of one ``name`` are a block if ``most`` is true of them. Others are cut by size,
     in steps that no similar pair skips, and by hash, into as many blocks as ``load`` tells.
+    ``held`` is what to do with a table of names (see ``_held``).
     """
     columns = ["node", *(c for c in entries.columns if c not in ("name", "node"))]
     whole = entries.groupBy("name").agg(most.alias("whole"))
-    entries = entries.join(whole, "name")
+    entries = entries.join(held(whole), "name")
     small = entries.where("whole").withColumn("pair", F.concat_ws(":", "name"))
     step = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
     big = entries.where(~F.col("whole")).withColumn("step", step)
     cells = big.groupBy("name", "step").agg(F.ceil(load).cast("int").alias("cells"))
-    own = big.join(cells, ["name", "step"]).withColumn("cell", F.pmod(F.xxhash64("node"), "cells").cast("int"))
+    own = big.join(held(cells), ["name", "step"]).withColumn("cell", F.pmod(F.xxhash64("node"), "cells").cast("int"))
     meets = cells.select("name", F.col("step").alias("step2"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell2"))
     near = own.withColumn("step2", F.explode(F.array(*(F.col("step") + d for d in (-1, 0, 1)))))
-    met = near.join(meets, ["name", "step2"])
+    met = near.join(held(meets), ["name", "step2"])
     mine, its = F.struct("step", "cell"), F.struct(F.col("step2").alias("step"), F.col("cell2").alias("cell"))
     low, high = F.when(mine <= its, mine).otherwise(its), F.when(mine <= its, its).otherwise(mine)
     met = met.withColumn("pair", F.concat_ws(":", "name", low["step"], low["cell"], high["step"], high["cell"]))
@@ -233,8 +252,12 @@ def _blocks(entries: DataFrame, percent: int, most: Column, load: Column) -> Dat
 
 def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
     """``hub, node``: a tree of each family of a block, whose ties are pairs of different components that may be similar."""
-    sketches = _only(sketches, "node", blocks.select("node"), scratch)
-    rows = blocks.join(sketches.select("node", "sketch"), "node").select("pair", "node", "n", "label", "sketch")
+    blocks = scratch.store(blocks, "blocks")
+    if blocks.count() <= FEW:
+        held = F.broadcast(blocks)
+    else:
+        held, sketches = blocks, _only(sketches, "node", blocks.select("node"), scratch)
+    rows = sketches.select("node", "sketch").join(held, "node").select("pair", "node", "n", "label", "sketch")
     rows = rows.repartition("pair").sortWithinPartitions("pair")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,15 +298,16 @@ def _remaining(blocks: DataFrame, sketches: DataFrame, like: Similarity, scratch
         if held:
             yield from pairs(held)
 
-    return rows.mapInArrow(run, "hub long, node long").where("hub <> node").distinct()
+    return rows.mapInArrow(run, "hub long, node long").where("hub <> node")
 
 
 def _star_places(stars: DataFrame, known: DataFrame) -> DataFrame:
     """``block, node, p0, p1`` of each star. One of many sets is cut into blocks, and its hub goes to each."""
-    members = stars.join(known, "node")
+    held = _held(stars)
+    members = known.join(held(stars), "node")
     cells = members.groupBy("hub").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("cells"))
-    members = members.join(cells, "hub").select("hub", F.pmod(F.xxhash64("node"), "cells").cast("int").alias("cell"), "node", "p0", "p1")
-    hubs = cells.join(known.withColumnRenamed("node", "hub"), "hub")
+    members = members.join(held(cells), "hub").select("hub", F.pmod(F.xxhash64("node"), "cells").cast("int").alias("cell"), "node", "p0", "p1")
+    hubs = known.withColumnRenamed("node", "hub").join(held(cells), "hub")
     hubs = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.col("hub").alias("node"), "p0", "p1")
     return members.unionAll(hubs).select(F.concat_ws(":", "hub", "cell").alias("block"), "node", "p0", "p1")
 
@@ -291,10 +315,11 @@ def _star_places(stars: DataFrame, known: DataFrame) -> DataFrame:
 def _family_places(ties: DataFrame, known: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """``block, node, p0, p1``: blocks in which each set of a family meets all others of near size."""
     families = components(ties.select(F.col("hub").alias("u"), F.col("node").alias("v")), scratch)
-    members = families.select("node", F.col("component").alias("name")).join(known, "node")
+    held = _held(families)
+    members = known.join(held(families.select("node", F.col("component").alias("name"))), "node").select("name", "node", "n", "p0", "p1")
     load = F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)
     # Two blocks meet in a task, so each has half.
-    blocks = _blocks(members, percent, load <= 1, 2 * load)
+    blocks = _blocks(members, percent, load <= 1, 2 * load, held)
     return blocks.select(F.col("pair").alias("block"), "node", "p0", "p1")
 
 
@@ -326,7 +351,7 @@ def _compared(places: DataFrame, texts: DataFrame, like: Similarity, scratch: Sc
                     sets.append(one)
         yield links()
 
-    found = scratch.store(rows.mapInArrow(compare, "u long, v long").where("u <> v").distinct(), "links")
+    found = scratch.store(rows.mapInArrow(compare, "u long, v long").where("u <> v"), "links")
     scratch.drop(places)
     return found
 
@@ -338,13 +363,11 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
     ``distinct`` ``rep, n, p0, p1`` of every set, and ``texts`` ``id, text``, where a set's text
     is that of a row whose id is its ``node`` and whose fingerprint is its own.
     """
-    spark = lists.sparkSession
     known = distinct.select(F.col("rep").alias("node"), "n", "p0", "p1")
     lists = scratch.store(lists.distinct(), "lists")
     links = labels = None
-    nothing = spark.createDataFrame([], "node long, component long")
     for turn in range(rounds):
-        entries = scratch.store(_labelled(lists, nothing if labels is None else labels), "entries")
+        entries = scratch.store(_labelled(lists, labels), "entries")
         scratch.drop(lists)
         lists = entries.select("name", "node", "n", "weight")
         lists.scratch_path = entries.scratch_path
@@ -357,16 +380,16 @@ def link_lists(lists: DataFrame, sketches: DataFrame, distinct: DataFrame, texts
         if found.isEmpty():
             break
         labels = components(links, scratch)
-    entries = scratch.store(_labelled(lists, nothing if labels is None else labels), "entries")
+    entries = scratch.store(_labelled(lists, labels), "entries")
     scratch.drop(lists)
     merged = scratch.store(_merged(entries), "merged")
     scratch.drop(entries)
-    blocks = _blocks(merged.where(F.col("sets") > PAIRED).drop("sets"), like.percent, F.count("*") <= BLOCK_SKETCHES, F.count("*") / BLOCK_SKETCHES)
+    blocks = _blocks(merged.where(F.col("sets") > PAIRED).drop("sets"), like.percent, F.count("*") <= BLOCK_SKETCHES, F.count("*") / BLOCK_SKETCHES, _held(merged))
     ties = _passing(_pairs(merged, like.percent), sketches, like, scratch)
-    ties = scratch.store(ties.unionAll(_remaining(blocks, sketches, like, scratch)).distinct(), "ties")
+    ties = scratch.store(ties.unionAll(_remaining(blocks, sketches, like, scratch)), "ties")
     scratch.drop(merged)
     if not ties.isEmpty():
         found = _compared(_family_places(ties, known, like.percent, scratch), texts, like, scratch)
         links = found if links is None else links.unionAll(found)
     scratch.drop(ties)
-    return nothing if links is None else components(links, scratch)
+    return lists.sparkSession.createDataFrame([], "node long, component long") if links is None else components(links, scratch)

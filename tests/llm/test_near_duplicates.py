@@ -197,3 +197,44 @@ def test_texts_to_compare_are_shuffled_once_where_their_places_are_few(spark, mo
     assert len(pairs) == 6 and all(len({n % 2 for n in pair}) == 1 for pair in pairs)
     plan = dict(stored)["links"]._jdf.queryExecution().optimizedPlan().toString()
     assert ("strategy=broadcast" in plan) == (most > 8)
+
+
+@pytest.mark.parametrize("module, size, percent", [(jaccard, 5, 75), (bottomk, 4, 80)])
+def test_classes_are_the_same_where_steps_are_not_few(spark, docs, module, size, percent, monkeypatch):
+    monkeypatch.setattr(stars, "FEW", 0)
+    frame = spark.createDataFrame(list(docs.items()), SCHEMA).repartition(3)
+    assert found(module.near_duplicates(frame, size, percent)) == plain(docs, size, percent)
+
+
+def counting(spark):
+    """A scratch folder, and the names of what is stored there."""
+    scratch, stored = Scratch(spark, "test"), []
+    store = scratch.store
+    scratch.store = lambda frame, name: (stored.append(name), store(frame, name))[1]
+    return scratch, stored
+
+
+def test_components_of_groups_take_few_shuffles(spark):
+    """Each stored table is a shuffle or two of all tasks, whatever the number of edges."""
+    edges = [(50, n) for n in range(200)] + [(n, n + 1) for n in range(300, 330)] + [(7, 7), (900, 900)]
+    scratch, stored = counting(spark)
+    got = {r.node: r.component for r in stars.components(spark.createDataFrame(edges, "u long, v long").repartition(7), scratch).collect()}
+    assert got == {**dict.fromkeys(range(200), 0), **dict.fromkeys(range(300, 331), 300), 900: 900}
+    assert len(stored) <= 4
+
+
+def test_long_paths_over_many_tasks_take_few_levels(spark):
+    """Neighbours are in other tasks, and ids rise along the path."""
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        scratch, stored = counting(spark)
+        edges = spark.range(400).selectExpr("id - 60 AS u", "id - 59 AS v").repartition(40)
+        got = stars.components(edges, scratch).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.node: r.component for r in got} == dict.fromkeys(range(-60, 341), -60)
+    assert len(got) == 401 and 4 < len(stored) <= 20
