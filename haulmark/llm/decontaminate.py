@@ -149,6 +149,11 @@ def _summed(rows: DataFrame, width: int) -> np.ndarray:
     return found["term"].to_numpy(), np.array([np.frombuffer(v, np.float64) for v in found["vector"]]).reshape(-1, width)
 
 
+def _by_term(terms: np.ndarray, size: int) -> np.ndarray:
+    """The order of terms below ``size``, equal ones as they come. Numbers of two bytes are dealt, not compared."""
+    return np.argsort(terms.astype(np.uint16) if size <= 1 << 16 else terms, kind="stable")
+
+
 def _weights(coded: DataFrame, size: int) -> np.ndarray:
     """idf of each term over all passages' blocks; zero for common and unknown ones."""
 
@@ -158,8 +163,12 @@ def _weights(coded: DataFrame, size: int) -> np.ndarray:
             found = _passages(batch.column("terms"))
             if found is not None:
                 known = found.terms < size
-                pairs = np.unique(found.of_word[known] * (size + 1) + found.terms[known])
-                total[: size + 1] += np.bincount(pairs % (size + 1), minlength=size + 1)
+                terms, block = found.terms[known], found.of_word[known]
+                order = _by_term(terms, size)
+                terms, block = terms[order], block[order]
+                # A block counts once for each of its terms.
+                new = (np.diff(terms, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0)
+                total[: size + 1] += np.bincount(terms[new], minlength=size + 1)
                 total[size + 1] += len(found.block)
         yield _table(np.arange(size + 2), total[:, None])
 
@@ -217,7 +226,7 @@ def latent_space(coded: DataFrame, items: Items, idf: np.ndarray, rank: int = RA
             y = np.add.reduceat(weighted[terms], edge)
             norm = np.add.reduceat(idf[terms] ** 2, edge)
             y /= norm[:, None]
-            order = np.argsort(terms, kind="stable")
+            order = _by_term(terms, size)
             of = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(terms))))[order]
             terms = terms[order]
             cut = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))

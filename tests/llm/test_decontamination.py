@@ -49,3 +49,10 @@ def test_stretches_in_pieces_are_the_same(monkeypatch):
     # As by looking at each stretch of each item alone.
     monkeypatch.setattr(decontaminate._Search, "_likely", lambda self, words, begin, end, item: (k for k, (x, y, i) in enumerate(zip(begin, end, item)) if decontaminate.common_subsequence(self.terms[i], words[x:y]) >= self.least[i]))
     assert sorted(one.find(column(rows))) == whole and len({i for _, i, *_ in whole}) > 8
+
+
+def test_terms_of_any_number_keep_their_order():
+    draw = np.random.default_rng(8)
+    for size in (1, 300, 1 << 16, (1 << 16) + 1, 200_000):
+        terms = np.append(draw.integers(0, size, 5000), size - 1)
+        assert np.array_equal(decontaminate._by_term(terms, size), np.argsort(terms, kind="stable"))
